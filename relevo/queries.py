@@ -65,3 +65,53 @@ SELECT p.id, p.product_uid, p.relevance,
 FROM pairs p LEFT JOIN descs d USING (product_uid) LEFT JOIN attr_text a USING (product_uid)""")
 def q_lr3(spark, sf):
     return lr3_features(pairs(spark, sf), product_descriptions(spark, sf), attributes(spark, sf))
+
+
+# ---- TF-IDF (A2-A5, J4) ---------------------------------------------------
+from .operators.tfidf import bag_of_words, idf_table, tfidf_cosines, tfidf_weights  # noqa: E402
+
+
+def _tfidf_inputs(spark, sf):
+    p = pairs(spark, sf)
+    return p, product_descriptions(spark, sf)
+
+
+@register("A2_dictionary", f"""WITH {Q.PAIRS_CTE}, {Q.TFIDF_CTE}
+SELECT token, df, round(idf, 6) AS idf FROM vocab""")
+def q_a2(spark, sf):
+    p, d = _tfidf_inputs(spark, sf)
+    return idf_table(p, d).select("token", "df", r6("idf").alias("idf"))
+
+
+@register("A3_bag_of_words", f"""WITH {Q.PAIRS_CTE}, {Q.TFIDF_CTE}
+SELECT key AS id, field, token, tf FROM bow WHERE field <> 'q'""")
+def q_a3(spark, sf):
+    p, d = _tfidf_inputs(spark, sf)
+    j = left_join(p, d)
+    return (bag_of_words(j, "id", "product_title", "title")
+            .unionByName(bag_of_words(j, "id", "product_description", "desc"))
+            .withColumnRenamed("key", "id"))
+
+
+@register("J4_A4_tfidf_weights", f"""WITH {Q.PAIRS_CTE}, {Q.TFIDF_CTE}
+SELECT key AS id, field, token, round(w, 6) AS w, round(nw, 6) AS nw FROM nw""")
+def q_a4(spark, sf):
+    p, d = _tfidf_inputs(spark, sf)
+    idf = idf_table(p, d)
+    j = left_join(p, d)
+    bows = (bag_of_words(j, "id", "search_term", "q")
+            .unionByName(bag_of_words(j, "id", "product_title", "title"))
+            .unionByName(bag_of_words(j, "id", "product_description", "desc")))
+    return tfidf_weights(bows, idf).select(F.col("key").alias("id"), "field", "token",
+                                           r6("w").alias("w"), r6("nw").alias("nw"))
+
+
+@register("A5_tfidf_cosine", f"""WITH {Q.PAIRS_CTE}, {Q.TFIDF_CTE}
+SELECT p.id,
+  round(coalesce((SELECT c FROM cos WHERE cos.id = p.id AND field = 'title'), 0.0), 6) AS tfidf_cos_sim_in_title,
+  round(coalesce((SELECT c FROM cos WHERE cos.id = p.id AND field = 'desc'), 0.0), 6) AS tfidf_cos_sim_in_desc
+FROM pairs p""")
+def q_a5(spark, sf):
+    p, d = _tfidf_inputs(spark, sf)
+    out = tfidf_cosines(p, d, ("title", "desc"))
+    return out.select("id", *[r6(c).alias(c) for c in out.columns if c != "id"])

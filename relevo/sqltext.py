@@ -63,3 +63,33 @@ attr_text AS (
          string_agg(concat_ws(' ', name, coalesce(value, 'nan')), ' ' ORDER BY pos) AS product_attributes
   FROM attrs GROUP BY product_uid)
 """
+
+# TF-IDF oracle: documents are pair rows, text = title . description .
+TFIDF_CTE = f"""
+docs AS (
+  SELECT p.id, p.product_title || ' . ' || d.product_description || ' . ' AS all_texts
+  FROM pairs p LEFT JOIN descs d USING (product_uid)),
+dtok AS (SELECT DISTINCT id, unnest({alpha_tokens('all_texts')}) AS token FROM docs),
+vocab AS (
+  SELECT token, count(*) AS df,
+         log2(CAST((SELECT count(*) FROM docs) AS DOUBLE) / count(*)) AS idf
+  FROM dtok GROUP BY token),
+texts AS (
+  SELECT p.id, p.search_term AS q, p.product_title AS title, d.product_description AS "desc"
+  FROM pairs p LEFT JOIN descs d USING (product_uid)),
+bow AS (
+  SELECT id AS key, field, token, count(*) AS tf FROM (
+    SELECT id, 'q' AS field, unnest({alpha_tokens('q')}) AS token FROM texts
+    UNION ALL SELECT id, 'title', unnest({alpha_tokens('title')}) FROM texts
+    UNION ALL SELECT id, 'desc', unnest({alpha_tokens('"desc"')}) FROM texts)
+  GROUP BY ALL),
+w AS (
+  SELECT b.key, b.field, b.token, b.tf * v.idf AS w
+  FROM bow b JOIN vocab v USING (token) WHERE b.tf * v.idf <> 0),
+nw AS (
+  SELECT key, field, token, w, w / sqrt(sum(w * w) OVER (PARTITION BY key, field)) AS nw FROM w),
+cos AS (
+  SELECT q.key AS id, f.field, sum(q.nw * f.nw) AS c
+  FROM nw q JOIN nw f ON q.key = f.key AND q.token = f.token AND q.field = 'q' AND f.field <> 'q'
+  GROUP BY ALL)
+"""
