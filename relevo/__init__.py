@@ -12,3 +12,14 @@ Layout
 """
 
 __all__ = ["session"]
+
+import sys as _sys
+
+# Ship this package's UDF code with each task (pickled by value), so
+# executors need no installed copy of the package.
+try:
+    from pyspark import cloudpickle as _cp
+
+    _cp.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle without the hook
+    pass

@@ -76,3 +76,20 @@ def attr_overlap(base: DataFrame) -> DataFrame:
         *[overlap_count(src, "search_term").alias(name) for name, src in (
             ("common_title", "product_title"), ("common_desc", "product_description"),
             ("common_brand", "brand"), ("common_material", "material"))])
+
+
+def attr_edit_ratios(base: DataFrame, fields=("title", "desc", "brand", "material")) -> DataFrame:
+    """The F5 ratios ``dist_in_<field>`` between the search term and each field."""
+    from ..functions.edit import edit_ratio
+    src = {"title": "product_title", "desc": "product_description",
+           "brand": "brand", "material": "material"}
+    return base.select("*", *[edit_ratio("search_term", src[f]).alias(f"dist_in_{f}")
+                              for f in fields])
+
+
+def attr8_features(pairs: DataFrame, descriptions: DataFrame,
+                   side: dict[str, DataFrame]) -> DataFrame:
+    """E2 pass B: ``(id, product_uid, relevance, <ATTR8>)`` on unstemmed pairs."""
+    base = attr_base(pairs, descriptions, side)
+    out = attr_edit_ratios(attr_overlap(base))
+    return out.select("id", "product_uid", "relevance", *ATTR8)

@@ -115,3 +115,59 @@ def q_a5(spark, sf):
     p, d = _tfidf_inputs(spark, sf)
     out = tfidf_cosines(p, d, ("title", "desc"))
     return out.select("id", *[r6(c).alias(c) for c in out.columns if c != "id"])
+
+
+# ---- attribute flow: F4a overlaps, F5 edit ratios, J2 ---------------------
+from .plans.features import ATTR8, attr8_features, attr_base, attr_edit_ratios, attr_overlap  # noqa: E402
+from .sources.relevance import attr_side_tables  # noqa: E402
+
+
+def _attr_base(spark, sf):
+    return attr_base(pairs(spark, sf), product_descriptions(spark, sf), attr_side_tables(spark, sf))
+
+
+@register("J2_product_dimension", f"""WITH {Q.PAIRS_CTE}, {Q.ATTR_BASE_CTE}
+SELECT id, product_uid, product_title, search_term, relevance, product_description, brand, material
+FROM base""")
+def q_j2(spark, sf):
+    return _attr_base(spark, sf).select("id", "product_uid", "product_title", "search_term",
+                                        "relevance", "product_description", "brand", "material")
+
+
+@register("F4a_attr_overlap", f"""WITH {Q.PAIRS_CTE}, {Q.ATTR_BASE_CTE}
+SELECT id,
+  {Q.overlap('product_title', 'search_term')} AS common_title,
+  {Q.overlap('product_description', 'search_term')} AS common_desc,
+  {Q.overlap('brand', 'search_term')} AS common_brand,
+  {Q.overlap('material', 'search_term')} AS common_material
+FROM base""")
+def q_f4a(spark, sf):
+    return attr_overlap(_attr_base(spark, sf)).select(
+        "id", "common_title", "common_desc", "common_brand", "common_material")
+
+
+@register("F5_edit_ratio", f"""WITH RECURSIVE {Q.PAIRS_CTE}, {Q.ATTR_BASE_CTE},
+{Q.lcs_ratio_cte('rt', 'base', 'search_term', 'product_title')},
+{Q.lcs_ratio_cte('rb', 'base', 'search_term', 'brand')},
+{Q.lcs_ratio_cte('rm', 'base', 'search_term', 'material')}
+SELECT b.id, round(rt.ratio, 6) AS dist_in_title, round(rb.ratio, 6) AS dist_in_brand,
+       round(rm.ratio, 6) AS dist_in_material
+FROM base b JOIN rt USING (id) JOIN rb USING (id) JOIN rm USING (id)""")
+def q_f5(spark, sf):
+    out = attr_edit_ratios(_attr_base(spark, sf), ("title", "brand", "material"))
+    return out.select("id", *[r6(f"dist_in_{f}").alias(f"dist_in_{f}")
+                              for f in ("title", "brand", "material")])
+
+
+@register("F5_edit_ratio_desc")
+def q_f5_desc(spark, sf):
+    """Edit ratio against whole descriptions (checked against a DP on a fixture)."""
+    out = attr_edit_ratios(_attr_base(spark, sf), ("desc",))
+    return out.select("id", r6("dist_in_desc").alias("dist_in_desc"))
+
+
+@register("E2_attr8_features")
+def q_attr8(spark, sf):
+    out = attr8_features(pairs(spark, sf), product_descriptions(spark, sf),
+                         attr_side_tables(spark, sf))
+    return out.select("id", "product_uid", "relevance", *[r6(c).alias(c) for c in ATTR8])

@@ -93,3 +93,34 @@ cos AS (
   FROM nw q JOIN nw f ON q.key = f.key AND q.token = f.token AND q.field = 'q' AND f.field <> 'q'
   GROUP BY ALL)
 """
+
+# Attribute flow base: pairs ⟕ (description + ' ' + bullets, brand, material), blanks for missing.
+ATTR_BASE_CTE = """
+base AS (
+  SELECT p.id, p.product_uid, p.product_title, p.search_term, p.relevance,
+         coalesce(d.product_description || ' ' || a.product_attributes, ' ') AS product_description,
+         coalesce(doc.source, ' ') AS brand, coalesce(doc.lang, ' ') AS material
+  FROM pairs p LEFT JOIN descs d USING (product_uid)
+  LEFT JOIN attr_text a USING (product_uid)
+  LEFT JOIN documents doc ON doc.doc_id = p.product_uid)
+"""
+
+
+def lcs_ratio_cte(name: str, src: str, a: str, b: str) -> str:
+    """Recursive CTE ``name(id, ratio)``: 2*LCS(a, b)/(len a + len b), 1.0 when both empty."""
+    return f"""
+{name}_src AS (SELECT id, {a} AS a, {b} AS b FROM {src}),
+{name}_dp(id, i, a, b, r) AS (
+  SELECT id, 0, a, b, list_transform(range(0, length(b) + 1), lambda j: 0) FROM {name}_src
+  UNION ALL
+  SELECT id, i + 1, a, b,
+    list_transform(range(0, length(b) + 1), lambda j:
+      list_max(list_transform(range(0, j + 1), lambda k:
+        CASE WHEN k = 0 THEN 0 ELSE greatest(r[k + 1], r[k] +
+          CASE WHEN substr(a, i + 1, 1) = substr(b, k, 1) THEN 1 ELSE 0 END) END)))
+  FROM {name}_dp WHERE i < length(a)),
+{name} AS (
+  SELECT id, CASE WHEN length(a) + length(b) = 0 THEN 1.0
+                  ELSE 2.0 * r[length(b) + 1] / (length(a) + length(b)) END AS ratio
+  FROM {name}_dp WHERE i = length(a))
+"""
