@@ -171,3 +171,141 @@ def q_attr8(spark, sf):
     out = attr8_features(pairs(spark, sf), product_descriptions(spark, sf),
                          attr_side_tables(spark, sf))
     return out.select("id", "product_uid", "relevance", *[r6(c).alias(c) for c in ATTR8])
+
+
+# ---- order, folds, evaluation (W1, W2, S8, L2, A8-A10, M5, M17) -----------
+from .models.assemble import assemble  # noqa: E402
+from .models.cv import cross_validate  # noqa: E402
+from .operators.metrics import r2, rmse  # noqa: E402
+from .operators.order import assign_folds, best_of, peek, row_index  # noqa: E402
+from .sources.csvio import (csv_roundtrip, read_csv, read_csv_inferred, read_side_table,  # noqa: E402
+                            stage, write_csv)
+
+
+def _lr3_train(spark, sf):
+    f = lr3_features(pairs(spark, sf), product_descriptions(spark, sf))
+    return f.where(F.col("relevance").isNotNull())
+
+
+def _ols_one(spark, sf, x="common_descriptoin"):
+    tr = assemble(_lr3_train(spark, sf), [x], keep=("id",))
+    return tr, ols().fit(tr)
+
+
+@register("W2_row_index", f"""WITH {Q.PAIRS_CTE}
+SELECT id, CAST(row_number() OVER (ORDER BY id) - 1 AS BIGINT) AS row_idx FROM pairs""")
+def q_w2(spark, sf):
+    return row_index(pairs(spark, sf).select("id"), ["id"])
+
+
+@register("W1_kfold_assignment", f"""WITH {Q.PAIRS_CTE}, {Q.LR3_CTE}
+SELECT id, fold FROM folds""")
+def q_w1(spark, sf):
+    return assign_folds(_lr3_train(spark, sf).select("id"), ["id"], 10)
+
+
+@register("S8_peek", f"""WITH {Q.PAIRS_CTE}
+SELECT * FROM pairs ORDER BY id LIMIT 5""")
+def q_s8(spark, sf):
+    return peek(pairs(spark, sf), ["id"], 5)
+
+
+@register("M5_ols_coefficients", f"""WITH {Q.PAIRS_CTE}, {Q.LR3_CTE}
+SELECT round(regr_intercept(relevance, common_descriptoin), 6) AS intercept,
+       round(regr_slope(relevance, common_descriptoin), 6) AS slope FROM train""")
+def q_m5(spark, sf):
+    _, m = _ols_one(spark, sf)
+    return spark.createDataFrame([(float(m.intercept), float(m.coefficients[0]))],
+                                 "intercept double, slope double").select(
+        r6("intercept").alias("intercept"), r6("slope").alias("slope"))
+
+
+@register("A8_training_rmse", f"""WITH {Q.PAIRS_CTE}, {Q.LR3_CTE},
+fit AS (SELECT regr_intercept(relevance, common_descriptoin) AS a,
+               regr_slope(relevance, common_descriptoin) AS b FROM train)
+SELECT round(sqrt(avg(power(relevance - (a + b * common_descriptoin), 2))), 6) AS rmse
+FROM train, fit""")
+def q_a8(spark, sf):
+    tr, m = _ols_one(spark, sf)
+    return rmse(m.transform(tr)).select(r6("rmse").alias("rmse"))
+
+
+@register("A9_r2", f"""WITH {Q.PAIRS_CTE}, {Q.LR3_CTE},
+fit AS (SELECT regr_intercept(relevance, common_descriptoin) AS a,
+               regr_slope(relevance, common_descriptoin) AS b FROM train)
+SELECT round(1 - sum(power(relevance - (a + b * common_descriptoin), 2))
+             / sum(power(relevance - (SELECT avg(relevance) FROM train), 2)), 6) AS r2
+FROM train, fit""")
+def q_a9(spark, sf):
+    tr, m = _ols_one(spark, sf)
+    return r2(m.transform(tr)).select(r6("r2").alias("r2"))
+
+
+def _cv_ols(spark, sf, x):
+    f = assign_folds(_lr3_train(spark, sf), ["id"], 10)
+    data = stage(assemble(f, [x], keep=("id", "fold")))
+    return float(cross_validate(ols(), data, num_folds=10).avgMetrics[0])
+
+
+@register("M17_A10_cv_mean_rmse", f"""WITH {Q.PAIRS_CTE}, {Q.LR3_CTE}, {Q.cv_ols_cte(['common_descriptoin'])}
+SELECT round(mean_rmse, 6) AS mean_rmse FROM cvm""")
+def q_m17(spark, sf):
+    return spark.createDataFrame([(_cv_ols(spark, sf, "common_descriptoin"),)],
+                                 "mean_rmse double").select(r6("mean_rmse").alias("mean_rmse"))
+
+
+@register("L2_best_feature_by_cv", f"""WITH {Q.PAIRS_CTE}, {Q.LR3_CTE},
+{Q.cv_ols_cte(['common_title', 'common_descriptoin'])}
+SELECT feature, round(mean_rmse, 6) AS mean_rmse FROM cvm ORDER BY mean_rmse, feature LIMIT 1""")
+def q_l2(spark, sf):
+    rows = [(x, _cv_ols(spark, sf, x)) for x in ("common_title", "common_descriptoin")]
+    scores = spark.createDataFrame(rows, "feature string, mean_rmse double")
+    return best_of(scores, "mean_rmse", ["feature"]).select(
+        "feature", r6("mean_rmse").alias("mean_rmse"))
+
+
+# ---- sources and sinks (S1-S7) -------------------------------------------
+from .session import scratch_path  # noqa: E402
+
+_J1_SQL = f"""WITH {Q.PAIRS_CTE}
+SELECT p.*, d.product_description FROM pairs p LEFT JOIN descs d USING (product_uid)"""
+
+
+@register("S1_S5_csv_latin1_roundtrip", _J1_SQL)
+def q_s1(spark, sf):
+    return csv_roundtrip(q_j1(spark, sf), "s1", encoding="ISO-8859-1")
+
+
+@register("S2_csv_utf8_roundtrip", _J1_SQL)
+def q_s2(spark, sf):
+    return csv_roundtrip(q_j1(spark, sf), "s2", encoding="UTF-8")
+
+
+@register("S3_side_table_dropna", """
+SELECT doc_id AS product_uid, source AS brand FROM documents
+WHERE doc_id IS NOT NULL AND source IS NOT NULL""")
+def q_s3(spark, sf):
+    from .sources.relevance import attr_side_tables as sides
+    brand = sides(spark, sf)["brand"]
+    path = write_csv(brand, scratch_path(spark, "s3"), encoding="ISO-8859-1")
+    return read_side_table(spark, path, brand.schema)
+
+
+@register("S4_csv_inferred", f"""WITH {Q.PAIRS_CTE}, {Q.LR3_CTE}
+SELECT CAST(id AS INTEGER) AS id, relevance, CAST(query_len AS INTEGER) AS query_len,
+       CAST(common_title AS INTEGER) AS common_title,
+       CAST(common_descriptoin AS INTEGER) AS common_descriptoin FROM train""")
+def q_s4(spark, sf):
+    path = write_csv(_lr3_train(spark, sf).drop("product_uid"), scratch_path(spark, "s4"))
+    return read_csv_inferred(spark, path)
+
+
+@register("S6_csv_with_row_number", f"""WITH {Q.PAIRS_CTE}
+SELECT CAST(row_number() OVER (ORDER BY id) - 1 AS BIGINT) AS _c0, * FROM pairs""")
+def q_s6(spark, sf):
+    return csv_roundtrip(pairs(spark, sf), "s6", indexed_by=["id"])
+
+
+@register("S7_stage_parquet", _J1_SQL)
+def q_s7(spark, sf):
+    return stage(q_j1(spark, sf), "s7", how="parquet")

@@ -124,3 +124,32 @@ def lcs_ratio_cte(name: str, src: str, a: str, b: str) -> str:
                   ELSE 2.0 * r[length(b) + 1] / (length(a) + length(b)) END AS ratio
   FROM {name}_dp WHERE i = length(a))
 """
+
+LR3_CTE = f"""
+lr3 AS (
+  SELECT p.id, p.relevance,
+         {word_count('p.search_term')} AS query_len,
+         {overlap('p.search_term', 'p.product_title')} AS common_title,
+         {overlap('p.search_term', 'd.product_description')} AS common_descriptoin
+  FROM pairs p LEFT JOIN descs d USING (product_uid)),
+train AS (SELECT * FROM lr3 WHERE relevance IS NOT NULL),
+folds AS (SELECT *, CAST(ntile(10) OVER (ORDER BY id) - 1 AS INTEGER) AS fold FROM train)
+"""
+
+
+def cv_ols_cte(features: list[str]) -> str:
+    """Per (feature, fold): closed-form OLS on the other folds, RMSE on the fold."""
+    long = " UNION ALL ".join(
+        f"SELECT id, fold, relevance, '{f}' AS feature, CAST({f} AS DOUBLE) AS x FROM folds"
+        for f in features)
+    return f"""
+long AS ({long}),
+fs AS (
+  SELECT f.feature, f.fold, regr_intercept(t.relevance, t.x) AS a, regr_slope(t.relevance, t.x) AS b
+  FROM (SELECT DISTINCT feature, fold FROM long) f
+  JOIN long t ON t.feature = f.feature AND t.fold <> f.fold GROUP BY ALL),
+fr AS (
+  SELECT t.feature, t.fold, sqrt(avg(power(t.relevance - (fs.a + fs.b * t.x), 2))) AS rmse
+  FROM long t JOIN fs USING (feature, fold) GROUP BY ALL),
+cvm AS (SELECT feature, avg(rmse) AS mean_rmse FROM fr GROUP BY feature)
+"""
