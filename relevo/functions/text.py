@@ -21,8 +21,9 @@ WHITESPACE_RUN = WHITESPACE_CLASS + "+"
 ALPHA_TOKEN = "[\\p{L}\\p{Nl}\\p{No}_]+"
 # Word tokens with punctuation kept as single-character tokens (word-vector texts).
 WORD_OR_PUNCT = "[\\p{L}\\p{N}_]+|[^\\p{L}\\p{N}_\\s]"
-# Sentence boundary: whitespace after ., ! or ?
-SENTENCE_BREAK = "(?<=[.!?])\\s+"
+# Sentence boundary: whitespace after ., ! or ?  (marked, then split on the mark)
+SENTENCE_END = "([.!?])\\s+"
+_MARK = "\u0001"
 
 
 def _c(c) -> Column:
@@ -77,7 +78,9 @@ def word_tokens(c) -> Column:
 
 def sentences(c) -> Column:
     """F8: split a text into sentences after ., ! or ? (array<string>)."""
-    return F.filter(F.split(F.trim(_c(c)), SENTENCE_BREAK), lambda s: s != F.lit(""))
+    marked = F.regexp_replace(_c(c), SENTENCE_END, "$1" + _MARK)
+    return F.filter(F.transform(F.split(marked, _MARK), lambda s: F.trim(s)),
+                    lambda s: s != F.lit(""))
 
 
 def concat_cols(*parts) -> Column:

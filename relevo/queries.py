@@ -309,3 +309,91 @@ def q_s6(spark, sf):
 @register("S7_stage_parquet", _J1_SQL)
 def q_s7(spark, sf):
     return stage(q_j1(spark, sf), "s7", how="parquet")
+
+
+# ---- dense vectors and k-NN (A6, A7, J6, L1, M20) ------------------------
+from .functions.clip import clip_both as _clip_both  # noqa: E402
+from .functions.vecmath import cosine, to_double_array  # noqa: E402
+from .operators.knn import K_NEIGHBOURS, knn_join, knn_regress  # noqa: E402
+from .operators.vectors import mean_vectors  # noqa: E402
+from .sources.tables import read_table  # noqa: E402
+
+_EMB_DIM_SQL = "len(embedding)"
+
+
+def _embeddings(spark, sf):
+    return read_table(spark, sf, "embeddings").select(
+        "vec_id", "label", to_double_array("embedding").alias("vec"))
+
+
+def _centroids(spark, sf):
+    e = _embeddings(spark, sf)
+    dim = len(e.select("vec").first()["vec"])
+    return e, mean_vectors(e, ["label"], "vec", dim)
+
+
+@register("A6_class_mean_vector", """
+WITH u AS (SELECT label, i, CAST(embedding[i] AS DOUBLE) AS x
+           FROM embeddings, range(1, len(embedding) + 1) r(i)),
+m AS (SELECT label, i, avg(x) AS x FROM u GROUP BY label, i),
+c AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label)
+SELECT m.label, c.n, list(round(m.x, 6) ORDER BY m.i) AS mean
+FROM m JOIN c USING (label) GROUP BY m.label, c.n""")
+def q_a6(spark, sf):
+    _, m = _centroids(spark, sf)
+    return m.select("label", "n", F.transform("mean", lambda x: F.round(x, 6)).alias("mean"))
+
+
+@register("A7_cosine_to_class_mean", """
+WITH u AS (SELECT label, i, CAST(embedding[i] AS DOUBLE) AS x
+           FROM embeddings, range(1, len(embedding) + 1) r(i)),
+m AS (SELECT label, i, avg(x) AS c FROM u GROUP BY label, i),
+e AS (SELECT vec_id, label, i, CAST(embedding[i] AS DOUBLE) AS x
+      FROM embeddings, range(1, len(embedding) + 1) r(i)),
+s AS (SELECT e.vec_id, sum(e.x * m.c) AS dot, sqrt(sum(e.x * e.x)) AS nx, sqrt(sum(m.c * m.c)) AS nc
+      FROM e JOIN m ON e.label = m.label AND e.i = m.i GROUP BY e.vec_id)
+SELECT vec_id, round(CASE WHEN nx * nc = 0 THEN 'NaN'::DOUBLE ELSE dot / (nx * nc) END, 6) AS cos_to_mean
+FROM s""")
+def q_a7(spark, sf):
+    e, m = _centroids(spark, sf)
+    j = e.join(m.select("label", "mean"), "label", "inner")
+    return j.select("vec_id", F.round(cosine("vec", "mean"), 6).alias("cos_to_mean"))
+
+
+@register("J6_L1_knn_join_embeddings", f"""
+WITH d AS (
+  SELECT a.vec_id AS vec_id, b.vec_id AS nb_id,
+         sqrt(list_sum(list_transform(range(1, len(a.embedding) + 1), lambda i:
+              (CAST(a.embedding[i] AS DOUBLE) - CAST(b.embedding[i] AS DOUBLE))
+            * (CAST(a.embedding[i] AS DOUBLE) - CAST(b.embedding[i] AS DOUBLE))))) AS dist
+  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, nb_id) AS rank FROM d)
+SELECT vec_id, nb_id, CAST(rank AS INTEGER) AS rank, round(dist, 6) AS dist
+FROM r WHERE rank <= {K_NEIGHBOURS}""")
+def q_j6(spark, sf):
+    e = _embeddings(spark, sf)
+    nn = knn_join(e.select(F.col("vec_id").alias("qid"), "vec"),
+                  e.select(F.col("vec_id").alias("pid"), "vec"), k=K_NEIGHBOURS,
+                  exclude_self=True)
+    return nn.select(F.col("qid").alias("vec_id"), F.col("pid").alias("nb_id"), "rank",
+                     F.round("dist", 6).alias("dist"))
+
+
+@register("M20_knn_regression", f"""WITH {Q.PAIRS_CTE}, {Q.LR3_CTE},
+test AS (SELECT * FROM lr3 WHERE relevance IS NULL),
+d AS (SELECT q.id AS qid, t.id AS pid, t.relevance AS y,
+        sqrt(CAST((q.query_len - t.query_len) * (q.query_len - t.query_len)
+           + (q.common_title - t.common_title) * (q.common_title - t.common_title)
+           + (q.common_descriptoin - t.common_descriptoin) * (q.common_descriptoin - t.common_descriptoin)
+           AS DOUBLE)) AS dist
+      FROM test q JOIN train t ON TRUE),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, pid) AS rk FROM d),
+p AS (SELECT qid AS id, avg(y) AS pr FROM r WHERE rk <= {K_NEIGHBOURS} GROUP BY qid)
+SELECT id, round({Q.clip_both('pr')}, 6) AS relevance FROM p""")
+def q_m20(spark, sf):
+    f = lr3_features(pairs(spark, sf), product_descriptions(spark, sf))
+    f = f.withColumn("vec", F.array(*[F.col(c).cast("double") for c in LR3]))
+    train = f.where(F.col("relevance").isNotNull())
+    test = f.where(F.col("relevance").isNull())
+    pred = knn_regress(train, test, k=K_NEIGHBOURS)
+    return pred.select("id", F.round(_clip_both("prediction"), 6).alias("relevance"))
