@@ -93,3 +93,75 @@ def attr8_features(pairs: DataFrame, descriptions: DataFrame,
     base = attr_base(pairs, descriptions, side)
     out = attr_edit_ratios(attr_overlap(base))
     return out.select("id", "product_uid", "relevance", *ATTR8)
+
+
+def stemmed_inputs(pairs: DataFrame, descriptions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """F2 on the pair texts (per pair) and on descriptions (per product, before
+    the join -- once per product, not once per pair)."""
+    from ..functions.stem import stem_columns
+    p = stem_columns(pairs, "id", ["search_term", "product_title"])
+    d = stem_columns(descriptions, "product_uid", ["product_description"])
+    return p, d
+
+
+def w2v_features(pairs: DataFrame, products: DataFrame, fields: dict[str, str],
+                 seed: int = 42, max_iter: int = 1) -> DataFrame:
+    """M23 + J5 + A6 + A7: train word vectors on the sentences of every pair's
+    ``title . description .`` text (train and test rows, duplicates kept),
+    then the search-term/field cosines per pair."""
+    from ..operators.tfidf import corpus_text
+    from ..operators.vectors import (VECTOR_SIZE, sentence_tokens, train_word2vec,
+                                     vector_table, w2v_cosines)
+    j = left_join(pairs, products)
+    docs = j.select("id", corpus_text(F.col("product_title"),
+                                      F.col("product_description")).alias("all_texts"))
+    corpus = sentence_tokens(docs, "id", "all_texts")
+    model = train_word2vec(corpus, seed=seed, max_iter=max_iter)
+    vectors = vector_table(model)
+    return w2v_cosines(j, vectors, fields, VECTOR_SIZE)
+
+
+def desc7_features(pairs: DataFrame, descriptions: DataFrame, stem: bool = True,
+                   seed: int = 42, include_uid: bool = True) -> DataFrame:
+    """E1 (description flow): edit ratios, TF-IDF cosines and word-vector
+    cosines of the search term against title and description."""
+    from ..functions.edit import edit_ratio
+    from ..operators.tfidf import tfidf_cosines
+    from ..sources.csvio import stage
+
+    p, d = stemmed_inputs(pairs, descriptions) if stem else (pairs, descriptions)
+    p, d = stage(p), stage(d)        # reused by three feature branches
+    j = left_join(p, d)
+    ratios = j.select("id", "product_uid", "relevance",
+                      edit_ratio("search_term", "product_title").alias("dist_in_title"),
+                      edit_ratio("search_term", "product_description").alias("dist_in_desc"))
+    tf = tfidf_cosines(p, d, ("title", "desc"))
+    wv = w2v_features(p, d, {"title": "product_title", "desc": "product_description"}, seed=seed)
+    out = ratios.join(tf, "id", "left").join(wv, "id", "left")
+    cols = list(DESC7) if include_uid else [c for c in DESC7 if c != "product_uid"]
+    return out.select("id", "relevance", *cols)
+
+
+def attr15_features(pairs: DataFrame, descriptions: DataFrame, attributes_long: DataFrame,
+                    side: dict[str, DataFrame], seed: int = 42) -> DataFrame:
+    """E2 notebook flow: stemmed texts; 4 overlaps, 4 edit ratios, 4 TF-IDF
+    cosines (dictionary over title + description) and 3 word-vector cosines
+    (material's is computed by the reference but left out of the matrix)."""
+    from ..functions.stem import stem_columns
+    from ..operators.tfidf import tfidf_cosines
+    from ..sources.csvio import stage
+
+    p, d = stemmed_inputs(pairs, descriptions)
+    attrs = stem_columns(attributes_long, ["product_uid", "pos"], ["value"])
+    bullets = aggregate_attributes(attrs, out="bullets")
+    side = {**side, "bullets": bullets}
+    base = stage(attr_base(p, d, side))
+    feats = attr_edit_ratios(attr_overlap(base))
+    products = base.select("product_uid", "product_description", "brand", "material") \
+        .dropDuplicates(["product_uid"])
+    pp = base.select("id", "product_uid", "search_term", "product_title")
+    tf = tfidf_cosines(pp, products, ("title", "desc", "brand", "material"))
+    wv = w2v_features(pp, products, {"title": "product_title", "desc": "product_description",
+                                     "brand": "brand"}, seed=seed)
+    out = feats.join(tf, "id", "left").join(wv, "id", "left")
+    return out.select("id", "product_uid", "relevance", *ATTR15)

@@ -397,3 +397,27 @@ def q_m20(spark, sf):
     test = f.where(F.col("relevance").isNull())
     pred = knn_regress(train, test, k=K_NEIGHBOURS)
     return pred.select("id", F.round(_clip_both("prediction"), 6).alias("relevance"))
+
+
+# ---- stemming and the description / notebook flows (F2, E1, E2) ----------
+from .plans.features import ATTR15, DESC7, attr15_features, desc7_features, stemmed_inputs  # noqa: E402
+
+
+@register("F2_stemmed_pairs")
+def q_f2(spark, sf):
+    p, d = stemmed_inputs(pairs(spark, sf), product_descriptions(spark, sf))
+    return left_join(p, d).select("id", "search_term", "product_title", "product_description")
+
+
+@register("E1_desc7_features")
+def q_e1(spark, sf):
+    f = desc7_features(pairs(spark, sf), product_descriptions(spark, sf))
+    return f.select("id", "relevance", *[r6(c).alias(c) if c != "product_uid" else F.col(c)
+                                         for c in DESC7])
+
+
+@register("E2_attr15_features")
+def q_e2_nb(spark, sf):
+    f = attr15_features(pairs(spark, sf), product_descriptions(spark, sf),
+                        attributes(spark, sf), attr_side_tables(spark, sf))
+    return f.select("id", "product_uid", "relevance", *[r6(c).alias(c) for c in ATTR15])
