@@ -179,7 +179,7 @@ from .models.cv import cross_validate  # noqa: E402
 from .operators.metrics import r2, rmse  # noqa: E402
 from .operators.order import assign_folds, best_of, peek, row_index  # noqa: E402
 from .sources.csvio import (csv_roundtrip, read_csv, read_csv_inferred, read_side_table,  # noqa: E402
-                            stage, write_csv)
+                            right_size, stage, write_csv)
 
 
 def _lr3_train(spark, sf):
@@ -421,3 +421,52 @@ def q_e2_nb(spark, sf):
     f = attr15_features(pairs(spark, sf), product_descriptions(spark, sf),
                         attributes(spark, sf), attr_side_tables(spark, sf))
     return f.select("id", "product_uid", "relevance", *[r6(c).alias(c) for c in ATTR15])
+
+
+# ---- models on the attribute features (M3, M4, M6-M16, M21, S9, P12, P13) -
+from .models import ensemble as EN  # noqa: E402
+from .models import gradient as GR  # noqa: E402
+from .models import linear as LN  # noqa: E402
+from .models import trees as TR  # noqa: E402
+from .plans.scoring import fit_and_score  # noqa: E402,F811
+
+
+def _attr8_staged(spark, sf):
+    f = attr8_features(pairs(spark, sf), product_descriptions(spark, sf),
+                       attr_side_tables(spark, sf))
+    return stage(f)
+
+
+def _model_query(name: str, make_estimator, clip: str, folds: bool = False):
+    def run(spark, sf):
+        feats = _attr8_staged(spark, sf)
+        if folds:
+            tr = feats.where(F.col("relevance").isNotNull())
+            feats = assign_folds(tr, ["id"], 10).unionByName(
+                feats.where(F.col("relevance").isNull()), allowMissingColumns=True)
+        keep = ("id", "fold") if folds else ("id",)
+        train = assemble(feats.where(F.col("relevance").isNotNull()), ATTR8, keep=keep)
+        test = assemble(feats.where(F.col("relevance").isNull()), ATTR8, label=None,
+                        keep=("id",))
+        model = make_estimator().fit(stage(right_size(train)))
+        from .plans.scoring import CLIPS
+        return model.transform(test).select("id", r6(CLIPS[clip]("prediction")).alias("relevance"))
+    run.__name__ = f"q_{name}"
+    return register(name)(run)
+
+
+# Clipping of each model's predictions follows the reference's attribute pass.
+_model_query("M8_random_forest", lambda: TR.random_forest(**{"seed": 2014}), "up")
+_model_query("M13_adaboost_r2", lambda: EN.AdaBoostR2(), "up")
+_model_query("M14_bagging_boosted", lambda: EN.Bagging(
+    lambda i: TR.xgb_like(seed=2016 + i), n=10, seed=2016, parallelism=10), "up")
+_model_query("M9_extra_trees", lambda: EN.ExtraTrees(num_trees=300, max_depth=16), "up")
+_model_query("M10_gradient_boosting", lambda: TR.gradient_boosting(), "both")
+_model_query("M5_S9_linear_predictions", lambda: LN.ols(), "up")
+_model_query("M15_linear_svr", lambda: GR.LinearSVR(), "up")
+_model_query("M6_ridge_cv", lambda: LN.RidgeCV(), "up", folds=True)
+_model_query("M16_mlp", lambda: GR.MLPRegressor(), "both")
+_model_query("M11_boosting_preset", lambda: TR.xgb_like(preset=1), "both")
+_model_query("M7_decision_tree", lambda: TR.decision_tree(), "both")
+_model_query("M12_grade_classifier", lambda: TR.GradeClassifier(), "up")
+_model_query("M15_rbf_svr", lambda: GR.RbfSVR(), "up")

@@ -72,6 +72,19 @@ def stage(df: DataFrame, name: str = "stage", how: str = "checkpoint") -> DataFr
     return df.checkpoint(eager=True)
 
 
+ROWS_PER_PARTITION = 200_000
+
+
+def right_size(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+    """Coalesce to ``ceil(rows / rows_per_partition)`` partitions when that is
+    fewer than the current count: iterative learners run one job per round,
+    so empty-ish partitions only add scheduling overhead; large inputs keep
+    one partition per ``rows_per_partition`` rows."""
+    n = df.count()
+    want = max(1, -(-n // rows_per_partition))
+    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
+
+
 def csv_roundtrip(df: DataFrame, name: str, encoding: str = "UTF-8",
                   indexed_by: Sequence[str] | None = None) -> DataFrame:
     """Write ``df`` as CSV to the scratch folder and read it back with its schema."""
@@ -87,4 +100,4 @@ def csv_roundtrip(df: DataFrame, name: str, encoding: str = "UTF-8",
 
 
 __all__ = ["read_csv", "read_csv_inferred", "read_side_table", "write_csv",
-           "write_csv_indexed", "write_predictions", "stage", "csv_roundtrip", "F"]
+           "write_csv_indexed", "write_predictions", "stage", "right_size", "csv_roundtrip", "F"]
