@@ -470,3 +470,108 @@ _model_query("M11_boosting_preset", lambda: TR.xgb_like(preset=1), "both")
 _model_query("M7_decision_tree", lambda: TR.decision_tree(), "both")
 _model_query("M12_grade_classifier", lambda: TR.GradeClassifier(), "up")
 _model_query("M15_rbf_svr", lambda: GR.RbfSVR(), "up")
+
+
+# ---- scalar text operators and null handling (F1, F3, F8, F9, U1, U2, P*) ---
+from .functions.text import (contains_text, fill_text, nan_text, normalise, pack,  # noqa: E402
+                             unpack)
+from .functions.text import first_words as _first_words  # noqa: E402
+from .operators.joins import union_all  # noqa: E402
+from .operators.tfidf import corpus_text  # noqa: E402
+from .operators.vectors import sentence_tokens  # noqa: E402
+from .sources.relevance import test_pairs, train_pairs  # noqa: E402
+
+
+@register("F1_normalise", f"""WITH {Q.PAIRS_CTE}
+SELECT id, {Q.normalise('search_term')} AS search_term, {Q.normalise('product_title')} AS product_title
+FROM pairs""")
+def q_f1(spark, sf):
+    return pairs(spark, sf).select("id", normalise("search_term").alias("search_term"),
+                                   normalise("product_title").alias("product_title"))
+
+
+@register("F3_contains", f"""WITH {Q.PAIRS_CTE}
+SELECT p.id, instr(p.product_title, p.search_term) > 0 AS term_in_title,
+       instr(d.product_description, {Q.first_words('p.search_term', 1)}) > 0 AS first_word_in_desc
+FROM pairs p LEFT JOIN descs d USING (product_uid)""")
+def q_f3(spark, sf):
+    j = left_join(pairs(spark, sf), product_descriptions(spark, sf))
+    return j.select("id", contains_text("product_title", "search_term").alias("term_in_title"),
+                    contains_text("product_description", _first_words("search_term", 1))
+                    .alias("first_word_in_desc"))
+
+
+@register("F8_F9_U2_sentence_tokens", f"""WITH {Q.PAIRS_CTE},
+docs AS (SELECT p.id, p.product_title || ' . ' || d.product_description || ' . ' AS all_texts
+         FROM pairs p LEFT JOIN descs d USING (product_uid)),
+s AS (SELECT id, {Q.sentences('all_texts')} AS sents FROM docs)
+SELECT id, CAST(i - 1 AS INTEGER) AS s_idx,
+       regexp_extract_all(sents[i], '{Q.WORD_OR_PUNCT}') AS tokens
+FROM s, range(1, len(sents) + 1) r(i)""")
+def q_f8(spark, sf):
+    j = left_join(pairs(spark, sf), product_descriptions(spark, sf))
+    docs = j.select("id", corpus_text(F.col("product_title"),
+                                      F.col("product_description")).alias("all_texts"))
+    return sentence_tokens(docs, "id", "all_texts")
+
+
+@register("U1_union_train_test", f"""WITH {Q.PAIRS_CTE} SELECT * FROM pairs""")
+def q_u1(spark, sf):
+    return union_all(train_pairs(spark, sf), test_pairs(spark, sf))
+
+
+@register("P4_P5_fill_and_nan_text", f"""WITH {Q.PAIRS_CTE}
+SELECT id, coalesce(CAST(relevance AS VARCHAR), ' ') AS grade_or_blank,
+       coalesce(CAST(relevance AS VARCHAR), 'nan') AS grade_text FROM pairs""")
+def q_p45(spark, sf):
+    p = pairs(spark, sf)
+    return p.select("id", fill_text(F.col("relevance").cast("string"), " ").alias("grade_or_blank"),
+                    nan_text("relevance").alias("grade_text"))
+
+
+@register("P6_dropna_any", f"""WITH {Q.PAIRS_CTE}
+SELECT id, relevance FROM pairs WHERE id IS NOT NULL AND relevance IS NOT NULL""")
+def q_p6(spark, sf):
+    return pairs(spark, sf).select("id", "relevance").na.drop("any")
+
+
+@register("P7_dropna_all", f"""WITH {Q.PAIRS_CTE}
+SELECT relevance, relevance - 1 AS grade_index FROM pairs
+WHERE relevance IS NOT NULL OR relevance - 1 IS NOT NULL""")
+def q_p7(spark, sf):
+    p = pairs(spark, sf)
+    return p.select("relevance", (F.col("relevance") - 1).alias("grade_index")).na.drop("all")
+
+
+@register("P10_pack_unpack", f"""WITH {Q.PAIRS_CTE}
+SELECT id, string_split(search_term || chr(9) || product_title, chr(9))[1] AS search_term,
+       string_split(search_term || chr(9) || product_title, chr(9))[2] AS product_title FROM pairs""")
+def q_p10(spark, sf):
+    p = pairs(spark, sf).withColumn("info", pack("search_term", "product_title"))
+    return p.select("id", unpack("info", 0).alias("search_term"),
+                    unpack("info", 1).alias("product_title"))
+
+
+_OLS_TEST_SQL = f"""WITH {Q.PAIRS_CTE}, {Q.LR3_CTE},
+fit AS (SELECT regr_intercept(relevance, common_descriptoin) AS a,
+               regr_slope(relevance, common_descriptoin) AS b FROM train),
+pr AS (SELECT id, a + b * common_descriptoin AS p FROM lr3, fit WHERE relevance IS NULL)"""
+
+
+def _ols_test_predictions(spark, sf):
+    f = lr3_features(pairs(spark, sf), product_descriptions(spark, sf))
+    model, pred = fit_and_score(ols(), f, ["common_descriptoin"], clip="none")
+    return pred
+
+
+@register("P12_clip_both", f"""{_OLS_TEST_SQL}
+SELECT id, round({Q.clip_both('p')}, 6) AS relevance FROM pr""")
+def q_p12(spark, sf):
+    return _ols_test_predictions(spark, sf).select("id", r6(clip_both("relevance")).alias("relevance"))
+
+
+@register("P13_clip_upper", f"""{_OLS_TEST_SQL}
+SELECT id, round({Q.clip_upper('p')}, 6) AS relevance FROM pr""")
+def q_p13(spark, sf):
+    from .functions.clip import clip_upper
+    return _ols_test_predictions(spark, sf).select("id", r6(clip_upper("relevance")).alias("relevance"))

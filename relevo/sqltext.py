@@ -153,3 +153,15 @@ fr AS (
   FROM long t JOIN fs USING (feature, fold) GROUP BY ALL),
 cvm AS (SELECT feature, avg(rmse) AS mean_rmse FROM fr GROUP BY feature)
 """
+
+WORD_OR_PUNCT = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
+
+
+def normalise(e: str) -> str:
+    return f"array_to_string({words(f'lower({e})')}, ' ')"
+
+
+def sentences(e: str) -> str:
+    marked = f"regexp_replace({e}, '([.!?])\\s+', '\\1' || chr(1), 'g')"
+    return (f"list_filter(list_transform(string_split({marked}, chr(1)), lambda s: trim(s)), "
+            f"lambda s: s <> '')")
