@@ -575,3 +575,92 @@ SELECT id, round({Q.clip_upper('p')}, 6) AS relevance FROM pr""")
 def q_p13(spark, sf):
     from .functions.clip import clip_upper
     return _ols_test_predictions(spark, sf).select("id", r6(clip_upper("relevance")).alias("relevance"))
+
+
+# ---- model flows with rows-only checks (A11, M2-M4, M18, M22, M23, J5) -----
+from .models.cv import cv_scores_frame, depth_sweep  # noqa: E402
+from .operators.metrics import scoreboard  # noqa: E402
+from .operators.vectors import VECTOR_SIZE, text_vectors, train_word2vec, vector_table  # noqa: E402
+
+
+def _cv_frame(spark, data, est, model_name, feature_set, grid=None, param=None):
+    cvm = cross_validate(est, data, grid=grid, num_folds=10)
+    from pyspark.ml.tuning import ParamGridBuilder
+    g = grid if grid is not None else ParamGridBuilder().build()
+    return cv_scores_frame(spark, model_name, cvm, g, param, feature_set)
+
+
+@register("A11_scoreboard")
+def q_a11(spark, sf):
+    """10-fold CV RMSE of linear and tree models, without / with attribute
+    features (overlap-only vs the attribute set), as one pivoted table."""
+    lr3f = assign_folds(_lr3_train(spark, sf), ["id"], 10)
+    attr = _attr8_staged(spark, sf).where(F.col("relevance").isNotNull())
+    attr = assign_folds(attr, ["id"], 10)
+    sets = {"without_attributes": stage(right_size(assemble(lr3f, LR3, keep=("id", "fold")))),
+            "with_attributes": stage(right_size(assemble(attr, ATTR8, keep=("id", "fold"))))}
+    rows = []
+    for fs, data in sets.items():
+        rows.append(_cv_frame(spark, data, ols(), "linear", fs))
+        rows.append(_cv_frame(spark, data, TR.decision_tree(), "decision_tree", fs))
+    board = scoreboard(rows)
+    return board.select("model", *[r6(c).alias(c) for c in board.columns if c != "model"])
+
+
+@register("M18_depth_sweep")
+def q_m18(spark, sf):
+    """M18 + M17 + L2: random-forest depth sweep (the reference's grid) with
+    10-fold CV; every depth's mean RMSE and a flag on the best one."""
+    attr = assign_folds(_attr8_staged(spark, sf).where(F.col("relevance").isNotNull()), ["id"], 10)
+    data = stage(right_size(assemble(attr, ATTR8, keep=("id", "fold"))))
+    rf = TR.random_forest(seed=2018)
+    grid = depth_sweep(rf)
+    scores = _cv_frame(spark, data, rf, "random_forest", "attr8", grid, "maxDepth")
+    best = best_of(scores, "rmse", ["value"]).select(F.col("value").alias("_best"))
+    return (scores.join(best, F.col("value") == F.col("_best"), "left")
+            .select("model", "param", "value", r6("rmse").alias("rmse"),
+                    F.col("_best").isNotNull().alias("best")))
+
+
+@register("E3_M2_M3_M4_elastic_net")
+def q_e3_spark(spark, sf):
+    """The Spark linear flow: random 70/30 split, elastic net (reg 0.3, mix
+    0.8, 1000 iterations), training summary and held-out RMSE."""
+    f = assemble(_lr3_train(spark, sf), LR3, keep=("id",))
+    train, test = f.randomSplit([0.7, 0.3], seed=42)
+    model = LN.elastic_net().fit(stage(train))
+    summ = LN.summary_frame(spark, model)
+    held = rmse(model.transform(test)).first()["rmse"]
+    return summ.withColumn("test_rmse", F.lit(held).cast("double"))
+
+
+@register("M22_training_rmse")
+def q_m22(spark, sf):
+    """Training-set RMSE of the notebook's forest (120 trees, depth 12)."""
+    tr = assemble(_attr8_staged(spark, sf).where(F.col("relevance").isNotNull()), ATTR8,
+                  keep=("id",))
+    tr = stage(right_size(tr))
+    m = TR.random_forest(numTrees=120, maxDepth=12, minInstancesPerNode=1,
+                         featureSubsetStrategy="auto", seed=0).fit(tr)
+    return rmse(m.transform(tr)).select(r6("rmse").alias("rmse"))
+
+
+def _w2v_inputs(spark, sf):
+    j = left_join(pairs(spark, sf), product_descriptions(spark, sf))
+    docs = j.select("id", corpus_text(F.col("product_title"),
+                                      F.col("product_description")).alias("all_texts"))
+    model = train_word2vec(sentence_tokens(docs, "id", "all_texts"))
+    return j, vector_table(model)
+
+
+@register("M23_word_vectors")
+def q_m23(spark, sf):
+    _, vecs = _w2v_inputs(spark, sf)
+    return vecs.select("word", F.size("vec").alias("dim"))
+
+
+@register("J5_A6_text_mean_vectors")
+def q_j5(spark, sf):
+    j, vecs = _w2v_inputs(spark, sf)
+    tv = text_vectors(j, "id", {"q": "search_term", "title": "product_title"}, vecs, VECTOR_SIZE)
+    return tv.select("id", "field", "n", "n_unknown", F.size("mean").alias("dim"))
