@@ -1,6 +1,17 @@
-"""stem text columns with the Snowball English algorithm, as a Spark job.
+"""stem text columns with the Snowball English algorithm.
 
-``lower -> split -> stem each word -> join by one blank`` is computed as:
+``lower -> split -> stem each word -> join by one blank``.  Two plans:
+
+* ``method="inline"`` (default): a vectorised (Arrow) UDF rewrites each
+  text where it lies, with a bounded per-worker memo of word -> stem, so a
+  word is stemmed once per worker and no token is shuffled.  Whitespace
+  splitting and lower-casing stay in Spark expressions.
+* ``method="vocabulary"``: the vocabulary job below.  It stems each
+  distinct word exactly once in the whole cluster but shuffles every token
+  twice (join back, regroup), which costs more than the Python work it saves
+  on long texts; kept for corpora with a very small vocabulary.
+
+The vocabulary job:
 
 1. explode every text into ``(key, field, pos, word)``;
 2. take the *distinct* words of the corpus and stem them once each in an
@@ -31,17 +42,45 @@ def _stem_udf(s: pd.Series) -> pd.Series:
     return s.map(stem_word)
 
 
+_MEMO: dict[str, str] = {}
+_MEMO_MAX = 1_000_000
+
+
+def _stem_cached(w: str) -> str:
+    r = _MEMO.get(w)
+    if r is None:
+        if len(_MEMO) >= _MEMO_MAX:
+            _MEMO.clear()
+        r = _MEMO[w] = stem_word(w)
+    return r
+
+
+@F.pandas_udf(T.StringType())
+def _stem_words_udf(ws: pd.Series) -> pd.Series:
+    return pd.Series([None if w is None else " ".join(_stem_cached(x) for x in w) for w in ws],
+                     dtype=object)
+
+
+def stem_text(c) -> "F.Column":
+    """Stemmed text of a column (null stays null, no words gives '')."""
+    col = F.col(c) if isinstance(c, str) else c
+    return _stem_words_udf(words(F.lower(col)))
+
+
 def stem_vocabulary(tokens: DataFrame, word: str = "word") -> DataFrame:
     """``(word, stem)`` for the distinct words of ``tokens``."""
     vocab = tokens.select(word).distinct()
     return vocab.select(word, _stem_udf(F.col(word)).alias("stem"))
 
 
-def stem_columns(df: DataFrame, key: str | Sequence[str], cols: Sequence[str]) -> DataFrame:
+def stem_columns(df: DataFrame, key: str | Sequence[str], cols: Sequence[str],
+                 method: str = "inline") -> DataFrame:
     """Return ``df`` with each of ``cols`` replaced by its stemmed text.
 
-    ``key`` must identify rows of ``df`` uniquely.
+    ``key`` must identify rows of ``df`` uniquely (vocabulary method).
     """
+    if method == "inline":
+        return df.withColumns({c: stem_text(c) for c in cols})
     keys = [key] if isinstance(key, str) else list(key)
     exploded = None
     for c in cols:

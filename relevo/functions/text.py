@@ -41,8 +41,15 @@ def normalise(c) -> Column:
 
 
 def first_words(c, n: int) -> Column:
-    """The first ``n`` whitespace words joined by one blank."""
-    return F.array_join(F.slice(words(c), 1, n), " ")
+    """The first ``n`` whitespace words joined by one blank.
+
+    Splits at most ``n`` times (``limit = n + 1``), so a long text is not cut
+    into all of its words just to keep the first few; the ``n+1``-th piece is
+    the unsplit remainder and is dropped.
+    """
+    head = F.regexp_replace(_c(c), "^" + WHITESPACE_RUN, "")
+    parts = F.split(head, WHITESPACE_RUN, n + 1)
+    return F.array_join(F.slice(F.filter(parts, lambda w: w != F.lit("")), 1, n), " ")
 
 
 def word_count(c) -> Column:

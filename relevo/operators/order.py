@@ -7,8 +7,8 @@ without a partition runs in one task, so the index is built instead from a
 range-partitioned sort: each row's ``monotonically_increasing_id`` encodes
 (partition, position); the per-partition counts (one row per partition --
 bounded by the partition count, not the data) give each partition's offset.
-The sorted, tagged rows are checkpointed to the shared checkpoint folder so
-a re-executed task (lost executor) cannot shift positions.
+The sorted, tagged rows are written to the shared checkpoint folder so a
+re-executed task (lost executor) cannot shift positions.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ def row_index(df: DataFrame, order: Sequence[str | Column], name: str = "row_idx
     """``df`` plus a 0-based global row number ``name`` in ``order`` order."""
     tagged = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
     if checkpoint:
-        tagged = tagged.checkpoint(eager=True)
+        from ..sources.csvio import stage
+        tagged = stage(tagged, "row-index")
     pid = F.shiftright(F.col("_mid"), _POS_BITS)
     counts = tagged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(

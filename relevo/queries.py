@@ -16,6 +16,7 @@ from .operators.attributes import aggregate_attributes
 from .operators.joins import left_join
 from .plans.features import LR3, LR3_ATTR, lr3_features
 from .plans.scoring import fit_and_score
+from .sources.csvio import stage
 from .sources.relevance import attributes, pairs, product_descriptions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,7 +73,9 @@ from .operators.tfidf import bag_of_words, idf_table, tfidf_cosines, tfidf_weigh
 
 
 def _tfidf_inputs(spark, sf):
-    p = pairs(spark, sf)
+    # the pair table feeds the dictionary, both weight sides and the output:
+    # materialise it once instead of re-deriving it in every branch
+    p = stage(pairs(spark, sf), "pairs")
     return p, product_descriptions(spark, sf)
 
 

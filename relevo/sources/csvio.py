@@ -57,13 +57,14 @@ def write_predictions(pred: DataFrame, path: str) -> str:
     return write_csv(pred.select("id", "relevance"), path)
 
 
-def stage(df: DataFrame, name: str = "stage", how: str = "checkpoint") -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", how: str = "parquet") -> DataFrame:
     """Materialise an intermediate result in the shared checkpoint folder
     and continue from it (types survive, lineage is cut, a lost executor
     re-reads the files instead of recomputing the plan).
 
-    ``how='parquet'`` writes a Parquet table and reads it back;
-    ``how='checkpoint'`` uses the reliable RDD checkpoint.
+    ``how='parquet'`` (default) writes a Parquet table and reads it back: the
+    plan runs once.  ``how='checkpoint'`` uses the reliable RDD checkpoint,
+    which runs the plan a second time to write it unless it is cached.
     """
     if how == "parquet":
         path = scratch_path(df.sparkSession, name)
