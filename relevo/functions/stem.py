@@ -80,7 +80,8 @@ def stem_columns(df: DataFrame, key: str | Sequence[str], cols: Sequence[str],
     ``key`` must identify rows of ``df`` uniquely (vocabulary method).
     """
     if method == "inline":
-        return df.withColumns({c: stem_text(c) for c in cols})
+        from ..sources.csvio import spread
+        return spread(df).withColumns({c: stem_text(c) for c in cols})
     keys = [key] if isinstance(key, str) else list(key)
     exploded = None
     for c in cols:

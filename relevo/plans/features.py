@@ -81,9 +81,10 @@ def attr_overlap(base: DataFrame) -> DataFrame:
 def attr_edit_ratios(base: DataFrame, fields=("title", "desc", "brand", "material")) -> DataFrame:
     """The F5 ratios ``dist_in_<field>`` between the search term and each field."""
     from ..functions.edit import edit_ratio
+    from ..sources.csvio import spread
     src = {"title": "product_title", "desc": "product_description",
            "brand": "brand", "material": "material"}
-    return base.select("*", *[edit_ratio("search_term", src[f]).alias(f"dist_in_{f}")
+    return spread(base).select("*", *[edit_ratio("search_term", src[f]).alias(f"dist_in_{f}")
                               for f in fields])
 
 
@@ -127,11 +128,11 @@ def desc7_features(pairs: DataFrame, descriptions: DataFrame, stem: bool = True,
     cosines of the search term against title and description."""
     from ..functions.edit import edit_ratio
     from ..operators.tfidf import tfidf_cosines
-    from ..sources.csvio import stage
+    from ..sources.csvio import spread, stage
 
     p, d = stemmed_inputs(pairs, descriptions) if stem else (pairs, descriptions)
     p, d = stage(p), stage(d)        # reused by three feature branches
-    j = left_join(p, d)
+    j = spread(left_join(p, d))
     ratios = j.select("id", "product_uid", "relevance",
                       edit_ratio("search_term", "product_title").alias("dist_in_title"),
                       edit_ratio("search_term", "product_description").alias("dist_in_desc"))

@@ -86,6 +86,15 @@ def right_size(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> D
     return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a CPU-heavy step (Arrow UDF over long texts) at least one
+    partition per core: a small staged table reads back as one or two
+    partitions.  A no-op whenever the input already has that many, i.e. on
+    any large input."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def csv_roundtrip(df: DataFrame, name: str, encoding: str = "UTF-8",
                   indexed_by: Sequence[str] | None = None) -> DataFrame:
     """Write ``df`` as CSV to the scratch folder and read it back with its schema."""
@@ -101,4 +110,4 @@ def csv_roundtrip(df: DataFrame, name: str, encoding: str = "UTF-8",
 
 
 __all__ = ["read_csv", "read_csv_inferred", "read_side_table", "write_csv",
-           "write_csv_indexed", "write_predictions", "stage", "right_size", "csv_roundtrip", "F"]
+           "write_csv_indexed", "write_predictions", "stage", "right_size", "spread", "csv_roundtrip", "F"]

@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The reference reads every input file once and has no stream, watermark,
+window or state anywhere, so there is no streaming operator to rebuild.
+All operators of this package are plain DataFrame plans, so the stateless
+per-pair features (overlap counts, edit ratios, clipping, scoring with a
+fitted model) would run unchanged on a ``readStream`` source; the corpus
+statistics (TF-IDF dictionary, word vectors, model fits) are batch jobs.
+"""
