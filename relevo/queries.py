@@ -667,3 +667,26 @@ def q_j5(spark, sf):
     j, vecs = _w2v_inputs(spark, sf)
     tv = text_vectors(j, "id", {"q": "search_term", "title": "product_title"}, vecs, VECTOR_SIZE)
     return tv.select("id", "field", "n", "n_unknown", F.size("mean").alias("dim"))
+
+
+# ---- column roles (P1, P2, M1) ---------------------------------------------
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+
+from .operators.columns import drop_columns, keep_columns  # noqa: E402
+
+
+@register("P1_P2_keep_and_drop", f"""WITH {Q.PAIRS_CTE}
+SELECT id, product_uid, relevance FROM pairs""")
+def q_p12_cols(spark, sf):
+    p = keep_columns(pairs(spark, sf), ["id", "product_uid", "product_title", "search_term",
+                                        "relevance"])
+    return drop_columns(p, ["product_title", "search_term"])
+
+
+@register("M1_feature_vectors", f"""WITH {Q.PAIRS_CTE}, {Q.LR3_CTE}
+SELECT id, relevance, [CAST(query_len AS DOUBLE), CAST(common_title AS DOUBLE),
+                       CAST(common_descriptoin AS DOUBLE)] AS features FROM lr3""")
+def q_m1(spark, sf):
+    f = assemble(lr3_features(pairs(spark, sf), product_descriptions(spark, sf)), LR3,
+                 keep=("id",))
+    return f.select("id", "relevance", vector_to_array("features").alias("features"))
