@@ -27,6 +27,10 @@ def fit_and_score(estimator, features: DataFrame, feature_cols: Sequence[str],
     ``model.transform(df)`` producing ``prediction`` over a ``features``
     vector column (Spark ML and this package's driver-loop models alike).
     """
+    from ..sources.csvio import stage
+    # one narrow table (key, label, features) feeds the fit and the scoring:
+    # materialise it once instead of re-running the text plan for each side
+    features = stage(features.select(key, label, *feature_cols), "features")
     train, test = split_sides(features, label)
     tr = assemble(train, feature_cols, label=label, keep=(key,))
     te = assemble(test, feature_cols, label=None, keep=(key,))

@@ -246,7 +246,7 @@ def q_a9(spark, sf):
 
 def _cv_ols(spark, sf, x):
     f = assign_folds(_lr3_train(spark, sf), ["id"], 10)
-    data = stage(assemble(f, [x], keep=("id", "fold")))
+    data = stage(assemble(f, [x], keep=("id", "fold")), spread_out=False)
     return float(cross_validate(ols(), data, num_folds=10).avgMetrics[0])
 
 
@@ -451,7 +451,7 @@ def _model_query(name: str, make_estimator, clip: str, folds: bool = False):
         train = assemble(feats.where(F.col("relevance").isNotNull()), ATTR8, keep=keep)
         test = assemble(feats.where(F.col("relevance").isNull()), ATTR8, label=None,
                         keep=("id",))
-        model = make_estimator().fit(stage(right_size(train)))
+        model = make_estimator().fit(stage(right_size(train), spread_out=False))
         from .plans.scoring import CLIPS
         return model.transform(test).select("id", r6(CLIPS[clip]("prediction")).alias("relevance"))
     run.__name__ = f"q_{name}"
@@ -600,8 +600,8 @@ def q_a11(spark, sf):
     lr3f = assign_folds(_lr3_train(spark, sf), ["id"], 10)
     attr = _attr8_staged(spark, sf).where(F.col("relevance").isNotNull())
     attr = assign_folds(attr, ["id"], 10)
-    sets = {"without_attributes": stage(right_size(assemble(lr3f, LR3, keep=("id", "fold")))),
-            "with_attributes": stage(right_size(assemble(attr, ATTR8, keep=("id", "fold"))))}
+    sets = {"without_attributes": stage(right_size(assemble(lr3f, LR3, keep=("id", "fold"))), spread_out=False),
+            "with_attributes": stage(right_size(assemble(attr, ATTR8, keep=("id", "fold"))), spread_out=False)}
     rows = []
     for fs, data in sets.items():
         rows.append(_cv_frame(spark, data, ols(), "linear", fs))
@@ -615,7 +615,7 @@ def q_m18(spark, sf):
     """M18 + M17 + L2: random-forest depth sweep (the reference's grid) with
     10-fold CV; every depth's mean RMSE and a flag on the best one."""
     attr = assign_folds(_attr8_staged(spark, sf).where(F.col("relevance").isNotNull()), ["id"], 10)
-    data = stage(right_size(assemble(attr, ATTR8, keep=("id", "fold"))))
+    data = stage(right_size(assemble(attr, ATTR8, keep=("id", "fold"))), spread_out=False)
     rf = TR.random_forest(seed=2018)
     grid = depth_sweep(rf)
     scores = _cv_frame(spark, data, rf, "random_forest", "attr8", grid, "maxDepth")
@@ -642,7 +642,7 @@ def q_m22(spark, sf):
     """Training-set RMSE of the notebook's forest (120 trees, depth 12)."""
     tr = assemble(_attr8_staged(spark, sf).where(F.col("relevance").isNotNull()), ATTR8,
                   keep=("id",))
-    tr = stage(right_size(tr))
+    tr = stage(right_size(tr), spread_out=False)
     m = TR.random_forest(numTrees=120, maxDepth=12, minInstancesPerNode=1,
                          featureSubsetStrategy="auto", seed=0).fit(tr)
     return rmse(m.transform(tr)).select(r6("rmse").alias("rmse"))

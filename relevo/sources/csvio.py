@@ -57,7 +57,8 @@ def write_predictions(pred: DataFrame, path: str) -> str:
     return write_csv(pred.select("id", "relevance"), path)
 
 
-def stage(df: DataFrame, name: str = "stage", how: str = "parquet") -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", how: str = "parquet",
+          spread_out: bool = True) -> DataFrame:
     """Materialise an intermediate result in the shared checkpoint folder
     and continue from it (types survive, lineage is cut, a lost executor
     re-reads the files instead of recomputing the plan).
@@ -65,12 +66,19 @@ def stage(df: DataFrame, name: str = "stage", how: str = "parquet") -> DataFrame
     ``how='parquet'`` (default) writes a Parquet table and reads it back: the
     plan runs once.  ``how='checkpoint'`` uses the reliable RDD checkpoint,
     which runs the plan a second time to write it unless it is cached.
+
+    A small staged table reads back as one or two partitions; with
+    ``spread_out`` (default) it is spread over the cores for the work that
+    follows (see ``spread``; a no-op for large tables).  Inputs of iterative
+    learners pass ``spread_out=False``: they want few partitions.
     """
     if how == "parquet":
         path = scratch_path(df.sparkSession, name)
         df.write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.parquet(path)
-    return df.checkpoint(eager=True)
+        out = df.sparkSession.read.parquet(path)
+    else:
+        out = df.checkpoint(eager=True)
+    return spread(out) if spread_out else out
 
 
 ROWS_PER_PARTITION = 200_000
