@@ -6,18 +6,41 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import sqltext as Q
-from .functions.clip import clip_both
+from .functions.clip import clip_both, clip_upper
+from .functions.text import (contains_text, fill_text, first_words, nan_text, normalise, pack,
+                             unpack)
+from .functions.vecmath import cosine, to_double_array
+from .models import ensemble as EN
+from .models import gradient as GR
+from .models import linear as LN
+from .models import trees as TR
+from .models.assemble import assemble
+from .models.cv import cross_validate, cv_scores_frame, depth_sweep
 from .models.linear import ols
 from .operators.attributes import aggregate_attributes
-from .operators.joins import left_join
-from .plans.features import LR3, LR3_ATTR, lr3_features
-from .plans.scoring import fit_and_score
-from .sources.csvio import stage
-from .sources.relevance import attributes, pairs, product_descriptions
+from .operators.columns import drop_columns, keep_columns
+from .operators.joins import left_join, union_all
+from .operators.knn import K_NEIGHBOURS, knn_join, knn_regress
+from .operators.metrics import r2, rmse, scoreboard
+from .operators.order import assign_folds, best_of, peek, row_index
+from .operators.tfidf import bag_of_words, corpus_text, idf_table, tfidf_cosines, tfidf_weights
+from .operators.vectors import (VECTOR_SIZE, mean_vectors, sentence_tokens, text_vectors,
+                                train_word2vec, vector_table)
+from .plans.features import (ATTR8, ATTR15, DESC7, LR3, attr8_features, attr15_features,
+                             attr_base, attr_edit_ratios, attr_overlap, desc7_features,
+                             lr3_features, stemmed_inputs)
+from .plans.scoring import CLIPS, fit_and_score
+from .session import scratch_path
+from .sources.csvio import (csv_roundtrip, read_csv_inferred, read_side_table, right_size, stage,
+                            write_csv)
+from .sources.relevance import (attr_side_tables, attributes, pairs, product_descriptions,
+                                test_pairs, train_pairs)
+from .sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -69,7 +92,6 @@ def q_lr3(spark, sf):
 
 
 # ---- TF-IDF (A2-A5, J4) ---------------------------------------------------
-from .operators.tfidf import bag_of_words, idf_table, tfidf_cosines, tfidf_weights  # noqa: E402
 
 
 def _tfidf_inputs(spark, sf):
@@ -121,8 +143,6 @@ def q_a5(spark, sf):
 
 
 # ---- attribute flow: F4a overlaps, F5 edit ratios, J2 ---------------------
-from .plans.features import ATTR8, attr8_features, attr_base, attr_edit_ratios, attr_overlap  # noqa: E402
-from .sources.relevance import attr_side_tables  # noqa: E402
 
 
 def _attr_base(spark, sf):
@@ -177,12 +197,6 @@ def q_attr8(spark, sf):
 
 
 # ---- order, folds, evaluation (W1, W2, S8, L2, A8-A10, M5, M17) -----------
-from .models.assemble import assemble  # noqa: E402
-from .models.cv import cross_validate  # noqa: E402
-from .operators.metrics import r2, rmse  # noqa: E402
-from .operators.order import assign_folds, best_of, peek, row_index  # noqa: E402
-from .sources.csvio import (csv_roundtrip, read_csv, read_csv_inferred, read_side_table,  # noqa: E402
-                            right_size, stage, write_csv)
 
 
 def _lr3_train(spark, sf):
@@ -268,7 +282,6 @@ def q_l2(spark, sf):
 
 
 # ---- sources and sinks (S1-S7) -------------------------------------------
-from .session import scratch_path  # noqa: E402
 
 _J1_SQL = f"""WITH {Q.PAIRS_CTE}
 SELECT p.*, d.product_description FROM pairs p LEFT JOIN descs d USING (product_uid)"""
@@ -288,8 +301,7 @@ def q_s2(spark, sf):
 SELECT doc_id AS product_uid, source AS brand FROM documents
 WHERE doc_id IS NOT NULL AND source IS NOT NULL""")
 def q_s3(spark, sf):
-    from .sources.relevance import attr_side_tables as sides
-    brand = sides(spark, sf)["brand"]
+    brand = attr_side_tables(spark, sf)["brand"]
     path = write_csv(brand, scratch_path(spark, "s3"), encoding="ISO-8859-1")
     return read_side_table(spark, path, brand.schema)
 
@@ -315,11 +327,6 @@ def q_s7(spark, sf):
 
 
 # ---- dense vectors and k-NN (A6, A7, J6, L1, M20) ------------------------
-from .functions.clip import clip_both as _clip_both  # noqa: E402
-from .functions.vecmath import cosine, to_double_array  # noqa: E402
-from .operators.knn import K_NEIGHBOURS, knn_join, knn_regress  # noqa: E402
-from .operators.vectors import mean_vectors  # noqa: E402
-from .sources.tables import read_table  # noqa: E402
 
 _EMB_DIM_SQL = "len(embedding)"
 
@@ -399,11 +406,10 @@ def q_m20(spark, sf):
     train = f.where(F.col("relevance").isNotNull())
     test = f.where(F.col("relevance").isNull())
     pred = knn_regress(train, test, k=K_NEIGHBOURS)
-    return pred.select("id", F.round(_clip_both("prediction"), 6).alias("relevance"))
+    return pred.select("id", F.round(clip_both("prediction"), 6).alias("relevance"))
 
 
 # ---- stemming and the description / notebook flows (F2, E1, E2) ----------
-from .plans.features import ATTR15, DESC7, attr15_features, desc7_features, stemmed_inputs  # noqa: E402
 
 
 @register("F2_stemmed_pairs")
@@ -427,11 +433,6 @@ def q_e2_nb(spark, sf):
 
 
 # ---- models on the attribute features (M3, M4, M6-M16, M21, S9, P12, P13) -
-from .models import ensemble as EN  # noqa: E402
-from .models import gradient as GR  # noqa: E402
-from .models import linear as LN  # noqa: E402
-from .models import trees as TR  # noqa: E402
-from .plans.scoring import fit_and_score  # noqa: E402,F811
 
 
 def _attr8_staged(spark, sf):
@@ -452,7 +453,6 @@ def _model_query(name: str, make_estimator, clip: str, folds: bool = False):
         test = assemble(feats.where(F.col("relevance").isNull()), ATTR8, label=None,
                         keep=("id",))
         model = make_estimator().fit(stage(right_size(train), spread_out=False))
-        from .plans.scoring import CLIPS
         return model.transform(test).select("id", r6(CLIPS[clip]("prediction")).alias("relevance"))
     run.__name__ = f"q_{name}"
     return register(name)(run)
@@ -476,13 +476,6 @@ _model_query("M15_rbf_svr", lambda: GR.RbfSVR(), "up")
 
 
 # ---- scalar text operators and null handling (F1, F3, F8, F9, U1, U2, P*) ---
-from .functions.text import (contains_text, fill_text, nan_text, normalise, pack,  # noqa: E402
-                             unpack)
-from .functions.text import first_words as _first_words  # noqa: E402
-from .operators.joins import union_all  # noqa: E402
-from .operators.tfidf import corpus_text  # noqa: E402
-from .operators.vectors import sentence_tokens  # noqa: E402
-from .sources.relevance import test_pairs, train_pairs  # noqa: E402
 
 
 @register("F1_normalise", f"""WITH {Q.PAIRS_CTE}
@@ -500,7 +493,7 @@ FROM pairs p LEFT JOIN descs d USING (product_uid)""")
 def q_f3(spark, sf):
     j = left_join(pairs(spark, sf), product_descriptions(spark, sf))
     return j.select("id", contains_text("product_title", "search_term").alias("term_in_title"),
-                    contains_text("product_description", _first_words("search_term", 1))
+                    contains_text("product_description", first_words("search_term", 1))
                     .alias("first_word_in_desc"))
 
 
@@ -576,19 +569,15 @@ def q_p12(spark, sf):
 @register("P13_clip_upper", f"""{_OLS_TEST_SQL}
 SELECT id, round({Q.clip_upper('p')}, 6) AS relevance FROM pr""")
 def q_p13(spark, sf):
-    from .functions.clip import clip_upper
     return _ols_test_predictions(spark, sf).select("id", r6(clip_upper("relevance")).alias("relevance"))
 
 
 # ---- model flows with rows-only checks (A11, M2-M4, M18, M22, M23, J5) -----
-from .models.cv import cv_scores_frame, depth_sweep  # noqa: E402
-from .operators.metrics import scoreboard  # noqa: E402
-from .operators.vectors import VECTOR_SIZE, text_vectors, train_word2vec, vector_table  # noqa: E402
 
 
 def _cv_frame(spark, data, est, model_name, feature_set, grid=None, param=None):
-    cvm = cross_validate(est, data, grid=grid, num_folds=10)
     from pyspark.ml.tuning import ParamGridBuilder
+    cvm = cross_validate(est, data, grid=grid, num_folds=10)
     g = grid if grid is not None else ParamGridBuilder().build()
     return cv_scores_frame(spark, model_name, cvm, g, param, feature_set)
 
@@ -670,9 +659,6 @@ def q_j5(spark, sf):
 
 
 # ---- column roles (P1, P2, M1) ---------------------------------------------
-from pyspark.ml.functions import vector_to_array  # noqa: E402
-
-from .operators.columns import drop_columns, keep_columns  # noqa: E402
 
 
 @register("P1_P2_keep_and_drop", f"""WITH {Q.PAIRS_CTE}
