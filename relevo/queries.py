@@ -470,7 +470,7 @@ _model_query("M15_linear_svr", lambda: GR.LinearSVR(), "up")
 _model_query("M6_ridge_cv", lambda: LN.RidgeCV(), "up", folds=True)
 _model_query("M16_mlp", lambda: GR.MLPRegressor(), "both")
 _model_query("M11_boosting_preset", lambda: TR.xgb_like(preset=1), "both")
-_model_query("M7_decision_tree", lambda: TR.decision_tree(), "both")
+_model_query("M7_decision_tree", lambda: TR.random_split_tree(), "both")
 _model_query("M12_grade_classifier", lambda: TR.GradeClassifier(), "up")
 _model_query("M15_rbf_svr", lambda: GR.RbfSVR(), "up")
 
