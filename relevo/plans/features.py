@@ -28,17 +28,23 @@ ATTR8 = ("common_title", "common_desc", "common_brand", "common_material",
 ATTR15 = ATTR8 + ("tfidf_cos_sim_in_title", "tfidf_cos_sim_in_desc",
                   "tfidf_cos_sim_in_brand", "tfidf_cos_sim_in_material",
                   "w2v_cos_sim_in_title", "w2v_cos_sim_in_desc", "w2v_cos_sim_in_brand")
-DESC7 = ("product_uid", "dist_in_title", "dist_in_desc", "tfidf_cos_sim_in_title",
+DESC6 = ("dist_in_title", "dist_in_desc", "tfidf_cos_sim_in_title",
          "tfidf_cos_sim_in_desc", "w2v_cos_sim_in_title", "w2v_cos_sim_in_desc")
+# The reference leaves product_uid in its matrix (an unscaled id as a feature);
+# that set is DESC7 and must be asked for explicitly; DESC6 is the default.
+DESC7 = ("product_uid",) + DESC6
 
 
 def lr3_features(pairs: DataFrame, descriptions: DataFrame,
-                 attributes: DataFrame | None = None) -> DataFrame:
+                 attributes: DataFrame | None = None,
+                 normalise_attributes: bool = False) -> DataFrame:
     """``(id, product_uid, relevance?, query_len, common_title,
     common_descriptoin[, common_attributes])``.
 
     Search words (F4b order) are counted in the title, the joined description
     and, when ``attributes`` is given, the aggregated attribute text (A1, J3).
+    Like the reference, attribute text is matched raw (case kept, unstemmed);
+    ``normalise_attributes`` lower-cases and stems it first.
     """
     d = left_join(pairs, descriptions)
     cols = [c for c in ("id", "product_uid", "relevance") if c in pairs.columns]
@@ -50,6 +56,9 @@ def lr3_features(pairs: DataFrame, descriptions: DataFrame,
         F.col("search_term"))
     if attributes is not None:
         agg = aggregate_attributes(attributes)
+        if normalise_attributes:
+            from ..functions.stem import stem_columns
+            agg = stem_columns(agg, "product_uid", ["product_attributes"])
         out = with_attributes(out, agg).withColumn(
             "common_attributes", overlap_count("search_term", "product_attributes"))
         out = out.drop("product_attributes")
@@ -123,9 +132,11 @@ def w2v_features(pairs: DataFrame, products: DataFrame, fields: dict[str, str],
 
 
 def desc7_features(pairs: DataFrame, descriptions: DataFrame, stem: bool = True,
-                   seed: int = 42, include_uid: bool = True) -> DataFrame:
-    """E1 (description flow): edit ratios, TF-IDF cosines and word-vector
-    cosines of the search term against title and description."""
+                   seed: int = 42) -> DataFrame:
+    """E1 (description flow): ``(id, relevance, product_uid, <DESC6>)`` --
+    edit ratios, TF-IDF cosines and word-vector cosines of the search term
+    against title and description.  Model on ``DESC6``, or on ``DESC7`` to
+    reproduce the reference's matrix with the id in it."""
     from ..functions.edit import edit_ratio
     from ..operators.tfidf import tfidf_cosines
     from ..sources.csvio import spread, stage
@@ -139,8 +150,7 @@ def desc7_features(pairs: DataFrame, descriptions: DataFrame, stem: bool = True,
     tf = tfidf_cosines(p, d, ("title", "desc"))
     wv = w2v_features(p, d, {"title": "product_title", "desc": "product_description"}, seed=seed)
     out = ratios.join(tf, "id", "left").join(wv, "id", "left")
-    cols = list(DESC7) if include_uid else [c for c in DESC7 if c != "product_uid"]
-    return out.select("id", "relevance", *cols)
+    return out.select("id", "relevance", *DESC7)
 
 
 def attr15_features(pairs: DataFrame, descriptions: DataFrame, attributes_long: DataFrame,
