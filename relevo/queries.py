@@ -577,7 +577,7 @@ def q_p13(spark, sf):
 
 def _cv_frame(spark, data, est, model_name, feature_set, grid=None, param=None):
     from pyspark.ml.tuning import ParamGridBuilder
-    cvm = cross_validate(est, data, grid=grid, num_folds=10)
+    cvm = cross_validate(est, data, grid=grid, num_folds=10, parallelism=8)
     g = grid if grid is not None else ParamGridBuilder().build()
     return cv_scores_frame(spark, model_name, cvm, g, param, feature_set)
 
