@@ -1,0 +1,154 @@
+"""Randomised regression trees grown level by level as DataFrame jobs (M7, M9).
+
+Extremely randomised trees split every node on a threshold drawn uniformly
+between the node's minimum and maximum of a feature, keep the best of the
+candidate features by variance reduction, and use all rows (no bootstrap).
+No Spark learner draws random thresholds, so the forest is grown here with
+plain aggregations -- all trees at once:
+
+* the row table ``(t, id, node, x, y)`` holds every row once per tree;
+* per level, one aggregation gives each open node its count, sums and the
+  per-feature min/max; thresholds come from a hash of (seed, tree, node,
+  feature), so they are reproducible on any partitioning;
+* a second aggregation gives, per node and candidate feature, the left-side
+  count and sums, from which the variance reduction of every candidate is
+  computed; the best one becomes the split;
+* rows move to a child (``2n+1`` / ``2n+2``) and the level is written to the
+  shared folder (lineage stays one level deep).
+
+The number of Spark jobs grows with the depth, not with the number of trees.
+Scoring walks the test rows down the stored node table, one join per level.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..sources.csvio import stage
+
+_U53 = float(1 << 53)
+
+
+def _uniform(seed: int, *cols) -> "F.Column":
+    """Deterministic uniform [0, 1) from a hash of the seed and the columns."""
+    h = F.xxhash64(F.lit(seed), *cols)
+    return F.pmod(h, F.lit(1 << 53)).cast("double") / F.lit(_U53)
+
+
+class RandomTreesRegressor:
+    """``num_trees`` randomised trees; prediction is the mean of the trees.
+
+    ``max_features``: ``"all"``, ``"sqrt"`` or an integer -- how many
+    randomly chosen non-constant features compete at each node.
+    """
+
+    def __init__(self, num_trees: int = 300, max_depth: int = 16, min_samples_split: int = 2,
+                 min_samples_leaf: int = 1, max_features="all", seed: int = 0,
+                 label: str = "relevance", key: str = "id"):
+        self.num_trees, self.max_depth = num_trees, max_depth
+        self.min_split, self.min_leaf = min_samples_split, min_samples_leaf
+        self.max_features, self.seed, self.label, self.key = max_features, seed, label, key
+
+    def _k(self, d: int) -> int:
+        if self.max_features == "all":
+            return d
+        if self.max_features == "sqrt":
+            return max(1, int(math.sqrt(d)))
+        return max(1, min(d, int(self.max_features)))
+
+    def fit(self, df: DataFrame) -> "RandomTreesModel":
+        rows = df.select(F.col(self.key).alias("id"), vector_to_array("features").alias("x"),
+                         F.col(self.label).cast("double").alias("y"))
+        d = len(rows.first()["x"])
+        k = self._k(d)
+        state = stage(rows.select("id", "x", "y",
+                                  F.explode(F.sequence(F.lit(0), F.lit(self.num_trees - 1)))
+                                  .alias("t"), F.lit(0).cast("long").alias("node")),
+                      "trees-level")
+        levels = []
+        for depth in range(self.max_depth + 1):
+            x = F.col("x")
+            stats = state.groupBy("t", "node").agg(
+                F.count(F.lit(1)).alias("n"), F.sum("y").alias("sy"),
+                F.sum(F.col("y") * F.col("y")).alias("syy"),
+                F.array(*[F.min(x[f]) for f in range(d)]).alias("lo"),
+                F.array(*[F.max(x[f]) for f in range(d)]).alias("hi"))
+            # candidate features: k random non-constant ones (rank by a hash)
+            fidx = F.sequence(F.lit(0), F.lit(d - 1))
+            stats = stats.withColumn("thr", F.transform(fidx, lambda f: F.col("lo")[f] + (
+                F.col("hi")[f] - F.col("lo")[f]) * _uniform(self.seed, F.col("t"), F.col("node"), f)))
+            usable = F.filter(fidx, lambda f: F.col("hi")[f] > F.col("lo")[f])
+            ranked = F.transform(
+                F.array_sort(F.transform(usable, lambda f: F.struct(
+                    _uniform(self.seed + 1, F.col("t"), F.col("node"), f).alias("u"),
+                    f.alias("f")))), lambda s: s["f"])
+            stats = stats.withColumn("cand", F.slice(ranked, 1, k))
+            sse = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
+            can_split = ((F.lit(depth) < F.lit(self.max_depth)) & (F.col("n") >= self.min_split)
+                         & (sse > 1e-12) & (F.size("cand") > 0))
+            open_nodes = stats.where(can_split).select("t", "node", "n", "sy", "syy", "thr", "cand")
+            # left-side sums for every feature at the node's thresholds
+            joined = state.join(open_nodes.select("t", "node", "thr"), ["t", "node"], "inner")
+            left = [F.when(x[f] <= F.col("thr")[f], 1.0).otherwise(0.0) for f in range(d)]
+            sides = joined.groupBy("t", "node").agg(
+                F.array(*[F.sum(l) for l in left]).alias("nl"),
+                F.array(*[F.sum(l * F.col("y")) for l in left]).alias("syl"),
+                F.array(*[F.sum(l * F.col("y") * F.col("y")) for l in left]).alias("syyl"))
+            ev = open_nodes.join(sides, ["t", "node"], "inner")
+
+            def gain(f):
+                nl, syl, syyl = F.col("nl")[f], F.col("syl")[f], F.col("syyl")[f]
+                nr, syr = F.col("n") - nl, F.col("sy") - syl
+                syyr = F.col("syy") - syyl
+                ok = (nl >= self.min_leaf) & (nr >= self.min_leaf)
+                child = (syyl - syl * syl / nl) + (syyr - syr * syr / nr)
+                return F.when(ok, (F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")) - child)
+
+            scored = ev.withColumn("g", F.transform("cand", lambda f: F.struct(
+                F.coalesce(gain(f), F.lit(float("-inf"))).alias("gain"), f.alias("f"))))
+            best = F.array_max(F.col("g"))
+            splits = (scored.withColumn("b", best)
+                      .where(F.col("b.gain") > float("-inf"))
+                      .select("t", "node", F.col("b.f").alias("feat"),
+                              F.col("thr")[F.col("b.f")].alias("threshold")))
+            splits = stage(splits, "trees-splits", spread_out=False)
+            nodes = (stats.join(splits, ["t", "node"], "left")
+                     .select("t", "node", (F.col("sy") / F.col("n")).alias("value"),
+                             "feat", "threshold"))
+            levels.append(stage(nodes, "trees-nodes", spread_out=False))
+            if splits.isEmpty():
+                break
+            moved = (state.join(splits, ["t", "node"], "inner")
+                     .withColumn("node", F.when(F.col("x")[F.col("feat")] <= F.col("threshold"),
+                                                F.col("node") * 2 + 1).otherwise(F.col("node") * 2 + 2))
+                     .select("id", "x", "y", "t", "node"))
+            state = stage(moved, "trees-level")
+        table = levels[0]
+        for lv in levels[1:]:
+            table = table.unionByName(lv)
+        return RandomTreesModel(stage(table, "trees-table", spread_out=False),
+                                self.num_trees, self.max_depth, self.key)
+
+
+class RandomTreesModel:
+    def __init__(self, nodes: DataFrame, num_trees: int, max_depth: int, key: str):
+        self.nodes, self.num_trees, self.max_depth, self.key = nodes, num_trees, max_depth, key
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        rows = df.select(F.col(self.key).alias("_k"), vector_to_array("features").alias("x"))
+        walk = rows.select("_k", "x", F.explode(F.sequence(
+            F.lit(0), F.lit(self.num_trees - 1))).alias("t"), F.lit(0).cast("long").alias("node"))
+        splits = self.nodes.where(F.col("feat").isNotNull()).select("t", "node", "feat", "threshold")
+        for _ in range(self.max_depth):
+            walk = (walk.join(splits, ["t", "node"], "left")
+                    .withColumn("node", F.when(F.col("feat").isNull(), F.col("node"))
+                                .when(F.col("x")[F.col("feat")] <= F.col("threshold"),
+                                      F.col("node") * 2 + 1).otherwise(F.col("node") * 2 + 2))
+                    .drop("feat", "threshold"))
+        leaf = walk.join(self.nodes.select("t", "node", "value"), ["t", "node"], "inner")
+        pred = leaf.groupBy("_k").agg(F.avg("value").alias("prediction"))
+        return df.join(pred.withColumnRenamed("_k", self.key), self.key, "left")

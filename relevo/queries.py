@@ -463,7 +463,7 @@ _model_query("M8_random_forest", lambda: TR.random_forest(**{"seed": 2014}), "up
 _model_query("M13_adaboost_r2", lambda: EN.AdaBoostR2(), "up")
 _model_query("M14_bagging_boosted", lambda: EN.Bagging(
     lambda i: TR.xgb_like(seed=2016 + i), n=10, seed=2016, parallelism=10), "up")
-_model_query("M9_extra_trees", lambda: EN.ExtraTrees(num_trees=300, max_depth=16), "up")
+_model_query("M9_extra_trees", lambda: TR.extra_trees(), "up")
 _model_query("M10_gradient_boosting", lambda: TR.gradient_boosting(), "both")
 _model_query("M5_S9_linear_predictions", lambda: LN.ols(), "up")
 _model_query("M15_linear_svr", lambda: GR.LinearSVR(), "up")
