@@ -3,8 +3,8 @@
 ``lower -> split -> stem each word -> join by one blank``.  Two plans:
 
 * ``method="inline"`` (default): a vectorised (Arrow) UDF rewrites each
-  text where it lies, with a bounded per-worker memo of word -> stem, so a
-  word is stemmed once per worker and no token is shuffled.  Whitespace
+  text where it lies, with a bounded per-task memo of word -> stem, so a
+  word is stemmed once per task (partition) and no token is shuffled.  Whitespace
   splitting and lower-casing stay in Spark expressions.
 * ``method="vocabulary"``: the vocabulary job below.  It stems each
   distinct word exactly once in the whole cluster but shuffles every token
