@@ -76,6 +76,18 @@ def test_document_frequency_counts_pairs_not_products(spark):
     assert df == {"d": 3, "e": 1, "t": 2, "u": 1}
 
 
+def test_document_frequency_description_without_tokens(spark):
+    # product 2's description has no alphabetic token: its pair's text still
+    # exists ("u . 123 . "), so the title token counts
+    pairs = spark.createDataFrame(
+        [(1, 1, "q", "t"), (2, 2, "q", "u"), (3, 3, "q", "v")],
+        "id long, product_uid long, search_term string, product_title string")
+    products = spark.createDataFrame([(1, "d"), (2, "123"), (3, None)],
+                                     "product_uid long, product_description string")
+    df = {r["token"]: r["df"] for r in idf_table(pairs, products).collect()}
+    assert df == {"d": 1, "t": 1, "u": 1}          # product 3: null text, no tokens
+
+
 def _brute_knn(q, p, k, exclude_self):
     out = {}
     for qi, qv in q:
