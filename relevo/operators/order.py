@@ -22,8 +22,10 @@ _POS_BITS = 33  # monotonically_increasing_id: partition id above bit 33
 
 
 def row_index(df: DataFrame, order: Sequence[str | Column], name: str = "row_idx",
-              checkpoint: bool = True) -> DataFrame:
-    """``df`` plus a 0-based global row number ``name`` in ``order`` order."""
+              checkpoint: bool = True, total: str | None = None) -> DataFrame:
+    """``df`` plus a 0-based global row number ``name`` in ``order`` order
+    (and, with ``total``, the number of rows, taken from the same
+    per-partition count table)."""
     tagged = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
     if checkpoint:
         from ..sources.csvio import stage
@@ -33,11 +35,15 @@ def row_index(df: DataFrame, order: Sequence[str | Column], name: str = "row_idx
     offsets = counts.select(
         "_pid",
         F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+            Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
+        F.sum("_n").over(Window.partitionBy()).alias("_total"))
     # One row per partition of the sorted data: a proven size bound.
     out = tagged.join(F.broadcast(offsets), pid == F.col("_pid"), "inner")
     pos = F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
-    return out.withColumn(name, (F.col("_off") + pos).cast("long")).drop("_mid", "_pid", "_off")
+    out = out.withColumn(name, (F.col("_off") + pos).cast("long"))
+    if total:
+        out = out.withColumn(total, F.col("_total").cast("long"))
+    return out.drop("_mid", "_pid", "_off", "_total")
 
 
 def kfold_of(idx: Column, n: Column, k: int) -> Column:
@@ -52,9 +58,8 @@ def kfold_of(idx: Column, n: Column, k: int) -> Column:
 def assign_folds(df: DataFrame, order: Sequence[str | Column], k: int = 10,
                  name: str = "fold") -> DataFrame:
     """Contiguous folds in ``order`` order, sizes as an unshuffled KFold."""
-    indexed = row_index(df, order, "_idx")
-    n = df.select(F.count(F.lit(1))).scalar()
-    return indexed.withColumn(name, kfold_of(F.col("_idx"), n, k)).drop("_idx")
+    indexed = row_index(df, order, "_idx", total="_rows")
+    return indexed.withColumn(name, kfold_of(F.col("_idx"), F.col("_rows"), k)).drop("_idx", "_rows")
 
 
 def peek(df: DataFrame, order: Sequence[str | Column], n: int = 5) -> DataFrame:
