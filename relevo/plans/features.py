@@ -115,7 +115,7 @@ def stemmed_inputs(pairs: DataFrame, descriptions: DataFrame) -> tuple[DataFrame
 
 
 def w2v_features(pairs: DataFrame, products: DataFrame, fields: dict[str, str],
-                 seed: int = 42, max_iter: int = 1) -> DataFrame:
+                 seed: int = 42, max_iter: int | None = None) -> DataFrame:
     """M23 + J5 + A6 + A7: train word vectors on the sentences of every pair's
     ``title . description .`` text (train and test rows, duplicates kept),
     then the search-term/field cosines per pair."""
@@ -126,7 +126,8 @@ def w2v_features(pairs: DataFrame, products: DataFrame, fields: dict[str, str],
     docs = j.select("id", corpus_text(F.col("product_title"),
                                       F.col("product_description")).alias("all_texts"))
     corpus = sentence_tokens(docs, "id", "all_texts")
-    model = train_word2vec(corpus, seed=seed, max_iter=max_iter)
+    model = (train_word2vec(corpus, seed=seed) if max_iter is None
+             else train_word2vec(corpus, seed=seed, max_iter=max_iter))
     vectors = vector_table(model)
     return w2v_cosines(j, vectors, fields, VECTOR_SIZE)
 
