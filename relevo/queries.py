@@ -259,9 +259,10 @@ def q_a9(spark, sf):
 
 
 def _cv_ols(spark, sf, x):
+    """10-fold CV RMSE of least squares on one feature: one aggregation pass
+    (per-fold sufficient statistics) instead of ten fits."""
     f = assign_folds(_lr3_train(spark, sf), ["id"], 10)
-    data = stage(assemble(f, [x], keep=("id", "fold")), spread_out=False)
-    return float(cross_validate(ols(), data, num_folds=10).avgMetrics[0])
+    return LN.ols_cv_rmse(f, [x])[0]
 
 
 @register("M17_A10_cv_mean_rmse", f"""WITH {Q.PAIRS_CTE}, {Q.LR3_CTE}, {Q.cv_ols_cte(['common_descriptoin'])}
