@@ -134,3 +134,25 @@ def test_vector_cosine_rules(spark):
     assert got[2] == 0.0                   # unknown word
     assert math.isnan(got[3])              # text without tokens
     assert got[4] == pytest.approx(1.0)
+
+
+def test_left_join_null_safe_keys(spark):
+    from relevo.operators.joins import left_join
+    left = spark.createDataFrame([(1, "a"), (None, "b")], "product_uid long, l string")
+    right = spark.createDataFrame([(1, "x"), (None, "y")], "product_uid long, r string")
+    plain = {r["l"]: r["r"] for r in left_join(left, right).collect()}
+    safe = {r["l"]: r["r"] for r in left_join(left, right, null_safe=True).collect()}
+    assert plain == {"a": "x", "b": None}
+    assert safe == {"a": "x", "b": "y"}          # null keys meet, as in the reference
+
+
+def test_product_dimension_loses_description_without_bullets(spark):
+    from relevo.operators.joins import product_dimension
+    desc = spark.createDataFrame([(1, "d1"), (2, "d2")], "product_uid long, product_description string")
+    bullets = spark.createDataFrame([(1, "b1")], "product_uid long, bullets string")
+    got = {r["product_uid"]: r["product_description"]
+           for r in product_dimension(desc, bullets=bullets).collect()}
+    kept = {r["product_uid"]: r["product_description"]
+            for r in product_dimension(desc, bullets=bullets, keep_desc=True).collect()}
+    assert got == {1: "d1 b1", 2: None}
+    assert kept == {1: "d1 b1", 2: "d2"}
