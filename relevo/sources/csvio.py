@@ -118,4 +118,5 @@ def csv_roundtrip(df: DataFrame, name: str, encoding: str = "UTF-8",
 
 
 __all__ = ["read_csv", "read_csv_inferred", "read_side_table", "write_csv",
-           "write_csv_indexed", "write_predictions", "stage", "right_size", "spread", "csv_roundtrip", "F"]
+           "write_csv_indexed", "write_predictions", "stage", "right_size", "spread",
+           "csv_roundtrip"]
