@@ -129,7 +129,8 @@ def w2v_features(pairs: DataFrame, products: DataFrame, fields: dict[str, str],
     model = (train_word2vec(corpus, seed=seed) if max_iter is None
              else train_word2vec(corpus, seed=seed, max_iter=max_iter))
     vectors = vector_table(model)
-    return w2v_cosines(j, vectors, fields, VECTOR_SIZE)
+    # pair-owned texts per pair, product-owned texts once per product
+    return w2v_cosines(pairs, vectors, fields, VECTOR_SIZE, products=products)
 
 
 def desc7_features(pairs: DataFrame, descriptions: DataFrame, stem: bool = True,

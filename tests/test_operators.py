@@ -156,3 +156,26 @@ def test_product_dimension_loses_description_without_bullets(spark):
             for r in product_dimension(desc, bullets=bullets, keep_desc=True).collect()}
     assert got == {1: "d1 b1", 2: None}
     assert kept == {1: "d1 b1", 2: "d2"}
+
+
+def test_vector_cosine_per_product_equals_per_pair(spark):
+    from relevo.operators.joins import left_join
+    from relevo.operators.vectors import w2v_cosines
+    vecs = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 1.0]), ("c", [1.0, 1.0])],
+                                 "word string, vec array<double>")
+    pairs = spark.createDataFrame(
+        [(1, 10, "a", "b"), (2, 10, "b", "a"), (3, 11, "c", "c"), (4, 99, "a", "a")],
+        "id long, product_uid long, search_term string, product_title string")
+    products = spark.createDataFrame([(10, "a c b"), (11, "zzz")],
+                                     "product_uid long, product_description string")
+    fields = {"title": "product_title", "desc": "product_description"}
+    per_product = {r["id"]: r for r in
+                   w2v_cosines(pairs, vecs, fields, 2, products=products).collect()}
+    joined = left_join(pairs, products).fillna(" ", ["product_description"])
+    per_pair = {r["id"]: r for r in w2v_cosines(joined, vecs, fields, 2).collect()}
+    for i in (1, 2, 3, 4):
+        for c in ("w2v_cos_sim_in_title", "w2v_cos_sim_in_desc"):
+            a, b = per_product[i][c], per_pair[i][c]
+            assert (math.isnan(a) and math.isnan(b)) or a == pytest.approx(b)
+    assert per_product[3]["w2v_cos_sim_in_desc"] == 0.0       # unknown word in the product text
+    assert math.isnan(per_product[4]["w2v_cos_sim_in_desc"])  # missing product: empty text
