@@ -619,7 +619,9 @@ def q_m18(spark, sf):
 def q_e3_spark(spark, sf):
     """The Spark linear flow: random 70/30 split, elastic net (reg 0.3, mix
     0.8, 1000 iterations), training summary and held-out RMSE."""
-    f = assemble(_lr3_train(spark, sf), LR3, keep=("id",))
+    # split a materialised table: both sides are then drawn from the same rows
+    # in the same partitions, so a recomputation cannot move a row across sides
+    f = stage(assemble(_lr3_train(spark, sf), LR3, keep=("id",)), "split-input", spread_out=False)
     train, test = f.randomSplit([0.7, 0.3], seed=42)
     model = LN.elastic_net().fit(stage(train))
     summ = LN.summary_frame(spark, model)
