@@ -71,3 +71,11 @@ def test_quoted_latin1_csv_roundtrip(spark, tmp_path):
     p.write_bytes('id,txt\n1,"café, 3"" x"\n'.encode("latin-1"))
     df = read_csv(spark, str(p), "id long, txt string")
     assert df.first()["txt"] == 'café, 3" x'
+
+
+@pytest.mark.parametrize("s", ["", "   ", "one", "  lead two", "a b c d e", "a b c d ",
+                               "a b c d e f g", "\nx\ty  z\n w ", "w1 w2 w3 w4 w5"])
+def test_first_words_matches_split_semantics(spark, s):
+    from relevo.functions.text import first_words
+    for n in (1, 4):
+        assert one(spark, first_words("s", n), s=s) == " ".join(s.split()[:n])
