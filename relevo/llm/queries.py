@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, mixture, repeats, simhash, toxicity
+from . import bpe, caps, langid, lm, minhash, mixture, repeats, simhash, toxicity
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,20 @@ def op10_simhash(spark, sf):
         F.lpad(F.lower(F.hex("edited_fp")), 16, "0").alias("edited_fingerprint"),
         simhash.likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
         simhash.likeness(F.col("fp"), F.col("next_fp")).alias("near_next"), "n_near")
+
+
+@register
+def op7_minhash_near_dedup(spark, sf):
+    return minhash.near_duplicates(table(spark, sf, "documents"))
+
+
+@register
+def op3_embedding_caps(spark, sf):
+    return caps.similar_vectors(table(spark, sf, "embeddings"))
+
+
+@register
+def op1_bloom_lm(spark, sf):
+    docs = table(spark, sf, "documents")
+    model, counts = lm.fit(docs, fold("doc_id", 5) != 1)
+    return lm.score_documents(docs, model, counts, fold("doc_id", 5) == 1)

@@ -82,12 +82,14 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Texts are range-partitioned by id once; a task reads its texts in order.
     Only a partition's last text needs one from elsewhere: the first text of
     the next partition, matched in a table with two rows a partition.  Rows of
-    one id follow each other in the order of their texts; a null id comes
+    one id follow each other in the order of their texts' hashes; a null id comes
     first.  A single document follows itself.
     """
     slim = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ordered = slim.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("text")).sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first(), "text").withColumn("part", F.spark_partition_id())
+    ordered = slim.withColumn("h", F.xxhash64("text"))
+    # the range sampler sees ids and hashes only, never a text
+    ordered = ordered.repartitionByRange(F.col("doc_id").asc_nulls_first(), "h").sortWithinPartitions(
+        F.col("doc_id").asc_nulls_first(), "h").drop("h").withColumn("part", F.spark_partition_id())
 
     names = ["kind", "part", "doc_id", "n_chars", "edited_sha256", "fp", "edited_fp", "next_fp", "text"]
 
