@@ -123,35 +123,37 @@ def shard_quotas(sources: DataFrame, shards: int, block_words: Column, seed: int
 
 def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeats: int = 3, shards: int = 16,
                 blocks_per_shard: int = 64, seed: int = 17, id_col: str = "doc_id", text_col: str = "text",
-                source_col: str = "source") -> DataFrame:
+                source_col: str = "source", carry: Sequence[str] = ()) -> DataFrame:
     """One row a document: ``doc_id``, ``size``, ``source``, ``source_size``,
     ``target`` and ``pieces``: what the mix takes of it, as structs ``shard``,
     ``repeat``, ``from_word``, ``words`` and ``order_key`` (a shard is read in
-    the order of this key)."""
+    the order of this key).  Columns ``carry`` come along as the struct ``row``."""
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                    n_words(text_col).alias("size"))
-    known, isnull = F.coalesce("source", F.lit("")).alias("_s"), F.col("source").isNull().alias("_null")
+                    n_words(text_col).alias("size"),
+                    *([F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")] if carry else []))
     sizes = d.groupBy("source").agg(F.sum("size").alias("source_size"))
     src = targets(sizes, weights, max_repeats)
     src = src.withColumn("words", F.sum("source_size").over(Window.partitionBy()))
     block = F.greatest(F.lit(1), F.ceil(F.col("words") / (shards * blocks_per_shard))).cast("long")
     src = src.withColumn("block", block)
-    cuts = shard_quotas(src, shards, F.col("block"), seed)
-    src = src.join(cuts, "rank").select(known, isnull, "source_size", "target", "block", "cuts")
+    src = src.join(shard_quotas(src, shards, F.col("block"), seed), "rank")
+    key = ["_s", "_null"]  # a null source joins too
+
+    def keyed(df):
+        return df.withColumn("_s", F.coalesce("source", F.lit(""))).withColumn("_null", F.col("source").isNull())
+
+    src = keyed(src).select(*key, "source_size", "target", "block", "cuts")
 
     # place in the source's stream: words of the hash ranges before, then within the range
     ranges = 8 * shuffle_partitions(docs.sparkSession)
-    key = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("size"))
-    d = d.withColumn("_key", key).withColumn(
+    d = keyed(d).withColumn("_key", F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("size"))).withColumn(
         "_range", F.floor((F.col("_key") / F.lit(2.0 ** 64) + 0.5) * ranges).cast("int"))
-    d = d.withColumn("_s", F.coalesce("source", F.lit(""))).withColumn("_null", F.col("source").isNull())
-    sums = d.groupBy("_s", "_null", "_range").agg(F.sum("size").alias("_sum"))
-    w = Window.partitionBy("_s", "_null").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(w), F.lit(0))).drop("_sum")
-    w = Window.partitionBy("_s", "_null", "_range").orderBy("_key", "doc_id", "size").rowsBetween(
+    sums = d.groupBy(*key, "_range").agg(F.sum("size").alias("_sum"))
+    w = Window.partitionBy(*key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(w), F.lit(0))).drop("_sum").join(src, key)
+    w = Window.partitionBy(*key, "_range").orderBy("_key", "doc_id", "size").rowsBetween(
         Window.unboundedPreceding, -1)
-    d = (d.withColumn("_within", F.coalesce(F.sum("size").over(w), F.lit(0)))
-         .join(sums, ["_s", "_null", "_range"]).join(src, ["_s", "_null"])
+    d = (d.withColumn("_within", F.coalesce(F.sum("size").over(w), F.lit(0))).join(sums, [*key, "_range"])
          .withColumn("_at", F.col("_before") + F.col("_within"))
          .withColumn("_take", F.round("target").cast("long")))
     passes = F.expr(f"""filter(transform(sequence(0, {max_repeats - 1}), p -> named_struct('p', p,
@@ -162,7 +164,23 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeats
         'words', least(x.hi, cuts[j + 1] * block) - greatest(x.lo, cuts[j] * block),
         'order_key', xxhash64({seed}, doc_id, x.p, j))), y -> y.words > 0)))""")
     return d.withColumn("_passes", passes).withColumn("pieces", pieces).select(
-        "doc_id", "source", "size", "source_size", "target", "pieces")
+        "doc_id", "source", "size", "source_size", "target", "pieces", *(["row"] if carry else []))
+
+
+def mixed_documents(docs: DataFrame, text_col: str = "text", shards: int = 16, **options) -> DataFrame:
+    """The mix itself: a row for each piece, with the columns of ``docs``; a
+    document that a block ends in is cut there, one that is taken again is
+    repeated.  Each shard is one hash partition, in its shuffled order."""
+    mix = mix_sources(docs, text_col=text_col, shards=shards, carry=docs.columns, **options)
+    p = mix.select("size", "row", F.explode("pieces").alias("p"))
+    space = r"\\x20\\x09-\\x0D"  # within a SQL string
+    text = f"row.`{text_col}`"
+    # words with the space behind them; what stands before the first word belongs to none
+    cut = F.expr(f"""array_join(slice(split(regexp_replace({text}, '^[{space}]+', ''),
+        '(?<=[{space}])(?=[^{space}])'), cast(p.from_word + 1 as int), cast(p.words as int)), '')""")
+    text = F.when(F.col("p.words") == F.col("size"), F.expr(text)).otherwise(cut)
+    out = p.repartition(shards, "p.shard").sortWithinPartitions("p.shard", "p.order_key")
+    return out.select(*[text.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def taken() -> Column:

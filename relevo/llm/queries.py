@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, caps, langid, lm, minhash, mixture, repeats, simhash, toxicity
+from . import bpe, caps, langid, lines, lm, minhash, mixture, repeats, simhash, toxicity
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,8 @@ def op1_bloom_lm(spark, sf):
     docs = table(spark, sf, "documents")
     model, counts = lm.fit(docs, fold("doc_id", 5) != 1)
     return lm.score_documents(docs, model, counts, fold("doc_id", 5) == 1)
+
+
+@register
+def op8_line_dedup(spark, sf):
+    return lines.repeated_lines(table(spark, sf, "documents"))
