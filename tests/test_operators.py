@@ -111,7 +111,7 @@ def test_knn_matches_brute_force_with_duplicates(spark, exclude_self):
     P = spark.createDataFrame(pts, "pid long, vec array<double>")
     Q = spark.createDataFrame(qs, "qid long, vec array<double>")
     k = 9
-    got = knn_join(Q, P, k=k, exclude_self=exclude_self, max_buckets=16)
+    got = knn_join(Q, P, k=k, exclude_self=exclude_self)
     rows = got.collect()
     res = {}
     for r in sorted(rows, key=lambda r: (r["qid"], r["rank"])):
@@ -179,3 +179,29 @@ def test_vector_cosine_per_product_equals_per_pair(spark):
             assert (math.isnan(a) and math.isnan(b)) or a == pytest.approx(b)
     assert per_product[3]["w2v_cos_sim_in_desc"] == 0.0       # unknown word in the product text
     assert math.isnan(per_product[4]["w2v_cos_sim_in_desc"])  # missing product: empty text
+
+
+def _axis(rnd, shape, n):
+    if shape == "line":
+        return [[rnd.random() * 100] for _ in range(n)]
+    if shape == "collinear":
+        return [[x, 2 * x + 1, -x] for x in (rnd.random() * 100 for _ in range(n))]
+    return [[rnd.random() * 100, 7.0] for _ in range(n)]  # a constant column
+
+
+@pytest.mark.parametrize("exclude_self", [False, True])
+@pytest.mark.parametrize("shape", ["line", "collinear", "constant"])
+def test_knn_is_exact_where_buckets_prune(spark, shape, exclude_self):
+    """Enough distinct vectors for well over 8 buckets, so the band join prunes."""
+    rnd = random.Random(11)
+    pts = list(enumerate(_axis(rnd, shape, 600)))
+    qs = pts[::12] if exclude_self else [(10_000 + i, v) for i, v in enumerate(_axis(rnd, shape, 50))]
+    k = 5
+    got = knn_join(spark.createDataFrame(qs, "qid long, vec array<double>"),
+                   spark.createDataFrame(pts, "pid long, vec array<double>"), k=k, exclude_self=exclude_self)
+    found = {}
+    for r in got.collect():
+        found.setdefault(r.qid, {})[r["rank"]] = r.pid
+    for q, v in qs:
+        near = sorted((math.dist(v, p), i) for i, p in pts if not (exclude_self and i == q))[:k]
+        assert [found[q][j + 1] for j in range(k)] == [i for _, i in near]
