@@ -8,7 +8,6 @@ Layout
               TF-IDF tables, word vectors, k-NN join, ordering, metrics
   models/     regressors (Spark ML where it exists, driver loops otherwise)
   plans/      the feature sets and scoring flows assembled from the above
-  streaming/  (the reference has no streaming; see the module docstring)
 """
 
 __all__ = ["session"]

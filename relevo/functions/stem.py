@@ -37,11 +37,6 @@ from .porter2 import stem as stem_word
 from .text import words
 
 
-@F.pandas_udf(T.StringType())
-def _stem_udf(s: pd.Series) -> pd.Series:
-    return s.map(stem_word)
-
-
 _MEMO: dict[str, str] = {}
 _MEMO_MAX = 1_000_000
 
@@ -67,37 +62,6 @@ def stem_text(c) -> "F.Column":
     return _stem_words_udf(words(F.lower(col)))
 
 
-def stem_vocabulary(tokens: DataFrame, word: str = "word") -> DataFrame:
-    """``(word, stem)`` for the distinct words of ``tokens``."""
-    vocab = tokens.select(word).distinct()
-    return vocab.select(word, _stem_udf(F.col(word)).alias("stem"))
-
-
-def stem_columns(df: DataFrame, key: str | Sequence[str], cols: Sequence[str],
-                 method: str = "inline") -> DataFrame:
-    """Return ``df`` with each of ``cols`` replaced by its stemmed text.
-
-    ``key`` must identify rows of ``df`` uniquely (vocabulary method).
-    """
-    if method == "inline":
-        from ..sources.csvio import spread
-        return spread(df).withColumns({c: stem_text(c) for c in cols})
-    keys = [key] if isinstance(key, str) else list(key)
-    exploded = None
-    for c in cols:
-        part = df.select(*keys, F.lit(c).alias("_field"),
-                         F.posexplode(words(F.lower(F.col(c)))).alias("_pos", "word"))
-        exploded = part if exploded is None else exploded.unionByName(part)
-    vocab = stem_vocabulary(exploded)
-    stemmed = exploded.join(vocab, "word", "inner")
-    rebuilt = stemmed.groupBy(*keys).agg(*[
-        F.array_join(F.transform(
-            F.array_sort(F.collect_list(F.when(F.col("_field") == c,
-                                               F.struct(F.col("_pos"), F.col("stem"))))),
-            lambda x: x["stem"]), " ").alias(f"_s_{c}")
-        for c in cols])
-    out = df.join(rebuilt, keys, "left")
-    for c in cols:
-        out = out.withColumn(c, F.when(F.col(c).isNull(), F.lit(None).cast("string"))
-                             .otherwise(F.coalesce(F.col(f"_s_{c}"), F.lit(""))))
-    return out.drop(*[f"_s_{c}" for c in cols])
+def stem_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``df`` with each of ``cols`` replaced by its stemmed text."""
+    return df.withColumns({c: stem_text(c) for c in cols})

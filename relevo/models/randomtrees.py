@@ -115,11 +115,11 @@ class RandomTreesRegressor:
                       .where(F.col("b.gain") > float("-inf"))
                       .select("t", "node", F.col("b.f").alias("feat"),
                               F.col("thr")[F.col("b.f")].alias("threshold")))
-            splits = stage(splits, "trees-splits", spread_out=False)
+            splits = stage(splits, "trees-splits")
             nodes = (stats.join(splits, ["t", "node"], "left")
                      .select("t", "node", (F.col("sy") / F.col("n")).alias("value"),
                              "feat", "threshold"))
-            levels.append(stage(nodes, "trees-nodes", spread_out=False))
+            levels.append(stage(nodes, "trees-nodes"))
             if splits.isEmpty():
                 break
             moved = (state.join(splits, ["t", "node"], "inner")
@@ -130,7 +130,7 @@ class RandomTreesRegressor:
         table = levels[0]
         for lv in levels[1:]:
             table = table.unionByName(lv)
-        return RandomTreesModel(stage(table, "trees-table", spread_out=False),
+        return RandomTreesModel(stage(table, "trees-table"),
                                 self.num_trees, self.max_depth, self.key)
 
 

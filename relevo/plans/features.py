@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import fill_text, overlap_count, word_count
+from ..functions.text import fill_text, nan_text, overlap_count, word_count
 from ..operators.attributes import aggregate_attributes
 from ..operators.joins import left_join, product_dimension, with_attributes
 
@@ -36,16 +36,20 @@ DESC7 = ("product_uid",) + DESC6
 
 
 def lr3_features(pairs: DataFrame, descriptions: DataFrame,
-                 attributes: DataFrame | None = None,
+                 attributes: DataFrame | None = None, stem: bool = False,
                  normalise_attributes: bool = False) -> DataFrame:
     """``(id, product_uid, relevance?, query_len, common_title,
     common_descriptoin[, common_attributes])``.
 
     Search words (F4b order) are counted in the title, the joined description
     and, when ``attributes`` is given, the aggregated attribute text (A1, J3).
-    Like the reference, attribute text is matched raw (case kept, unstemmed);
-    ``normalise_attributes`` lower-cases and stems it first.
+    The reference's flow lower-cases and stems search term, title and
+    description first (``stem``); without it the counts are taken on the texts
+    as they are.  Attribute text is matched raw (case kept, unstemmed) unless
+    ``normalise_attributes`` treats it the same way.
     """
+    if stem:
+        pairs, descriptions = stemmed_inputs(pairs, descriptions)
     d = left_join(pairs, descriptions)
     cols = [c for c in ("id", "product_uid", "relevance") if c in pairs.columns]
     out = d.select(
@@ -58,7 +62,7 @@ def lr3_features(pairs: DataFrame, descriptions: DataFrame,
         agg = aggregate_attributes(attributes)
         if normalise_attributes:
             from ..functions.stem import stem_columns
-            agg = stem_columns(agg, "product_uid", ["product_attributes"])
+            agg = stem_columns(agg, ["product_attributes"])
         out = with_attributes(out, agg).withColumn(
             "common_attributes", overlap_count("search_term", "product_attributes"))
         out = out.drop("product_attributes")
@@ -90,17 +94,18 @@ def attr_overlap(base: DataFrame) -> DataFrame:
 def attr_edit_ratios(base: DataFrame, fields=("title", "desc", "brand", "material")) -> DataFrame:
     """The F5 ratios ``dist_in_<field>`` between the search term and each field."""
     from ..functions.edit import edit_ratio
-    from ..sources.csvio import spread
+    from ..sources.csvio import by_key
     src = {"title": "product_title", "desc": "product_description",
            "brand": "brand", "material": "material"}
-    return spread(base).select("*", *[edit_ratio("search_term", src[f]).alias(f"dist_in_{f}")
-                              for f in fields])
+    return by_key(base, "id").select("*", *[edit_ratio("search_term", src[f]).alias(f"dist_in_{f}")
+                                           for f in fields])
 
 
 def attr8_features(pairs: DataFrame, descriptions: DataFrame,
                    side: dict[str, DataFrame]) -> DataFrame:
-    """E2 pass B: ``(id, product_uid, relevance, <ATTR8>)`` on unstemmed pairs."""
-    base = attr_base(pairs, descriptions, side)
+    """E2 pass B: ``(id, product_uid, relevance, <ATTR8>)``; raw pairs next to
+    the stemmed side tables, as the reference reads them."""
+    base = attr_base(pairs, descriptions, stemmed_side_tables(side))
     out = attr_edit_ratios(attr_overlap(base))
     return out.select("id", "product_uid", "relevance", *ATTR8)
 
@@ -109,11 +114,18 @@ def stemmed_inputs(pairs: DataFrame, descriptions: DataFrame) -> tuple[DataFrame
     """F2 on the pair texts (per pair) and on descriptions (per product, before
     the join -- once per product, not once per pair)."""
     from ..functions.stem import stem_columns
-    p = stem_columns(pairs, "id", ["search_term", "product_title"])
-    d = stem_columns(descriptions, "product_uid", ["product_description"])
+    p = stem_columns(pairs, ["search_term", "product_title"])
+    d = stem_columns(descriptions, ["product_description"])
     return p, d
 
 
+def stemmed_side_tables(side: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Brand, material and bullets, lower-cased and stemmed (a null stays null)."""
+    from ..functions.stem import stem_columns
+    return {name: stem_columns(t, [c for c in t.columns if c != "product_uid"])
+            for name, t in side.items()}
+
+
 def w2v_features(pairs: DataFrame, products: DataFrame, fields: dict[str, str],
                  seed: int = 42, max_iter: int | None = None) -> DataFrame:
     """M23 + J5 + A6 + A7: train word vectors on the sentences of every pair's
@@ -141,11 +153,11 @@ def desc7_features(pairs: DataFrame, descriptions: DataFrame, stem: bool = True,
     reproduce the reference's matrix with the id in it."""
     from ..functions.edit import edit_ratio
     from ..operators.tfidf import tfidf_cosines
-    from ..sources.csvio import spread, stage
+    from ..sources.csvio import by_key, stage
 
     p, d = stemmed_inputs(pairs, descriptions) if stem else (pairs, descriptions)
     p, d = stage(p), stage(d)        # reused by three feature branches
-    j = spread(left_join(p, d))
+    j = by_key(left_join(p, d), "id")
     ratios = j.select("id", "product_uid", "relevance",
                       edit_ratio("search_term", "product_title").alias("dist_in_title"),
                       edit_ratio("search_term", "product_description").alias("dist_in_desc"))
@@ -165,14 +177,18 @@ def attr15_features(pairs: DataFrame, descriptions: DataFrame, attributes_long:
     from ..sources.csvio import stage
 
     p, d = stemmed_inputs(pairs, descriptions)
-    attrs = stem_columns(attributes_long, ["product_uid", "pos"], ["value"])
-    bullets = aggregate_attributes(attrs, out="bullets")
-    side = {**side, "bullets": bullets}
-    base = stage(attr_base(p, d, side))
+    attrs = stem_columns(attributes_long, ["value"])
+    side = {**stemmed_side_tables({k: t for k, t in side.items() if k != "bullets"}),
+            "bullets": aggregate_attributes(attrs, out="bullets")}
+    p = stage(p)
+    # one row a product, built before the pairs come in; missing texts are 'nan'
+    products = product_dimension(d, bullets=side["bullets"], brand=side["brand"], material=side["material"])
+    for c in ("product_description", "brand", "material"):
+        products = products.withColumn(c, nan_text(c))
+    products = stage(products.select("product_uid", "product_description", "brand", "material"))
+    base = left_join(p, products)
     feats = attr_edit_ratios(attr_overlap(base))
-    products = base.select("product_uid", "product_description", "brand", "material") \
-        .dropDuplicates(["product_uid"])
-    pp = base.select("id", "product_uid", "search_term", "product_title")
+    pp = p.select("id", "product_uid", "search_term", "product_title")
     tf = tfidf_cosines(pp, products, ("title", "desc", "brand", "material"))
     wv = w2v_features(pp, products, {"title": "product_title", "desc": "product_description",
                                      "brand": "brand"}, seed=seed)

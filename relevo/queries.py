@@ -36,7 +36,7 @@ from .plans.features import (ATTR8, ATTR15, DESC7, LR3, attr8_features, attr15_f
                              lr3_features, stemmed_inputs)
 from .plans.scoring import CLIPS, fit_and_score
 from .session import scratch_path
-from .sources.csvio import (csv_roundtrip, read_csv_inferred, read_side_table, right_size, stage,
+from .sources.csvio import (by_key, csv_roundtrip, read_csv_inferred, read_side_table, stage,
                             write_csv)
 from .sources.relevance import (attr_side_tables, attributes, pairs, product_descriptions,
                                 test_pairs, train_pairs)
@@ -60,8 +60,8 @@ def r6(c) -> "F.Column":
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
-    """E3 end to end: pairs -> J1 -> overlap features -> M1 -> OLS -> P12."""
-    feats = lr3_features(pairs(spark, sf), product_descriptions(spark, sf))
+    """E3 end to end: pairs -> F2 -> J1 -> overlap features -> M1 -> OLS -> P12."""
+    feats = lr3_features(pairs(spark, sf), product_descriptions(spark, sf), stem=True)
     _, pred = fit_and_score(ols(), feats, LR3, clip="both")
     return pred
 
@@ -324,14 +324,11 @@ def q_s6(spark, sf):
 
 @register("S7_stage_parquet", _J1_SQL)
 def q_s7(spark, sf):
-    return stage(q_j1(spark, sf), "s7", how="parquet")
+    return stage(q_j1(spark, sf), "s7")
 
 
 # ---- dense vectors and k-NN (A6, A7, J6, L1, M20) ------------------------
 
-_EMB_DIM_SQL = "len(embedding)"
-
-
 def _embeddings(spark, sf):
     return read_table(spark, sf, "embeddings").select(
         "vec_id", "label", to_double_array("embedding").alias("vec"))
@@ -453,7 +450,7 @@ def _model_query(name: str, make_estimator, clip: str, folds: bool = False):
         train = assemble(feats.where(F.col("relevance").isNotNull()), ATTR8, keep=keep)
         test = assemble(feats.where(F.col("relevance").isNull()), ATTR8, label=None,
                         keep=("id",))
-        model = make_estimator().fit(stage(right_size(train), spread_out=False))
+        model = make_estimator().fit(by_key(stage(train), "id"))
         return model.transform(test).select("id", r6(CLIPS[clip]("prediction")).alias("relevance"))
     run.__name__ = f"q_{name}"
     return register(name)(run)
@@ -590,8 +587,8 @@ def q_a11(spark, sf):
     lr3f = assign_folds(_lr3_train(spark, sf), ["id"], 10)
     attr = _attr8_staged(spark, sf).where(F.col("relevance").isNotNull())
     attr = assign_folds(attr, ["id"], 10)
-    sets = {"without_attributes": stage(right_size(assemble(lr3f, LR3, keep=("id", "fold"))), spread_out=False),
-            "with_attributes": stage(right_size(assemble(attr, ATTR8, keep=("id", "fold"))), spread_out=False)}
+    sets = {"without_attributes": by_key(stage(assemble(lr3f, LR3, keep=("id", "fold"))), "id"),
+            "with_attributes": by_key(stage(assemble(attr, ATTR8, keep=("id", "fold"))), "id")}
     rows = []
     for fs, data in sets.items():
         rows.append(_cv_frame(spark, data, ols(), "linear", fs))
@@ -605,7 +602,7 @@ def q_m18(spark, sf):
     """M18 + M17 + L2: random-forest depth sweep (the reference's grid) with
     10-fold CV; every depth's mean RMSE and a flag on the best one."""
     attr = assign_folds(_attr8_staged(spark, sf).where(F.col("relevance").isNotNull()), ["id"], 10)
-    data = stage(right_size(assemble(attr, ATTR8, keep=("id", "fold"))), spread_out=False)
+    data = by_key(stage(assemble(attr, ATTR8, keep=("id", "fold"))), "id")
     rf = TR.random_forest(seed=2018)
     grid = depth_sweep(rf)
     scores = _cv_frame(spark, data, rf, "random_forest", "attr8", grid, "maxDepth")
@@ -619,11 +616,11 @@ def q_m18(spark, sf):
 def q_e3_spark(spark, sf):
     """The Spark linear flow: random 70/30 split, elastic net (reg 0.3, mix
     0.8, 1000 iterations), training summary and held-out RMSE."""
-    # split a materialised table: both sides are then drawn from the same rows
-    # in the same partitions, so a recomputation cannot move a row across sides
-    f = stage(assemble(_lr3_train(spark, sf), LR3, keep=("id",)), "split-input", spread_out=False)
-    train, test = f.randomSplit([0.7, 0.3], seed=42)
-    model = LN.elastic_net().fit(stage(train))
+    # a row's side follows from its id alone, whatever the layout
+    f = stage(assemble(_lr3_train(spark, sf), LR3, keep=("id",)), "split-input")
+    low = F.pmod(F.xxhash64("id"), F.lit(10)) < 7
+    train, test = f.where(low), f.where(~low)
+    model = LN.elastic_net().fit(by_key(train, "id"))
     summ = LN.summary_frame(spark, model)
     held = rmse(model.transform(test)).first()["rmse"]
     return summ.withColumn("test_rmse", F.lit(held).cast("double"))
@@ -634,7 +631,7 @@ def q_m22(spark, sf):
     """Training-set RMSE of the notebook's forest (120 trees, depth 12)."""
     tr = assemble(_attr8_staged(spark, sf).where(F.col("relevance").isNotNull()), ATTR8,
                   keep=("id",))
-    tr = stage(right_size(tr), spread_out=False)
+    tr = by_key(stage(tr), "id")
     m = TR.random_forest(numTrees=120, maxDepth=12, minInstancesPerNode=1,
                          featureSubsetStrategy="auto", seed=0).fit(tr)
     return rmse(m.transform(tr)).select(r6("rmse").alias("rmse"))

@@ -8,6 +8,7 @@ do we point it at a fresh temporary folder.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -50,6 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         path = spark.sparkContext._jsc.sc().getCheckpointDir()
         path = path.get() if path.isDefined() else None
     if not path:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                               "executors share; a machine-local one would lose staged tables")
         path = tempfile.mkdtemp(prefix="relevo-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -56,50 +56,22 @@ def write_predictions(pred: DataFrame, path: str) -> str:
     return write_csv(pred.select("id", "relevance"), path)
 
 
-def stage(df: DataFrame, name: str = "stage", how: str = "parquet",
-          spread_out: bool = True) -> DataFrame:
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Materialise an intermediate result in the shared checkpoint folder
-    and continue from it (types survive, lineage is cut, a lost executor
-    re-reads the files instead of recomputing the plan).
-
-    ``how='parquet'`` (default) writes a Parquet table and reads it back: the
-    plan runs once.  ``how='checkpoint'`` uses the reliable RDD checkpoint,
-    which runs the plan a second time to write it unless it is cached.
-
-    A small staged table reads back as one or two partitions; with
-    ``spread_out`` (default) it is spread over the cores for the work that
-    follows (see ``spread``; a no-op for large tables).  Inputs of iterative
-    learners pass ``spread_out=False``: they want few partitions.
-    """
-    if how == "parquet":
-        path = scratch_path(df.sparkSession, name)
-        df.write.mode("overwrite").parquet(path)
-        out = df.sparkSession.read.parquet(path)
-    else:
-        out = df.checkpoint(eager=True)
-    return spread(out) if spread_out else out
-
-
-ROWS_PER_PARTITION = 200_000
-
-
-def right_size(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """Coalesce to ``ceil(rows / rows_per_partition)`` partitions when that is
-    fewer than the current count: iterative learners run one job per round,
-    so empty-ish partitions only add scheduling overhead; large inputs keep
-    one partition per ``rows_per_partition`` rows."""
-    n = df.count()
-    want = max(1, -(-n // rows_per_partition))
-    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
+    and continue from it: the plan runs once, types survive, lineage is cut,
+    and a lost executor re-reads the files instead of recomputing the plan."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a CPU-heavy step (Arrow UDF over long texts) at least one
-    partition per core: a small staged table reads back as one or two
-    partitions.  A no-op whenever the input already has that many, i.e. on
-    any large input."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def by_key(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal rows by hash of ``keys`` into ``spark.sql.shuffle.partitions``
+    partitions, each in key order.  Learners that draw rows by place (forests,
+    boosting) then give one result on any number of cores, and a step with an
+    Arrow UDF gets as many tasks as any shuffle."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys).sortWithinPartitions(*keys)
 
 
 def csv_roundtrip(df: DataFrame, name: str, encoding: str = "UTF-8",
@@ -117,5 +89,4 @@ def csv_roundtrip(df: DataFrame, name: str, encoding: str = "UTF-8",
 
 
 __all__ = ["read_csv", "read_csv_inferred", "read_side_table", "write_csv",
-           "write_csv_indexed", "write_predictions", "stage", "right_size", "spread",
-           "csv_roundtrip"]
+           "write_csv_indexed", "write_predictions", "stage", "by_key", "csv_roundtrip"]

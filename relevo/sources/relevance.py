@@ -1,10 +1,11 @@
 """The reference's logical tables, derived from the given test tables.
 
 Mapping (fixed by the blueprint): one search--product pair per document,
-``id = product_uid = doc_id``; the search term is the first 4 words of the
-benchmark item ``doc_id % count(benchmark)``; the product title is the first
-12 words of the document text; the grade is ``1 + quality + (1 - toxic)``
-from ``labels`` and unlabelled documents form the test side.  Product
+``id = product_uid = doc_id``; the search term is the whole text of the
+benchmark item ``doc_id % count(benchmark)``; the product title is the name of
+part ``doc_id`` (empty where there is none); the grade is
+``1 + quality + (1 - toxic)`` from ``labels`` and unlabelled documents form the
+test side.  Product
 description = document text, brand = ``source``, material = ``lang``;
 the long-form attribute table unpivots ``part`` (brand, type, size).
 
@@ -16,22 +17,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import first_words
 from .tables import read_table
 
-SEARCH_WORDS = 4    # fixed value: words of a benchmark text used as search term
-TITLE_WORDS = 12    # fixed value: words of a document used as product title
-
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(id, product_uid, product_title, search_term, relevance)``; relevance
     is null on the test side (U1: train ∪ test)."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id")
     bench = read_table(spark, sf_dir, "benchmark")
     n_items = bench.select(F.count(F.lit(1))).scalar()
-    # Only the 4-word term crosses the join: the projection runs before the
-    # exchange, so a broadcast (chosen by AQE at run time) carries short strings.
-    terms = bench.select(F.col("item_id"), first_words("text", SEARCH_WORDS).alias("search_term"))
+    terms = bench.select("item_id", F.col("text").alias("search_term"))
+    titles = read_table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("product_uid"), F.col("p_name").alias("product_title"))
     labels = read_table(spark, sf_dir, "labels").select(
         "doc_id",
         (F.lit(1.0) + F.col("quality").cast("double")
@@ -39,9 +36,10 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = docs.select(
         F.col("doc_id").alias("id"),
         F.col("doc_id").alias("product_uid"),
-        first_words("text", TITLE_WORDS).alias("product_title"),
         F.pmod(F.col("doc_id"), n_items).alias("item_id"))
     return (base.join(terms, "item_id", "left")
+            .join(titles, "product_uid", "left")
+            .withColumn("product_title", F.coalesce("product_title", F.lit("")))
             .join(labels.withColumnRenamed("doc_id", "id"), "id", "left")
             .select("id", "product_uid", "product_title", "search_term", "relevance"))
 

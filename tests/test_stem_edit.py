@@ -34,7 +34,7 @@ def test_stem_job_equals_per_word(spark):
     rows = [(1, "Lighting  Installations for KNIGHTLY consoles"), (2, " "), (3, None),
             (4, "running running runs")]
     df = spark.createDataFrame(rows, "k long, t string")
-    got = {r["k"]: r["t"] for r in stem_columns(df, "k", ["t"]).collect()}
+    got = {r["k"]: r["t"] for r in stem_columns(df, ["t"]).collect()}
     for k, t in rows:
         want = None if t is None else " ".join(stem(w) for w in t.lower().split())
         assert got[k] == want
