@@ -182,6 +182,6 @@ def similar_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         "raw", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("component_id", "rep").alias("component_id"))
     out = rows.join(per_class, "raw", "left").select(
-        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        "vec_id", F.coalesce(F.when(F.col("vec_id").isNotNull(), F.col("n_links")), F.lit(0)).cast("long").alias("n_links"),
         F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

@@ -89,7 +89,7 @@ def middle(lev: np.ndarray) -> np.ndarray:
 
 def _positions(g: np.ndarray, lev: int, size: int) -> list[np.ndarray]:
     """The bits, within its segment, of an n-gram at a level."""
-    x = mix(g + U(lev) * U(0x9E3779B97F4A7C15))
+    x = mix(g + U(lev * 0x9E3779B97F4A7C15 % (1 << 64)))
     step = (x >> U(32)) | U(1)
     return [((x + U(i) * step) % U(size)).astype(np.int64) for i in range(PROBES)]
 
