@@ -20,6 +20,8 @@ are; repeated rows with one id stay together; an empty table stays empty.
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,15 +33,32 @@ from relevo.llm.common import stage, table
 ORACLE_SQL = None
 
 
+OWN = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _stage(step):
+    """Extra columns travel under plain names, so none clashes with a stage's own."""
+
+    @functools.wraps(step)
+    def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        plain = [c if c in OWN else f"x{k}" for k, c in enumerate(docs.columns)]
+        out = step(spark, docs.toDF(*plain), sf_dir)
+        return out.toDF(*docs.columns) if out.columns == plain else out
+
+    return run_step
+
+
 def _sized(df: DataFrame) -> DataFrame:
     return df.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in df.columns else df
 
 
+@_stage
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(docs, F.lit(True))
-    return langid.predict(docs, model).where("not rejected").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return langid.predict(docs, model).where("not rejected").select(*docs.columns)
 
 
+@_stage
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     removed = lines.repeated_lines(docs)
     out = lines.without_lines(docs.withColumn("_words", F.col("text").rlike(mixture.WORD)), removed)
@@ -47,16 +66,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _sized(out.where(~F.coalesce(lost, F.lit(False))).drop("_words"))
 
 
+@_stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(docs)
     gone = found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
 
 
+@_stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _sized(mixture.mixed_documents(docs))
 
 
+@_stage
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"),
                                 public_tokenizers.PATTERN, ids=True).drop("decoded")
