@@ -69,14 +69,38 @@ def closed_form_ols(df: DataFrame, x: str, y: str) -> DataFrame:
                   F.regr_slope(F.col(y), F.col(x)).alias("slope"))
 
 
+def fold_statistics(df: DataFrame, xs, y, fold_col: str) -> dict:
+    """Per fold ``(XᵀX, Xᵀy, yᵀy)`` with a first column of ones, from one
+    grouped aggregation (one row per fold reaches the driver)."""
+    xs = [F.lit(1.0), *xs]
+    d = len(xs)
+    aggs = [F.sum(xs[i] * xs[j]).alias(f"xx_{i}_{j}") for i in range(d) for j in range(i, d)]
+    aggs += [F.sum(xs[i] * y).alias(f"xy_{i}") for i in range(d)] + [F.sum(y * y).alias("yy")]
+    stats = {}
+    for r in df.groupBy(fold_col).agg(*aggs).collect():
+        xx = np.zeros((d, d))
+        for i in range(d):
+            for j in range(i, d):
+                xx[i, j] = xx[j, i] = r[f"xx_{i}_{j}"]
+        stats[r[fold_col]] = (xx, np.array([r[f"xy_{i}"] for i in range(d)]), float(r["yy"]))
+    return stats
+
+
+def ridge_weights(xx: np.ndarray, xy: np.ndarray, alpha: float) -> np.ndarray:
+    """Ridge solution ``(intercept, weights...)`` of ``(XᵀX, Xᵀy)``; the
+    intercept isn't penalised."""
+    penalty = alpha * np.eye(len(xy))
+    penalty[0, 0] = 0.0
+    return np.linalg.lstsq(xx + penalty, xy, rcond=None)[0]
+
+
 class RidgeCV:
     """M6: ridge regression with the penalty chosen by K-fold CV on R²
     (alphas 0.1, 1, 10 by default), refitted on all rows.
 
-    Folds come from an explicit ``fold`` column (contiguous, W1).  For each
-    training subset the Spark ``regParam`` is derived from that subset's row
-    count and label deviation (see ``ridge``), so every fit is the exact
-    ridge solution for its alpha.
+    Folds come from an explicit ``fold`` column (contiguous, W1).  One
+    aggregation gives every fold's sufficient statistics; each fold's fit for
+    each alpha and its R² follow from them in closed form.
     """
 
     def __init__(self, alphas=(0.1, 1.0, 10.0), label: str = "relevance",
@@ -89,16 +113,22 @@ class RidgeCV:
         return ridge(alpha, s, int(st["n"]), label=self.label).fit(df)
 
     def fit(self, df: DataFrame):
-        from ..operators.metrics import r2 as r2_of
+        from pyspark.ml.functions import vector_to_array
+        dim = len(df.select(vector_to_array("features").alias("x")).first()["x"])
+        x = vector_to_array("features")
+        wide = df.select(self.fold_col, F.col(self.label).cast("double").alias("_y"),
+                         *[x[k].alias(f"_x{k}") for k in range(dim)])
+        stats = fold_statistics(wide, [F.col(f"_x{k}") for k in range(dim)], F.col("_y"), self.fold_col)
+        xx_all, xy_all = sum(s[0] for s in stats.values()), sum(s[1] for s in stats.values())
         scores = []
         for a in self.alphas:
-            fold_scores = []
-            for k in range(self.num_folds):
-                tr = df.where(F.col(self.fold_col) != k)
-                te = df.where(F.col(self.fold_col) == k)
-                m = self._fit_alpha(tr, a)
-                fold_scores.append(float(r2_of(m.transform(te), self.label).first()["r2"]))
-            scores.append(float(np.mean(fold_scores)))
+            r2s = []
+            for xx, xy, yy in (stats[f] for f in sorted(stats)):
+                w = ridge_weights(xx_all - xx, xy_all - xy, a)
+                sse = yy - 2.0 * w @ xy + w @ xx @ w
+                spread = yy - xy[0] ** 2 / xx[0, 0]
+                r2s.append(1.0 - sse / spread if spread > 0 else 0.0)
+            scores.append(float(np.mean(r2s)))
         self.cv_scores = list(zip(self.alphas, scores))
         self.alpha = self.alphas[int(np.argmax(scores))]
         return self._fit_alpha(df, self.alpha)
@@ -116,21 +146,7 @@ def ols_cv_rmse(df: DataFrame, features: Sequence[str], label: str = "relevance"
     ones.  Returns (mean of fold RMSEs, per-fold RMSEs), the same numbers as
     fitting and scoring each fold separately.
     """
-    xs = [F.lit(1.0)] + [F.col(c).cast("double") for c in features]
-    y = F.col(label).cast("double")
-    d = len(xs)
-    aggs = [F.sum(xs[i] * xs[j]).alias(f"xx_{i}_{j}") for i in range(d) for j in range(i, d)]
-    aggs += [F.sum(xs[i] * y).alias(f"xy_{i}") for i in range(d)]
-    aggs += [F.sum(y * y).alias("yy")]
-    rows = df.groupBy(fold_col).agg(*aggs).collect()
-    stats = {}
-    for r in rows:
-        xx = np.zeros((d, d))
-        for i in range(d):
-            for j in range(i, d):
-                xx[i, j] = xx[j, i] = r[f"xx_{i}_{j}"]
-        xy = np.array([r[f"xy_{i}"] for i in range(d)])
-        stats[r[fold_col]] = (xx, xy, float(r["yy"]))
+    stats = fold_statistics(df, [F.col(c).cast("double") for c in features], F.col(label).cast("double"), fold_col)
     tot_xx = sum(s[0] for s in stats.values())
     tot_xy = sum(s[1] for s in stats.values())
     rmses = []
