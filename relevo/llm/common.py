@@ -88,21 +88,24 @@ def collect_table(parts: DataFrame, shape: tuple[int, ...], segments: int = 32)
     return out.reshape(shape)
 
 
-def block_units(members: DataFrame, key: str, order: str, block: int) -> DataFrame:
+def block_units(members: DataFrame, key: str, order: str, block: int, weight: str | None = None,
+                heaviest: int = 1 << 21) -> DataFrame:
     """Spread the pairs of each bucket over units of bounded size.
 
     A bucket of up to ``block`` rows is one unit.  A larger one is dealt by
     hash of ``order`` into ``n = ceil(rows / block)`` blocks, and every two of
     them meet in a unit of their own: adds ``_i``, ``_j`` (the unit's blocks,
     ``_i <= _j``) and ``_mine`` (the row's own block).  Buckets of one row are
-    dropped, they hold no pair.  Counting is a partial aggregation; the join
+    dropped, they hold no pair.  With ``weight``, blocks are also sized to about
+    ``heaviest`` of its sum.  Counting is a partial aggregation; the join
     that follows it may be split by the engine where a bucket is hot.
     """
-    sizes = members.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    n = F.ceil(F.col("_n") / block).cast("int")
+    load = F.sum(weight) / heaviest if weight else F.lit(0.0)
+    sizes = members.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), load.alias("_load")).where("_n > 1")
+    n = F.ceil(F.greatest(F.col("_n") / block, "_load")).cast("int")
     out = (members.join(sizes, key).withColumn("_blocks", n)
            .withColumn("_mine", F.pmod(F.xxhash64(order), F.col("_blocks").cast("long")).cast("int")))
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     out = out.withColumn("_other", other)
     return (out.withColumn("_i", F.least("_mine", "_other"))
-            .withColumn("_j", F.greatest("_mine", "_other")).drop("_other", "_n", "_blocks"))
+            .withColumn("_j", F.greatest("_mine", "_other")).drop("_other", "_n", "_load", "_blocks"))

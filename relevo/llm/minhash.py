@@ -7,15 +7,17 @@ sets with a Jaccard index of at least ``percent`` share ``need(k)`` of their
 ``k`` retained values (five standard deviations below the expected number;
 all of them count where the sketch is the whole set), so a class only lists
 the rarest ``k - need + 1`` and values that no other class retains are left
-out.  Classes that are connected through these lists form a family.  Within a
-family overlaps are counted block against block, a union-sketch estimate
-filters, and exact Jaccard on the full sets verifies.
-
-A family of near copies has as many pairs as the square of its size, so they
-are never emitted.  Each unit of two blocks proposes a maximum spanning forest
-of its overlapping pairs; verified edges join classes.  Where that leaves more
-than one part of a family, a second round proposes every overlapping pair
-between different parts, so no link is lost that would join two components.
+out.  Classes that are
+connected through these lists form a family.
+
+The pairs of a family are as many as the square of its size, so they are never
+emitted.  A family is cut into blocks of bounded size, every two of which meet
+in a unit with their members' full sets.  A unit counts overlaps of the
+sketches, takes the overlapping pairs from the largest overlap down, skips
+those that its links already join, filters by the union-sketch estimate and
+verifies by exact Jaccard on the full sets.  What it emits is a forest of
+verified links; a pair it skips would not have joined anything else, so the
+components are those of all links.
 
 Defined results: a text with fewer than ``WIDTH`` words has its whole sequence
 as its one shingle; a null text, or one without words, has no shingles and is
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .common import Batches, block_units, stage
 from .graph import components
-from .units import forest, over_units, overlaps, sides
+from .units import KEYS, over_units, overlaps, sides
 from .words import U, blocks, mix, shingles
 
 WIDTH, K, PERCENT = 5, 64, 75
@@ -100,65 +102,72 @@ def _families(reps: DataFrame, percent: int, k: int) -> DataFrame:
         "component_id", "family")
 
 
-def _proposals(members: DataFrame, percent: int, k: int, every: bool, block: int = 1024) -> DataFrame:
-    """Pairs to verify (``a``, ``b``), from members ``rep``, ``n``, ``sketch``,
-    ``family``, ``part``: each unit's spanning forest, or with ``every`` all
-    overlapping pairs between different parts."""
-    padded = F.expr(f"concat(sketch, array_repeat(-1L, {k} - size(sketch)))")
-    units = block_units(members.select("rep", "n", "part", F.col("family").alias("bucket"), padded.alias("sketch"),
-                                       F.size("sketch").alias("k")), "bucket", "rep", block)
+def _links(docs: DataFrame, family: DataFrame, percent: int, width: int, k: int, block: int = 1024) -> DataFrame:
+    """A forest of verified links (``a``, ``b``) for each unit of a family
+    (``family``: ``rep``, ``bucket``, ``n``)."""
+    units = block_units(family, "bucket", "rep", block, "n").drop("n")
+    rows = docs.join(units, docs["doc_id"] == units["rep"]).select(*KEYS, "_mine", "rep", "text")
+
+    def full(batches: Batches) -> Batches:
+        for b in batches:
+            for lo in range(0, b.num_rows, 512):
+                part = b.slice(lo, 512)
+                own = pa.array([u.tobytes() for _, u in sets(part.column(5), width)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns[:5], own], names=[*part.schema.names[:5], "shingles"])
+
+    rows = rows.mapInArrow(full, "bucket long, _i int, _j int, _mine int, rep long, shingles binary")
     least = np.array([need(s, percent, k) if s else 1 for s in range(k + 1)])
     j = percent / 100
     floor = j - 5 * math.sqrt(j * (1 - j) / k)
 
-    def estimated(x, y, kx, ky):
+    def estimated(x, y):
         """Is the union sketch's share of common values high enough?"""
-        x, y = x[:kx], y[:ky]
-        _, i, jj = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-        rank = i + jj - np.arange(len(i))  # place in the union's order
-        size = min(k, kx + ky - len(i))
-        whole = kx < k and ky < k
+        _, i, other = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+        rank = i + other - np.arange(len(i))  # place in the union's order
+        size = min(k, len(x) + len(y) - len(i))
+        whole = len(x) < k and len(y) < k
         return (rank < size).sum() >= (j - 1e-9 if whole else floor) * size
 
     def emit(g):
         a, b = sides(g)
         same = g["_i"][0] == g["_j"][0]
-        o = overlaps(g["sketch"][a], g["sketch"][b])
-        need_a, need_b = least[g["k"][a]], least[g["k"][b]]
-        na, nb = g["n"][a][:, None], g["n"][b][None, :]
-        ok = (o >= np.maximum(need_a[:, None], need_b[None, :])) & (
+        full_sets = [np.frombuffer(x, U) for x in g["shingles"]]
+        sketch = np.full((len(full_sets), k), -1, np.int64)
+        for i, x in enumerate(full_sets):
+            sketch[i, :min(k, len(x))] = (x[:k] >> U(1)).view(np.int64)
+        n = np.array([len(x) for x in full_sets])
+        o = overlaps(sketch[a], sketch[b])
+        bar = least[np.minimum(n, k)]
+        na, nb = n[a][:, None], n[b][None, :]
+        ok = (o >= np.maximum(bar[a][:, None], bar[b][None, :])) & (
             100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
-        ok &= g["part"][a][:, None] != g["part"][b][None, :]
-        if every:
-            r, c = np.nonzero(np.triu(ok, 1) if same else ok)
-        else:
-            r, c = forest(np.where(ok, o, 0), bool(same))
-        ra, rb = a[r], b[c]
-        good = np.array([estimated(g["sketch"][p], g["sketch"][q], g["k"][p], g["k"][q])
-                         for p, q in zip(ra.tolist(), rb.tolist())], bool)
-        return [(g["rep"][ra[good]], g["rep"][rb[good]])] if good.any() else []
-
-    return over_units(units, emit, ["a", "b"], "a long, b long").distinct()
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
-    """The pairs whose full sets have the Jaccard index asked for."""
-    t = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(
-        texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
-
-    def run(batches: Batches) -> Batches:
-        for b in batches:
-            good = []
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
-                for (i, x), (_, y) in zip(sets(part.column(2), width), sets(part.column(3), width)):
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    if both and 100 * both >= percent * (len(x) + len(y) - both):
-                        good.append(lo + i)
-            keep = pa.array(good, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(keep), b.column(1).take(keep)], names=["a", "b"])
-
-    return t.mapInArrow(run, "a long, b long")
+        r, c = np.nonzero(np.triu(ok, 1) if same else ok)
+        order = np.argsort(-o[r, c], kind="stable")
+        parent = list(range(len(n)))
+
+        def root(x):
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        found = []
+        for x, y in zip(a[r[order]].tolist(), b[c[order]].tolist()):
+            p, q = root(x), root(y)
+            if p == q:
+                continue
+            s, t = full_sets[x], full_sets[y]
+            if not estimated(s[:k], t[:k]):
+                continue
+            both = len(np.intersect1d(s, t, assume_unique=True))
+            if 100 * both >= percent * (len(s) + len(t) - both):
+                parent[max(p, q)] = min(p, q)
+                found.append((x, y))
+        if not found:
+            return []
+        x, y = np.array(found).T
+        return [(g["rep"][x], g["rep"][y])]
+
+    return over_units(rows, emit, ["a", "b"], "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
@@ -175,22 +184,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("doc_id").alias("a"), F.col("rep").alias("b")).join(
         reps.select(F.col("rep").alias("a")).distinct(), "a", "left_semi")
 
-    family = _families(reps, percent, k)
-    members = stage(reps.join(family.withColumnRenamed("id", "rep"), "rep").select(
-        "rep", "n", "sketch", "family", F.col("rep").alias("part")), "members")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(
-        members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    texts = stage(texts, "texts")
-    links = stage(_verified(_proposals(members, percent, k, False), texts, percent, width), "links")
-    parts = components(links)
-
-    split = members.drop("part").join(parts.withColumnRenamed("id", "rep"), "rep", "left").withColumn(
-        "part", F.coalesce("component_id", "rep")).drop("component_id")
-    open_families = split.groupBy("family").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where(
-        "lo <> hi").select("family")
-    rest = _proposals(split.join(open_families, "family"), percent, k, True)
-    more = _verified(rest, texts, percent, width)
-    found = components(links.unionByName(more).unionByName(ties))
+    family = stage(_families(reps, percent, k).withColumnsRenamed({"id": "rep", "family": "bucket"}).join(
+        reps.select("rep", "n"), "rep"), "families")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    found = components(_links(texts, family, percent, width, k).unionByName(ties))
 
     per_class = reps.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
         *key, F.coalesce("component_id", "rep").alias("component_id"))
