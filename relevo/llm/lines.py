@@ -6,7 +6,8 @@ share one of the first ``n - ceil(t * n) + 1`` words of that order (prefix
 filter).  Lines that share a prefix word are compared by length, by the place
 of the word (positional filter: what is left behind it must still suffice) and
 by 64-bit parity maps of their sets, whose Hamming distance can't exceed the
-symmetric difference.  What passes is verified exactly on the texts.  A line is
+symmetric difference.  What passes is verified exactly on the full sets, which a
+second pass over the texts sends for the lines in question.  A line is
 removed if an earlier line (smaller id, then line number) has the same set or
 is similar enough, whether that line stays or not.
 
@@ -34,7 +35,7 @@ from .common import Batches, collect_table, shuffle_partitions, stage, summed_ta
 from .words import U, Words, blocks, mix
 
 PERCENT, MIN_WORDS, CANDIDATES = 80, 5, 4
-RARITY_BITS = 20
+RARITY_BITS, WANTED_BITS = 20, 22
 POSTING = np.dtype([("word", "<u4"), ("digest", "<u8"), ("parity", "<u8"), ("doc", "<i8"), ("line", "<i4"),
                     ("n", "<i4"), ("place", "<u2")])
 
@@ -61,13 +62,11 @@ def needed(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     return (percent * (n + m) + 99 + percent) // (100 + percent)
 
 
-def _postings(w: Words, rarity: np.ndarray, ids: np.ndarray, percent: int, min_words: int):
-    """Prefix postings of a block's lines (of equal sets the earliest), with
-    their word hashes; and, as rows of numbers, the later lines of equal sets
-    with the earliest one."""
-    h, line, row, number = line_sets(w)
-    rank = rarity[(h >> U(64 - RARITY_BITS)).astype(np.int64)].astype(U) << U(56) | h >> U(8)
-    order = np.lexsort((rank, line))
+def _sets(w: Words, lines_, rank: np.ndarray | None = None):
+    """The distinct words of each line, in order of ``rank`` (else of their
+    hashes), and each line's first place, size, digest and parity map."""
+    h, line, row, number = lines_
+    order = np.lexsort((h if rank is None else rank, line))
     h, line = h[order], line[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
@@ -76,6 +75,16 @@ def _postings(w: Words, rarity: np.ndarray, ids: np.ndarray, percent: int, min_w
     n = np.diff(np.r_[first, len(h)])
     digest = np.add.reduceat(mix(h + U(7)), first) if len(h) else h
     parity = np.bitwise_xor.reduceat(U(1) << (mix(h) >> U(58)), first) if len(h) else h
+    return h, first, n, digest, parity, row, number
+
+
+def _postings(w: Words, rarity: np.ndarray, ids: np.ndarray, percent: int, min_words: int):
+    """Prefix postings of a block's lines (of equal sets the earliest), with
+    their word hashes; and, as rows of numbers, the later lines of equal sets
+    with the earliest one."""
+    h, line, row, number = line_sets(w)
+    rank = rarity[(h >> U(64 - RARITY_BITS)).astype(np.int64)].astype(U) << U(56) | h >> U(8)
+    h, first, n, digest, parity, row, number = _sets(w, (h, line, row, number), rank)
     doc = ids[w.lo + row]
     use = np.flatnonzero(n >= min_words)
     use = use[np.lexsort((number[use], doc[use], digest[use]))]
@@ -100,6 +109,12 @@ def _equal_sets(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Postings of one range in order of word, document and line, one for each
     word and set (the earliest); and the later lines of equal sets, found at
     their rarest word only."""
+    order = np.argsort(p["word"], kind="stable")
+    word = p["word"][order]
+    again = np.zeros(len(p), bool)
+    again[1:] = word[1:] == word[:-1]
+    again[:-1] |= again[1:]
+    p = p[order[again]]  # a word of one line matches nothing
     p = p[np.lexsort((p["line"], p["doc"], p["digest"], p["word"]))]
     same = np.zeros(len(p), bool)
     same[1:] = (p["word"][1:] == p["word"][:-1]) & (p["digest"][1:] == p["digest"][:-1])
@@ -139,16 +154,19 @@ def _pairs(p: np.ndarray, percent: int, bound: int) -> np.ndarray:
         found.append(np.stack([good[few], later[few]]))
     a, b = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
     return np.stack([p["doc"][b], p["line"][b].astype(np.int64), p["doc"][a], p["line"][a].astype(np.int64),
-                     (sent[b] > bound).astype(np.int64)])
+                     1 + (sent[b] > bound), p["digest"][b].view(np.int64), p["digest"][a].view(np.int64)])
 
 
-OUT = "doc long, line long, by_doc long, by_line long, kind int"  # kind: 0 equal set, 1 candidate, 2 with more
+# kind: 0 equal set, 1 candidate, 2 candidate of a line with more of them
+COLUMNS = ["doc", "line", "by_doc", "by_line", "kind", "digest", "by_digest"]
+OUT = ", ".join(f"{c} long" for c in COLUMNS)
 
 
-def _batch(rows: np.ndarray, kind: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(r.astype(np.int64)) for r in rows[:4]]
-                                      + [pa.array(kind.astype(np.int32))],
-                                      names=["doc", "line", "by_doc", "by_line", "kind"])
+def _batch(rows: np.ndarray) -> pa.RecordBatch:
+    """Rows of numbers as a batch; copies (4 rows) have no kind or digests yet."""
+    full = np.zeros((len(COLUMNS), rows.shape[1]), np.int64)
+    full[:len(rows)] = rows
+    return pa.RecordBatch.from_arrays([pa.array(r) for r in full], names=COLUMNS)
 
 
 def candidates(docs: DataFrame, percent: int, min_words: int, rarity) -> DataFrame:
@@ -189,7 +207,7 @@ def candidates(docs: DataFrame, percent: int, min_words: int, rarity) -> DataFra
             for s, is_open, part in zip(*(c.to_pylist() for c in b.columns)):
                 if not is_open:
                     rows = np.frombuffer(part, np.int64).reshape(4, -1)
-                    yield _batch(rows, np.zeros(rows.shape[1]))
+                    yield _batch(rows)
                     continue
                 if s != now and held:
                     yield from matched(held)
@@ -201,40 +219,57 @@ def candidates(docs: DataFrame, percent: int, min_words: int, rarity) -> DataFra
     def matched(held):
         p, copies = _equal_sets(np.concatenate(held))
         held.clear()
-        rows = _pairs(p, percent, CANDIDATES)
-        yield _batch(np.concatenate([copies, rows[:4]], axis=1), np.r_[np.zeros(copies.shape[1]), 1 + rows[4]])
+        yield _batch(copies)
+        yield _batch(_pairs(p, percent, CANDIDATES))
 
     packed = docs.mapInArrow(local, "seg int, open boolean, part binary")
     return packed.repartition("seg").sortWithinPartitions("seg").mapInArrow(join, OUT)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs of lines whose sets are similar enough.  Pairs are gathered by
-    the two documents, so a text is read once for all its lines."""
-    grouped = pairs.groupBy("doc", "by_doc").agg(F.collect_list(F.struct("line", "by_line")).alias("lines"))
-    texts = docs.select("doc_id", "text")
-    t = grouped.join(texts.withColumnsRenamed({"doc_id": "doc", "text": "t1"}), "doc").join(
-        texts.withColumnsRenamed({"doc_id": "by_doc", "text": "t2"}), "by_doc").select("doc", "by_doc", "lines", "t1", "t2")
+def _verified(pairs: DataFrame, docs: DataFrame, percent: int, min_words: int) -> DataFrame:
+    """The pairs (with digests) whose sets are similar enough.  The sets of the
+    lines in question are read off the texts once more: a line is sent if its
+    digest falls in a bucket of one in question (a table of fixed size that
+    only spares work; the joins on digests decide)."""
+    wanted = pairs.select(F.explode(F.array("digest", "by_digest")).alias("d"))
+    shape = (1 << WANTED_BITS,)
+
+    def mark(b: pa.RecordBatch, table: np.ndarray) -> None:
+        table[b.column(0).to_numpy().view(U) >> U(64 - WANTED_BITS)] = 1
 
-    def sets_of(text: str, wanted: set) -> dict[int, set]:
-        lines = text.split("\n")
-        return {k: set(lines[k].encode().lower().split()) for k in wanted if k < len(lines)}
+    marked = collect_table(summed_tables(wanted, mark, shape), shape) > 0
+    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(marked))
+
+    def sets(batches: Batches) -> Batches:
+        marked = np.unpackbits(shared.value).astype(bool)
+        for b in batches:
+            for w in blocks(b.column(1)):
+                if not len(w):
+                    continue
+                h, first, n, digest, _, _, _ = _sets(w, line_sets(w))
+                _, use = np.unique(digest, return_index=True)
+                use = use[marked[(digest[use] >> U(64 - WANTED_BITS)).astype(np.int64)] & (n[use] >= min_words)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(digest[use].view(np.int64)),
+                     pa.array([h[first[k]:first[k] + n[k]].tobytes() for k in use.tolist()], pa.binary())],
+                    names=["digest", "words"])
+
+    found = docs.mapInArrow(sets, "digest long, words binary").groupBy("digest").agg(F.min("words").alias("words"))
+    found = stage(found, "line-sets")
+    t = pairs.join(found.withColumnRenamed("words", "x"), "digest").join(
+        found.withColumnsRenamed({"digest": "by_digest", "words": "y"}), "by_digest").select(
+        "doc", "line", "by_doc", "by_line", "x", "y")
 
     def run(batches: Batches) -> Batches:
         for b in batches:
             good = []
-            for lo in range(0, b.num_rows, 256):
-                for doc, by, lines, t1, t2 in zip(*(c.to_pylist() for c in b.slice(lo, 256).columns)):
-                    x = sets_of(t1, {p["line"] for p in lines})
-                    y = sets_of(t2, {p["by_line"] for p in lines})
-                    for p in lines:
-                        s, r = x.get(p["line"]), y.get(p["by_line"])
-                        if s and r:
-                            both = len(s & r)
-                            if 100 * both >= percent * (len(s) + len(r) - both):
-                                good.append((doc, p["line"], by, p["by_line"]))
-            rows = np.array(good, np.int64).reshape(-1, 4).T
-            yield _batch(rows, np.ones(rows.shape[1]))
+            for k, (x, y) in enumerate(zip(b.column(4), b.column(5))):
+                x, y = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if 100 * both >= percent * (len(x) + len(y) - both):
+                    good.append(k)
+            rows = np.stack([c.to_numpy() for c in b.columns[:4]])[:, np.array(good, np.int64)]
+            yield _batch(rows)
 
     return t.mapInArrow(run, OUT)
 
@@ -264,7 +299,7 @@ def _unbounded(open_lines: DataFrame, docs: DataFrame, percent: int, min_words:
             .where(F.least(F.col("n") - F.col("place"), F.col("by_n") - F.col("by_place")) >= alpha)
             .where(100 * F.least("n", "by_n") >= percent * F.greatest("n", "by_n"))
             .where(F.bit_count(F.col("parity").bitwiseXOR(F.col("by_parity"))) <= F.col("n") + F.col("by_n") - 2 * alpha)
-            .select("doc", "line", "by_doc", "by_line").distinct())
+            .select("doc", "line", "by_doc", "by_line", "digest", "by_digest").distinct())
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
@@ -283,14 +318,14 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rarity = docs.sparkSession.sparkContext.broadcast(
         np.minimum(np.log2(counts + 1) * 7, 255).astype(np.uint8))
     found = stage(candidates(d, percent, min_words, rarity), "line-pairs")
-    pairs = found.where("kind > 0").groupBy("doc", "line", "by_doc", "by_line").agg(F.max("kind").alias("kind"))
-    near = stage(_verified(pairs, d, percent), "lines")
+    pairs = found.where("kind > 0").drop("kind").distinct()
+    near = stage(_verified(pairs, d, percent, min_words), "lines")
     open_lines = found.where("kind = 2").select("doc", "line").distinct().join(
         near.select("doc", "line"), ["doc", "line"], "left_anti")
     open_lines = stage(open_lines, "open-lines")
     if not open_lines.isEmpty():
         rest = _unbounded(open_lines, d, percent, min_words, rarity)
-        near = near.unionByName(_verified(rest, d, percent))
+        near = near.unionByName(_verified(stage(rest, "line-pairs"), d, percent, min_words))
     return found.where("kind = 0").unionByName(near).groupBy("doc", "line").agg(
         F.min(F.struct("by_doc", "by_line")).alias("by")).select(
         F.col("doc").alias("doc_id"), "line", F.col("by.by_doc").alias("by_doc_id"), F.col("by.by_line").alias("by_line"))
