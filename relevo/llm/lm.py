@@ -36,11 +36,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, collect_table, stage, summed_tables
+from .common import Batches, collect_table, shuffle_partitions, stage, summed_tables
 from .words import U, blocks, mix
 
 PROBES, LEVELS, HEAD = 5, 40, 1 << 20
-SEGMENT_BITS = 6                     # 64 segments by the first bits of a hash
 END, START = U(0x5851F42D4C957F2D), U(0x14057B7EF767814F)
 _PAIR = U(0xD1342543DE82EF95)
 _GRID = np.array([0, .02, .05, .1, .2, .3, .4, .5, .6, .7, .8, .9, .95, .98])
@@ -73,8 +72,8 @@ def bigram(before: np.ndarray, h: np.ndarray) -> np.ndarray:
     return mix(before * _PAIR + h + U(1))
 
 
-def _segment(g: np.ndarray) -> np.ndarray:
-    return (g >> U(64 - SEGMENT_BITS)).astype(np.int64)
+def _segment(g: np.ndarray, segment_bits: int) -> np.ndarray:
+    return (g >> U(64 - segment_bits)).astype(np.int64)
 
 
 def level(count: np.ndarray) -> np.ndarray:
@@ -116,6 +115,7 @@ def build_segment(g: np.ndarray, c: np.ndarray, size: int) -> tuple[np.ndarray,
 class BloomModel:
     bits: np.ndarray     # packed, all segments
     size: int            # bits of a segment
+    segment_bits: int    # a segment is named by so many first bits of a hash
     tokens: int          # training tokens
     types: int           # different ones
     weights: np.ndarray  # by level of the history's count
@@ -123,7 +123,7 @@ class BloomModel:
     def levels(self, g: np.ndarray) -> np.ndarray:
         """Levels of distinct n-grams: probe one after another until it is missing."""
         out = np.zeros(len(g), np.int64)
-        alive, base = np.arange(len(g)), _segment(g) * self.size
+        alive, base = np.arange(len(g)), _segment(g, self.segment_bits) * self.size
         for j in range(1, LEVELS):
             hit = np.ones(len(alive), bool)
             for p in _positions(g[alive], j, self.size):
@@ -162,7 +162,7 @@ class BloomModel:
         return np.add.reduceat(np.log10(w * share + (1 - w) * p), ptr[:-1]) if len(h) else np.zeros(0)
 
 
-def _count(texts: DataFrame, bits: int) -> DataFrame:
+def _count(texts: DataFrame, bits: int, segment_bits: int) -> DataFrame:
     """Rows of a finished segment: ``seg``, ``bits``, ``cutoff`` and its words'
     exact counts (``words``: packed hashes and counts)."""
     held_tokens = 1 << 22
@@ -177,10 +177,10 @@ def _count(texts: DataFrame, bits: int) -> DataFrame:
             g, gc = np.unique(np.concatenate(bi), return_counts=True)
             uni.clear(), bi.clear()
             seg, kind, part = [], [], []
-            for k, x, c, s in ((1, w, wc, _segment(unigram(w))), (2, g, gc, _segment(g))):
+            for k, x, c, s in ((1, w, wc, _segment(unigram(w), segment_bits)), (2, g, gc, _segment(g, segment_bits))):
                 order = np.argsort(s, kind="stable")
-                cuts = np.searchsorted(s[order], np.arange((1 << SEGMENT_BITS) + 1))
-                for j in range(1 << SEGMENT_BITS):
+                cuts = np.searchsorted(s[order], np.arange((1 << segment_bits) + 1))
+                for j in range(1 << segment_bits):
                     ix = order[cuts[j]:cuts[j + 1]]
                     if len(ix):
                         seg.append(j), kind.append(k), part.append(_pack(x[ix], c[ix]))
@@ -207,13 +207,13 @@ def _count(texts: DataFrame, bits: int) -> DataFrame:
         for s in sorted(held):
             w, wc = _sum(held[s][1])
             g, gc = _sum(held[s][2])
-            packed, cutoff = build_segment(np.r_[unigram(w), g], np.r_[wc, gc], bits >> SEGMENT_BITS)
+            packed, cutoff = build_segment(np.r_[unigram(w), g], np.r_[wc, gc], bits >> segment_bits)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([s], pa.int32()), pa.array([packed.tobytes()], pa.binary()), pa.array([cutoff], pa.int64()),
                  pa.array([_pack(w, wc)], pa.binary())], names=["seg", "bits", "cutoff", "words"])
             held[s] = {}
 
-    return (texts.mapInArrow(local, "seg int, kind int, part binary").repartition(1 << SEGMENT_BITS, "seg")
+    return (texts.mapInArrow(local, "seg int, kind int, part binary").repartition(1 << segment_bits, "seg")
             .mapInArrow(add, "seg int, bits binary, cutoff long, words binary"))
 
 
@@ -243,7 +243,9 @@ def _sum(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.nda
 def fit(docs: DataFrame, learn: Column, text_col: str = "text", bits: int = 1 << 28) -> tuple[BloomModel, DataFrame]:
     """The model, and the exact word counts as a table (``h``, ``c``)."""
     texts = docs.where(learn).select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    done = stage(_count(texts, bits), "ngrams")
+    # as many hash ranges as the session's shuffles ask for, so a range's task does not grow with the corpus
+    segment_bits = min(16, max(6, (4 * shuffle_partitions(docs.sparkSession) - 1).bit_length()))
+    done = stage(_count(texts, bits, segment_bits), "ngrams")
 
     def words(batches: Batches) -> Batches:
         for b in batches:
@@ -256,11 +258,11 @@ def fit(docs: DataFrame, learn: Column, text_col: str = "text", bits: int = 1 <<
 
     counts = done.select("words").mapInArrow(words, "h long, c long")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    size = bits >> SEGMENT_BITS
+    size = bits >> segment_bits
     filter_bits = np.zeros(bits >> 3, np.uint8)
     for r in done.select("seg", "bits").toLocalIterator():  # the filter's own size in all
         filter_bits[r.seg * (size >> 3):(r.seg + 1) * (size >> 3)] = np.frombuffer(r.bits, np.uint8)
-    model = BloomModel(filter_bits, size, int(total.n), int(total.v), np.zeros(LEVELS + 1))
+    model = BloomModel(filter_bits, size, segment_bits, int(total.n), int(total.v), np.zeros(LEVELS + 1))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def gains(b: pa.RecordBatch, table: np.ndarray) -> None:

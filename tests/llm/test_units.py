@@ -98,7 +98,7 @@ def test_filter_returns_no_level_too_low():
     g = np.unique(rng.integers(0, 1 << 58, 3000, dtype=np.uint64))
     c = rng.integers(1, 500, len(g))
     bits, cutoff = lm.build_segment(g, c, 1 << 17)
-    model = lm.BloomModel(np.concatenate([bits, np.zeros((63 << 17) >> 3, np.uint8)]), 1 << 17, 1, 1, np.zeros(41))
+    model = lm.BloomModel(np.concatenate([bits, np.zeros((63 << 17) >> 3, np.uint8)]), 1 << 17, 6, 1, 1, np.zeros(41))
     got, kept = model.levels(g), c >= cutoff
     assert (got[kept] >= lm.level(c[kept])).all() and (got[kept] == lm.level(c[kept])).mean() > 0.95
     other = np.unique(rng.integers(0, 1 << 58, 3000, dtype=np.uint64))
