@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import Batches, block_units, stage
 from .graph import components
@@ -83,33 +84,36 @@ def decode(x: np.ndarray, m: int, words: int, passes: int) -> list[np.ndarray]:
     return out
 
 
-def _vectors(col: pa.Array) -> tuple[list, np.ndarray]:
-    """Raw bytes (as doubles, null where the vector is void) of a list column."""
+def _vectors(col: pa.Array, kind: type) -> list[bytes | None]:
+    """Raw bytes in the column's own precision (null where the vector is void)."""
     raw = []
     for v in col:
         x = v.values if v.is_valid else None
         if x is None or not len(x) or x.null_count:
             raw.append(None)
             continue
-        x = x.to_numpy(zero_copy_only=False).astype(np.float64) + 0.0  # no negative zero
+        x = x.to_numpy(zero_copy_only=False).astype(kind) + kind(0)  # no negative zero
         raw.append(x.tobytes() if np.isfinite(x).all() and x.any() else None)
     return raw
 
 
-def _unit(raw: list[bytes]) -> np.ndarray:
-    x = np.stack([np.frombuffer(r, np.float64) for r in raw])
+def _unit(raw: list[bytes], kind: type) -> np.ndarray:
+    """Rows of unit length, in double precision."""
+    x = np.stack([np.frombuffer(r, kind) for r in raw]).astype(np.float64)
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
 def similar_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
-                    threshold: float = 0.95, passes: int = 24, block: int = 1024) -> DataFrame:
+                    threshold: float = 0.95, passes: int = 16, block: int = 1024) -> DataFrame:
     """One row a vector: ``vec_id``, ``n_links`` (other vectors linked
     directly), ``component_id`` (the smallest id reachable), ``kept``."""
 
+    kind = np.float32 if vectors.schema[vector_col].dataType.elementType == T.FloatType() else np.float64
+
     def read(batches: Batches) -> Batches:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(_vectors(b.column(1)), pa.binary())],
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(_vectors(b.column(1), kind), pa.binary())],
                                              names=["vec_id", "raw"])
 
     rows = stage(vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"))
@@ -126,7 +130,7 @@ def similar_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                 at = [i for i, r in enumerate(raw) if len(r) == size]
                 for lo in range(0, len(at), 512):
                     part = at[lo:lo + 512]
-                    for i, ids in zip(part, decode(_unit([raw[i] for i in part]), m, words, passes)):
+                    for i, ids in zip(part, decode(_unit([raw[i] for i in part], kind), m, words, passes)):
                         found[i] = ids
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.list_(pa.int64()))],
                                              names=["raw", "rep", "copies", "filters"])
@@ -144,8 +148,8 @@ def similar_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         same = g["_i"][0] == g["_j"][0]
         if not len(a) or not len(b):
             return []
-        x = _unit(list(g["raw"][a]))
-        y = x if same else _unit(list(g["raw"][b]))
+        x = _unit(list(g["raw"][a]), kind)
+        y = x if same else _unit(list(g["raw"][b]), kind)
         near = x @ y.T >= threshold
         if same:
             np.fill_diagonal(near, False)
