@@ -31,13 +31,13 @@ from .operators.order import assign_folds, best_of, peek, row_index
 from .operators.tfidf import bag_of_words, corpus_text, idf_table, tfidf_cosines, tfidf_weights
 from .operators.vectors import (VECTOR_SIZE, mean_vectors, sentence_tokens, text_vectors,
                                 train_word2vec, vector_table)
-from .plans.features import (ATTR8, ATTR15, DESC7, LR3, attr8_features, attr15_features,
+from .plans.features import (ATTR8, ATTR15, DESC6, DESC7, LR3, attr8_features, attr15_features,
                              attr_base, attr_edit_ratios, attr_overlap, desc7_features,
                              lr3_features, stemmed_inputs)
 from .plans.scoring import CLIPS, fit_and_score
 from .session import scratch_path
-from .sources.csvio import (by_key, csv_roundtrip, read_csv_inferred, read_side_table, stage,
-                            write_csv)
+from .sources.csvio import (by_key, csv_roundtrip, read_csv, read_csv_inferred, read_side_table,
+                            stage, write_csv, write_predictions)
 from .sources.relevance import (attr_side_tables, attributes, pairs, product_descriptions,
                                 test_pairs, train_pairs)
 from .sources.tables import read_table
@@ -423,6 +423,30 @@ def q_e1(spark, sf):
                                          for c in DESC7])
 
 
+def _flow_predictions(feats, cols, clip):
+    """Least squares on one pass's features: ``(id, relevance)`` of its test
+    side.  A cosine that isn't defined (a text without tokens) counts as 0."""
+    _, pred = fit_and_score(ols(), feats.fillna(0.0, subset=list(cols)), cols, clip=clip)
+    return pred.select("id", r6("relevance").alias("relevance"))
+
+
+@register("E1_M5_description_model")
+def q_e1_model(spark, sf):
+    """Pass A end to end: description features, model, clip, prediction file."""
+    f = desc7_features(pairs(spark, sf), product_descriptions(spark, sf))
+    pred = _flow_predictions(f, DESC6, "both")
+    return read_csv(spark, write_predictions(pred, scratch_path(spark, "e1")), pred.schema, encoding="UTF-8")
+
+
+@register("E2_M5_attr15_model")
+def q_attr15_model(spark, sf):
+    """The notebook's pass end to end on its 15 features."""
+    f = attr15_features(pairs(spark, sf), product_descriptions(spark, sf),
+                        attributes(spark, sf), attr_side_tables(spark, sf))
+    pred = _flow_predictions(f, ATTR15, "both")
+    return read_csv(spark, write_predictions(pred, scratch_path(spark, "e2")), pred.schema, encoding="UTF-8")
+
+
 @register("E2_attr15_features")
 def q_e2_nb(spark, sf):
     f = attr15_features(pairs(spark, sf), product_descriptions(spark, sf),
@@ -530,18 +554,21 @@ def q_p6(spark, sf):
 
 
 @register("P7_dropna_all", f"""WITH {Q.PAIRS_CTE}
-SELECT relevance, relevance - 1 AS grade_index FROM pairs
-WHERE relevance IS NOT NULL OR relevance - 1 IS NOT NULL""")
+SELECT relevance, CASE WHEN id % 5 <> 0 THEN CAST(id AS DOUBLE) END AS other FROM pairs
+WHERE relevance IS NOT NULL OR id % 5 <> 0""")
 def q_p7(spark, sf):
     p = pairs(spark, sf)
-    return p.select("relevance", (F.col("relevance") - 1).alias("grade_index")).na.drop("all")
+    # the two columns are null independently of each other
+    return p.select("relevance", F.when(F.col("id") % 5 != 0, F.col("id").cast("double")).alias("other")).na.drop("all")
 
 
 @register("P10_pack_unpack", f"""WITH {Q.PAIRS_CTE}
-SELECT id, string_split(search_term || chr(9) || product_title, chr(9))[1] AS search_term,
-       string_split(search_term || chr(9) || product_title, chr(9))[2] AS product_title FROM pairs""")
+SELECT id, string_split(replace(search_term, ', ', chr(9)) || chr(9) || product_title, chr(9))[1] AS search_term,
+       string_split(replace(search_term, ', ', chr(9)) || chr(9) || product_title, chr(9))[2] AS product_title FROM pairs""")
 def q_p10(spark, sf):
-    p = pairs(spark, sf).withColumn("info", pack("search_term", "product_title"))
+    # a TAB inside a field shifts the fields behind it, as in the reference
+    p = pairs(spark, sf).withColumn("search_term", F.replace("search_term", F.lit(", "), F.lit("\t")))
+    p = p.withColumn("info", pack("search_term", "product_title"))
     return p.select("id", unpack("info", 0).alias("search_term"),
                     unpack("info", 1).alias("product_title"))
 
@@ -564,6 +591,15 @@ def q_p12(spark, sf):
     return _ols_test_predictions(spark, sf).select("id", r6(clip_both("relevance")).alias("relevance"))
 
 
+@register("S9_prediction_file", f"""{_OLS_TEST_SQL}
+SELECT id, round({Q.clip_both('p')}, 6) AS relevance FROM pr""")
+def q_s9(spark, sf):
+    """Predictions written as ``(id, relevance)`` CSV and read back."""
+    pred = _ols_test_predictions(spark, sf).select("id", r6(clip_both("relevance")).alias("relevance"))
+    path = write_predictions(pred, scratch_path(spark, "s9"))
+    return read_csv(spark, path, pred.schema, encoding="UTF-8")
+
+
 @register("P13_clip_upper", f"""{_OLS_TEST_SQL}
 SELECT id, round({Q.clip_upper('p')}, 6) AS relevance FROM pr""")
 def q_p13(spark, sf):

@@ -1,9 +1,10 @@
 """The reference's logical tables, derived from the given test tables.
 
 Mapping (fixed by the blueprint): one search--product pair per document,
-``id = product_uid = doc_id``; the search term is the whole text of the
+``id = doc_id``, and three documents in a row share the first one's product
+(``product_uid = doc_id - doc_id % 3``); the search term is the whole text of the
 benchmark item ``doc_id % count(benchmark)``; the product title is the name of
-part ``doc_id`` (empty where there is none); the grade is
+part ``product_uid`` (empty where there is none); the grade is
 ``1 + quality + (1 - toxic)`` from ``labels`` and unlabelled documents form the
 test side.  Product
 description = document text, brand = ``source``, material = ``lang``;
@@ -35,7 +36,7 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
          + (F.lit(1.0) - F.col("toxic").cast("double"))).alias("relevance"))
     base = docs.select(
         F.col("doc_id").alias("id"),
-        F.col("doc_id").alias("product_uid"),
+        (F.col("doc_id") - F.col("doc_id") % 3).alias("product_uid"),
         F.pmod(F.col("doc_id"), n_items).alias("item_id"))
     return (base.join(terms, "item_id", "left")
             .join(titles, "product_uid", "left")

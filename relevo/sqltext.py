@@ -45,14 +45,14 @@ PAIRS_CTE = f"""
 terms AS (
   SELECT item_id, text AS search_term FROM benchmark),
 pairs AS (
-  SELECT d.doc_id AS id, d.doc_id AS product_uid,
+  SELECT d.doc_id AS id, d.doc_id - d.doc_id % 3 AS product_uid,
          coalesce(pt.p_name, '') AS product_title,
          t.search_term,
          CAST(1.0 AS DOUBLE) + CAST(l.quality AS DOUBLE)
            + (CAST(1.0 AS DOUBLE) - CAST(l.toxic AS DOUBLE)) AS relevance
   FROM documents d
   LEFT JOIN terms t ON t.item_id = d.doc_id % (SELECT count(*) FROM benchmark)
-  LEFT JOIN part pt ON pt.p_partkey = d.doc_id
+  LEFT JOIN part pt ON pt.p_partkey = d.doc_id - d.doc_id % 3
   LEFT JOIN labels l ON l.doc_id = d.doc_id),
 descs AS (SELECT doc_id AS product_uid, text AS product_description FROM documents),
 attrs AS (

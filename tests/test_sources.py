@@ -10,17 +10,17 @@ def test_pairs_view_follows_the_mapping(spark):
     docs = pq.read_table(f"{SF_SMALL}/documents.parquet").to_pylist()
     bench = {r["item_id"]: r["text"] for r in pq.read_table(f"{SF_SMALL}/benchmark.parquet").to_pylist()}
     labels = {r["doc_id"]: r for r in pq.read_table(f"{SF_SMALL}/labels.parquet").to_pylist()}
+    names = {r["p_partkey"]: r["p_name"] for r in pq.read_table(f"{SF_SMALL}/part.parquet").to_pylist()}
     want = {}
     for d in docs:
         i = d["doc_id"]
         lab = labels.get(i)
-        want[i] = (" ".join(bench[i % len(bench)].split()[:4]),
-                   " ".join(d["text"].split()[:12]),
+        want[i] = (i - i % 3, bench[i % len(bench)], names.get(i - i % 3, ""),
                    None if lab is None else 1.0 + lab["quality"] + (1 - lab["toxic"]))
-    got = {r["id"]: (r["search_term"], r["product_title"], r["relevance"])
+    got = {r["id"]: (r["product_uid"], r["search_term"], r["product_title"], r["relevance"])
            for r in pairs(spark, SF_SMALL).collect()}
     assert got == want
-    assert sum(v[2] is None for v in got.values()) > 0          # a test side exists
+    assert sum(v[3] is None for v in got.values()) > 0          # a test side exists
 
 
 def test_attributes_unpivot_in_row_order(spark):
