@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import Batches, collect_table, shuffle_partitions, stage, summed_tables
 from .words import U, Words, blocks, mix
 
-PERCENT, MIN_WORDS, CANDIDATES = 80, 5, 4
+PERCENT, MIN_WORDS, CANDIDATES = 80, 5, 16
 RARITY_BITS, WANTED_BITS = 20, 22
 POSTING = np.dtype([("word", "<u4"), ("digest", "<u8"), ("parity", "<u8"), ("doc", "<i8"), ("line", "<i4"),
                     ("n", "<i4"), ("place", "<u2")])
@@ -226,19 +226,23 @@ def candidates(docs: DataFrame, percent: int, min_words: int, rarity) -> DataFra
     return packed.repartition("seg").sortWithinPartitions("seg").mapInArrow(join, OUT)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, percent: int, min_words: int) -> DataFrame:
-    """The pairs (with digests) whose sets are similar enough.  The sets of the
-    lines in question are read off the texts once more: a line is sent if its
-    digest falls in a bucket of one in question (a table of fixed size that
-    only spares work; the joins on digests decide)."""
-    wanted = pairs.select(F.explode(F.array("digest", "by_digest")).alias("d"))
+def _marks(hashes: DataFrame):
+    """A broadcast table of fixed size: which buckets hold one of the hashes."""
     shape = (1 << WANTED_BITS,)
 
     def mark(b: pa.RecordBatch, table: np.ndarray) -> None:
         table[b.column(0).to_numpy().view(U) >> U(64 - WANTED_BITS)] = 1
 
-    marked = collect_table(summed_tables(wanted, mark, shape), shape) > 0
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(marked))
+    marked = collect_table(summed_tables(hashes, mark, shape), shape) > 0
+    return hashes.sparkSession.sparkContext.broadcast(np.packbits(marked))
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, percent: int, min_words: int) -> DataFrame:
+    """The pairs (with digests) whose sets are similar enough.  The sets of the
+    lines in question are read off the texts once more: a line is sent if its
+    digest falls in a bucket of one in question (a table of fixed size that
+    only spares work; the joins on digests decide)."""
+    shared = _marks(pairs.select(F.explode(F.array("digest", "by_digest"))))
 
     def sets(batches: Batches) -> Batches:
         marked = np.unpackbits(shared.value).astype(bool)
@@ -275,23 +279,33 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int, min_words: int) -
 
 
 def _unbounded(open_lines: DataFrame, docs: DataFrame, percent: int, min_words: int, rarity) -> DataFrame:
-    """All compatible earlier lines of ``open_lines`` (``doc``, ``line``), as
-    a join of postings in rows."""
+    """All compatible earlier lines of ``open_lines`` (``doc``, ``line``,
+    ``digest``), as a join of postings in rows: first those of the open lines,
+    then all postings of their prefix words."""
     cols = ["digest", "parity", "n", "place", "doc", "line"]
 
-    def rows(batches: Batches) -> Batches:
-        for b in batches:
-            ids = b.column(0).to_numpy(zero_copy_only=False)
-            for w in blocks(b.column(1)):
-                if len(w):
+    def postings(shared, by_word: bool) -> DataFrame:
+        def rows(batches: Batches) -> Batches:
+            marked = np.unpackbits(shared.value).astype(bool)
+            for b in batches:
+                ids = b.column(0).to_numpy(zero_copy_only=False)
+                for w in blocks(b.column(1)):
+                    if not len(w):
+                        continue
                     words, p, _ = _postings(w, rarity.value, ids, percent, min_words)
+                    key = words if by_word else p["digest"]
+                    use = marked[(key >> U(64 - WANTED_BITS)).astype(np.int64)]
+                    p = p[use]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(words.view(np.int64)), *(pa.array(p[c].view(np.int64) if p[c].dtype == U else
-                                                                    p[c].astype(np.int64)) for c in cols)],
-                        names=["word", *cols])
+                        [pa.array(words[use].view(np.int64)),
+                         *(pa.array(p[c].copy().view(np.int64) if p[c].dtype == U else p[c].astype(np.int64))
+                           for c in cols)], names=["word", *cols])
+
+        return docs.mapInArrow(rows, "word long, " + ", ".join(f"{c} long" for c in cols))
 
-    p = docs.mapInArrow(rows, "word long, " + ", ".join(f"{c} long" for c in cols))
-    probe = p.join(open_lines, ["doc", "line"], "left_semi")
+    probe = stage(postings(_marks(open_lines.select("digest")), False).join(
+        open_lines.select("doc", "line"), ["doc", "line"], "left_semi"), "open-postings")
+    p = postings(_marks(probe.select("word")), True)
     x = p.select("word", *[F.col(c).alias(f"by_{c}") for c in cols])
     alpha = F.floor((F.lit(percent) * (F.col("n") + F.col("by_n")) + 99 + percent) / (100 + percent))
     return (probe.join(x, "word")
@@ -320,7 +334,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = stage(candidates(d, percent, min_words, rarity), "line-pairs")
     pairs = found.where("kind > 0").drop("kind").distinct()
     near = stage(_verified(pairs, d, percent, min_words), "lines")
-    open_lines = found.where("kind = 2").select("doc", "line").distinct().join(
+    open_lines = found.where("kind = 2").select("doc", "line", "digest").distinct().join(
         near.select("doc", "line"), ["doc", "line"], "left_anti")
     open_lines = stage(open_lines, "open-lines")
     if not open_lines.isEmpty():

@@ -170,7 +170,8 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeats
 def mixed_documents(docs: DataFrame, text_col: str = "text", shards: int = 16, **options) -> DataFrame:
     """The mix itself: a row for each piece, with the columns of ``docs``; a
     document that a block ends in is cut there, one that is taken again is
-    repeated.  Each shard is one hash partition, in its shuffled order."""
+    repeated.  A shard is dealt over several tasks by ranges of its order key,
+    each range in order, so that a task stays small however large a shard is."""
     mix = mix_sources(docs, text_col=text_col, shards=shards, carry=docs.columns, **options)
     p = mix.select("size", "row", F.explode("pieces").alias("p"))
     space = r"\\x20\\x09-\\x0D"  # within a SQL string
@@ -179,7 +180,10 @@ def mixed_documents(docs: DataFrame, text_col: str = "text", shards: int = 16, *
     cut = F.expr(f"""array_join(slice(split(regexp_replace({text}, '^[{space}]+', ''),
         '(?<=[{space}])(?=[^{space}])'), cast(p.from_word + 1 as int), cast(p.words as int)), '')""")
     text = F.when(F.col("p.words") == F.col("size"), F.expr(text)).otherwise(cut)
-    out = p.repartition(shards, "p.shard").sortWithinPartitions("p.shard", "p.order_key")
+    tasks = shuffle_partitions(docs.sparkSession)
+    ranges = -(-4 * tasks // shards)
+    p = p.withColumn("part", F.floor((F.col("p.order_key") / F.lit(2.0 ** 64) + 0.5) * ranges))
+    out = p.repartition(tasks, "p.shard", "part").sortWithinPartitions("p.shard", "part", "p.order_key")
     return out.select(*[text.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
