@@ -11,7 +11,8 @@ return the columns of ``documents``.
 3. MinHash near-dedup: one document of each group stays.
 4. Mixture: cuts and repeats documents so that every source comes to its
    target, and shuffles them within their shards.
-5. Byte BPE: encodes each text, decodes the ids and checks the round trip.
+5. Byte BPE: encodes each text into packed ids, with digests of the ids and of
+   what they decode to.
 
 ``n_chars``, where there is such a column, follows the text.  Null texts have
 no letter and go in stage 1; rows without an id pass stages 2 and 3 as they
@@ -81,7 +82,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @_stage
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"),
-                                public_tokenizers.PATTERN, ids=True).drop("decoded")
+                                public_tokenizers.PATTERN, ids=True)
 
 
 STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("near_dedup", near_dedup),

@@ -183,7 +183,9 @@ def encode_documents(docs: DataFrame, ranks_file: str, pattern: str, id_col: str
                      text_col: str = "text", ids: bool = False) -> DataFrame:
     """Encode every whole text and decode the ids again: ``id_col``,
     ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``; with ``ids`` also the
-    ids themselves (``ids array<int>``) and the ``decoded`` text.
+    ids themselves as packed little-endian numbers (``ids binary``: 16 bits
+    each where the vocabulary allows it, otherwise 32).  A batch is handed back
+    for each block of texts, so a task holds little at a time.
 
     ``ranks_file`` is read on the driver and broadcast: its size is the
     vocabulary's, whatever the corpus holds.
@@ -193,25 +195,24 @@ def encode_documents(docs: DataFrame, ranks_file: str, pattern: str, id_col: str
 
     def run(batches: Batches) -> Batches:
         enc = _encoder(shared, pattern)
+        packed = np.dtype("<u2" if max(enc.ranks.values()) < 1 << 16 else "<u4")
         for b in batches:
-            n, sha, back, all_ids, texts = [], [], [], [], []
+            at = 0
             for part in _text_blocks(b.column(1)):
+                n, sha, back, raw_ids = [], [], [], []
                 for s in enc.encode(part):
-                    raw = enc.decode(s)
                     n.append(s.count(" ") + 1 if s else 0)
                     sha.append(hashlib.sha256(s.encode()).hexdigest())
-                    back.append(hashlib.sha256(raw).hexdigest())
+                    back.append(hashlib.sha256(enc.decode(s)).hexdigest())
                     if ids:
-                        all_ids.append(np.array(s.split(), np.int32))
-                        texts.append(raw.decode())
-            cols = [b.column(0), pa.array(n, pa.int64()), pa.array(sha, pa.string()),
-                    pa.array(back, pa.string())]
-            if ids:
-                cols += [pa.array(all_ids, pa.list_(pa.int32())), pa.array(texts, pa.string())]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+                        raw_ids.append(np.array(s.split(), np.int64).astype(packed).tobytes())
+                cols = [b.column(0).slice(at, len(part)), pa.array(n, pa.int64()), pa.array(sha, pa.string()),
+                        pa.array(back, pa.string()), *([pa.array(raw_ids, pa.binary())] if ids else [])]
+                at += len(part)
+                yield pa.RecordBatch.from_arrays(cols, names=names)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids", "decoded"] * ids
+    names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * ids
     schema = f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return docs.select(id_col, text_col).mapInArrow(
-        run, schema + (", ids array<int>, decoded string" if ids else ""))
+        run, schema + (", ids binary" if ids else ""))

@@ -276,6 +276,18 @@ def test_op5_round_trip(spark, trap_dir):
         assert Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got) == want
 
 
+def test_op5_packed_ids(spark):
+    import public_tokenizers as P
+    from relevo.llm import bpe
+    d = spark.createDataFrame([(1, "the end of the Zebra"), (2, None)], "doc_id long, text string")
+    enc = bpe.Encoder(bpe.read_ranks(open(P.path("byte_bpe_50k.tiktoken"), "rb").read()), P.PATTERN)
+    got = {r.doc_id: r for r in bpe.encode_documents(
+        d, P.path("byte_bpe_50k.tiktoken"), P.PATTERN, ids=True).collect()}
+    ids = np.frombuffer(got[1]["ids"], "<u2")
+    assert enc.decode(" ".join(map(str, ids))) == b"the end of the Zebra" and len(ids) == got[1].n_tokens
+    assert got[2]["ids"] == b""
+
+
 def test_op6_held_out_accuracy(spark, trap_dir):
     sf = SF_SMALL.replace("sf0.001", "sf0.01")
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
