@@ -40,7 +40,7 @@ def read_ranks(raw: bytes) -> dict[bytes, int]:
 class Encoder:
     """Ranks as arrays: a pair of token ids is looked up as one sorted key."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, memo: int = 400_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memo: int = 150_000):
         self.split = regex.compile(pattern).findall
         self.ranks, self.memo = ranks, memo
         self.known: dict[str, str] = {}

@@ -140,12 +140,13 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text",
     keep = docs.columns if keep is None else keep
     shared = docs.sparkSession.sparkContext.broadcast(model)
     m = len(keep)
+    at = keep.index(text_col) if text_col in keep else m  # the text goes over once
 
     def run(batches: Batches) -> Batches:
         model = shared.value
         for b in batches:
             lang, score, bad = [], [], []
-            texts = b.column(m)
+            texts = b.column(at)
             for lo, c in vectors(texts):
                 ascii_letters = c.sum(axis=1) > 0
                 if model.langs:
@@ -166,5 +167,6 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text",
     cols = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(keep)]
     kinds = ", ".join(f"c{k} {docs.schema[c].dataType.simpleString()}" for k, c in enumerate(keep))
     schema = (kinds + ", " if kinds else "") + "lang_pred string, score double, rejected boolean"
-    out = docs.select(*cols, F.col(f"`{text_col}`").alias("text")).mapInArrow(run, schema)
+    cols += [F.col(f"`{text_col}`").alias("text")] if at == m else []
+    out = docs.select(*cols).mapInArrow(run, schema)
     return out.toDF(*keep, "lang_pred", "score", "rejected")

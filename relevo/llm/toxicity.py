@@ -219,13 +219,14 @@ def score_documents(docs: DataFrame, model: ToxicityModel | None, text_col: str
     keep = docs.columns if keep is None else keep
     shared = docs.sparkSession.sparkContext.broadcast(model)
     m = len(keep)
+    at = keep.index(text_col) if text_col in keep else m  # the text goes over once
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("strength", pa.float64())]))
 
     def run(batches: Batches) -> Batches:
         model = shared.value
         for b in batches:
             score, passages = np.zeros(b.num_rows), [[]] * b.num_rows
-            for w in _texts(b.column(m)) if model is not None else ():
+            for w in _texts(b.column(at)) if model is not None else ():
                 s = _strongest(model.score, w) - model.drift
                 for i in range(w.n):
                     lo, hi = w.ptr[i], w.ptr[i + 1]
@@ -245,5 +246,6 @@ def score_documents(docs: DataFrame, model: ToxicityModel | None, text_col: str
     cols = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(keep)]
     kinds = ", ".join(f"c{k} {docs.schema[c].dataType.simpleString()}" for k, c in enumerate(keep))
     schema = (kinds + ", " if kinds else "") + "score double, passages array<struct<start:long,end:long,strength:double>>"
-    out = docs.select(*cols, F.col(f"`{text_col}`").alias("text")).mapInArrow(run, schema)
+    cols += [F.col(f"`{text_col}`").alias("text")] if at == m else []
+    out = docs.select(*cols).mapInArrow(run, schema)
     return out.toDF(*keep, "score", "passages")
