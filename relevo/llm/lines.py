@@ -126,28 +126,27 @@ def _equal_sets(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return p[np.lexsort((p["line"], p["doc"], p["word"]))], copies
 
 
-def _compatible(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
-    """Length, positional and parity filters for pairs of postings of a word."""
-    n, m = x["n"].astype(np.int64), y["n"].astype(np.int64)
-    alpha = needed(n, m, percent)
-    ok = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
-    ok &= np.minimum(n - x["place"], m - y["place"]) >= alpha
-    ok &= np.bitwise_count(x["parity"] ^ y["parity"]) <= n + m - 2 * alpha
-    return ok
-
-
 def _pairs(p: np.ndarray, percent: int, bound: int) -> np.ndarray:
     """Compatible pairs within words, as rows later/earlier document and line
     and whether the later line has more than the ``bound`` pairs sent."""
     found = []
     sent = np.zeros(len(p), np.int64)
+    word, parity = p["word"].copy(), p["parity"].copy()
+    n = p["n"].astype(np.int64)
+    rest = n - p["place"]
     live = np.arange(len(p))
     d = 0
     while len(live):
         d += 1
         live = live[live + d < len(p)]
-        live = live[p["word"][live + d] == p["word"][live]]
-        good = live[_compatible(p[live], p[live + d], percent)]
+        live = live[word[live + d] == word[live]]
+        # place, then length, then parity: each on what the one before leaves
+        x, y = n[live], n[live + d]
+        good = live[np.minimum(rest[live], rest[live + d]) >= needed(x, y, percent)]
+        x, y = n[good], n[good + d]
+        ok = 100 * np.minimum(x, y) >= percent * np.maximum(x, y)
+        ok &= np.bitwise_count(parity[good] ^ parity[good + d]) <= x + y - 2 * needed(x, y, percent)
+        good = good[ok]
         later = good + d
         few = sent[later] < bound
         sent[later] += 1
