@@ -79,8 +79,8 @@ def op3_embedding_caps(spark, sf):
 @register
 def op1_bloom_lm(spark, sf):
     docs = table(spark, sf, "documents")
-    model, counts = lm.fit(docs, fold("doc_id", 5) != 1)
-    return lm.score_documents(docs, model, counts, fold("doc_id", 5) == 1)
+    model, texts = lm.fit(docs, fold("doc_id", 5) != 1, fold("doc_id", 5) == 1)
+    return lm.score_documents(texts, model)
 
 
 @register

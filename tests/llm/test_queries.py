@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from relevo.llm import caps, lines, minhash, mixture, repeats, simhash
+from relevo.llm import caps, lines, lm, minhash, mixture, repeats, simhash
 from relevo.llm.graph import components
 from relevo.llm.queries import QUERIES
 
@@ -116,6 +116,15 @@ def test_op1_base_scores(spark, trap_dir, where):
         assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_op1_keeps_every_ngram(spark):
+    """However small the filter begins, it grows: nothing seen in training scores as never seen."""
+    d = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    learn, held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 1, F.lit(False)
+    _, texts = lm.fit(d, learn, held, bits=1 << 10)
+    own = [x for r in texts.where("learn").collect() for x in r.triples]
+    assert own and all(x % lm.LEVELS and x // lm.LEVELS % lm.LEVELS and x // lm.LEVELS ** 2 for x in own)
+
+
 def test_op2_finds_passages_inside_lines(spark):
     rng = np.random.default_rng(2)
     text = lambda n: " ".join(f"v{x}" for x in rng.integers(0, 4000, n))
