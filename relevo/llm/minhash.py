@@ -124,8 +124,9 @@ def _links(docs: DataFrame, family: DataFrame, percent: int, width: int, k: int,
         """Is the union sketch's share of common values high enough?"""
         _, i, other = np.intersect1d(x, y, assume_unique=True, return_indices=True)
         rank = i + other - np.arange(len(i))  # place in the union's order
-        size = min(k, len(x) + len(y) - len(i))
-        whole = len(x) < k and len(y) < k
+        union = len(x) + len(y) - len(i)
+        whole = len(x) < k and len(y) < k and union <= k  # a larger union is only sampled
+        size = min(k, union)
         return (rank < size).sum() >= (j - 1e-9 if whole else floor) * size
 
     def emit(g):

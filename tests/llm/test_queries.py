@@ -340,6 +340,21 @@ def test_op7_against_brute_force(spark, trap_dir):
         assert all(r.kept == (r.doc_id is None or r.doc_id == r.component_id) for r in got)
 
 
+def test_op7_small_sets_at_the_threshold(spark):
+    """Sets smaller than the sketch whose union is larger than it: 54 / 72 = 0.75 and so on."""
+    docs, pairs = [], []
+    for k in range(120):
+        n, m, both = [(63, 63, 54), (63, 58, 52), (62, 61, 53), (60, 55, 50)][k % 4]
+        w = [f"p{k}x{x}" for x in range(n + 4)]
+        other = w[:both + 4] + [f"q{k}x{x}" for x in range(m - both)]
+        docs += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(other))]
+        pairs.append((len(_shingles(docs[-2][1]) & _shingles(docs[-1][1])), len(_shingles(docs[-1][1]))))
+    assert (54, 63) in pairs and (53, 61) in pairs
+    _, comp = _near(docs)
+    got = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id: r.component_id for r in got} == comp and sum(not r.kept for r in got) == 120
+
+
 def _lines(docs, percent=lines.PERCENT, least=lines.MIN_WORDS):
     rows = sorted({(i, k, frozenset(words(x))) for i, t in docs if i is not None and t is not None
                    for k, x in enumerate(t.split("\n"))}, key=lambda r: r[:2])
