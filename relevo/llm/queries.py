@@ -85,4 +85,4 @@ def op1_bloom_lm(spark, sf):
 
 @register
 def op8_line_dedup(spark, sf):
-    return lines.repeated_lines(table(spark, sf, "documents"))
+    return lines.repeated_lines(table(spark, sf, "documents"), min_words=1)

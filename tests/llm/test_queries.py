@@ -355,6 +355,20 @@ def test_op7_small_sets_at_the_threshold(spark):
     assert {r.doc_id: r.component_id for r in got} == comp and sum(not r.kept for r in got) == 120
 
 
+def test_op8_lines_of_few_words(spark):
+    """The query leaves no repeated line out, however few words it has."""
+    docs = [(1, "menu\nlog in\na b c d\nq"), (2, "Menu\nlog out\nin log\nd c b a\na b c d e\n\nz"), (3, "menu")]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.line) for r in lines.repeated_lines(d, min_words=1).collect()}
+    assert got == _lines(docs, least=1) == {(2, 0), (2, 2), (2, 3), (2, 4), (3, 0)}
+
+
+def test_op8_query_has_no_floor(spark, trap_dir):
+    got = {(r.doc_id, r.line) for r in QUERIES["op8_line_dedup"](spark, trap_dir).collect()}
+    docs = docs_of(spark, trap_dir)
+    assert got == _lines(docs, least=1) and (9, 0) in got
+
+
 def _lines(docs, percent=lines.PERCENT, least=lines.MIN_WORDS):
     rows = sorted({(i, k, frozenset(words(x))) for i, t in docs if i is not None and t is not None
                    for k, x in enumerate(t.split("\n"))}, key=lambda r: r[:2])
