@@ -23,7 +23,7 @@ def register(fn):
 
 @register
 def op2_substring_dedup(spark, sf):
-    return repeats.repeated_runs(table(spark, sf, "documents"))
+    return repeats.repeated_runs(table(spark, sf, "documents"), whole_lines=True)
 
 
 @register

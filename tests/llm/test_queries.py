@@ -168,6 +168,15 @@ def test_op2_units_by_brute_force(spark, trap_dir):
     assert sum(want.values()) >= 3
 
 
+def test_op2_whole_lines_of_any_length(spark, trap_dir):
+    docs = [(1, "menu\nlog in\n" + BASE), (2, "x y\nLog  in\nq\nmenu\nlog out"), (3, BASE + "\nlog in\nr")]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    runs = repeats.repeated_runs(d, whole_lines=True)
+    got = {(r.doc_id, docs[r.doc_id - 1][1][r.start:r.end], r.n_words, r.first_doc_id) for r in runs.collect()}
+    assert got == {(2, "Log  in", 2, 1), (2, "menu", 1, 1), (3, BASE + "\nlog in", 62, 1)}
+    assert 9 in {r.doc_id for r in QUERIES["op2_substring_dedup"](spark, trap_dir).collect()}
+
+
 def _vectors_brute(rows, threshold=0.95):
     ok = {i: np.array(v, float) for i, v, _ in rows if i is not None and v and None not in v
           and np.isfinite(v).all() and np.any(v)}
