@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, caps, langid, lines, lm, minhash, mixture, repeats, simhash, toxicity
-from .common import fold, table
+from . import bpe, caps, langid, lines, lm, minhash, mixture, quality, repeats, runs, search, simhash, toxicity
+from .common import fold, stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -86,3 +86,54 @@ def op1_bloom_lm(spark, sf):
 @register
 def op8_line_dedup(spark, sf):
     return lines.repeated_lines(table(spark, sf, "documents"), min_words=1)
+
+
+@register
+def op11_quality(spark, sf):
+    stats = stage(quality.document_statistics(table(spark, sf, "documents")), "statistics")
+    model = quality.fit(stats, table(spark, sf, "labels"), fold("doc_id", 5) != 0)
+    return quality.scored(stats, model).select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@register
+def op12_ranked_search(spark, sf):
+    return search.ranked_documents(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+ORACLE_SQL["op12_ranked_search"] = r"""
+WITH terms AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+docs AS (SELECT doc_id, ts, CAST(len(ts) AS BIGINT) AS n FROM terms WHERE len(ts) > 0),
+size AS (SELECT count(*) AS N_, CAST(sum(n) AS BIGINT) AS L_ FROM docs),
+wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+tf AS (
+  SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(ts) AS term FROM docs)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln((2 * N_ + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, size GROUP BY term, N_),
+part AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * N_) // L_))) AS x
+  FROM tf JOIN weight USING (term), size),
+total AS (SELECT item_id, doc_id, CAST(sum(x) AS BIGINT) AS score FROM wanted JOIN part USING (term) GROUP BY ALL),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM total WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+
+@register
+def op13_periodic_runs(spark, sf):
+    found = runs.periodic_runs(runs.with_repeats(table(spark, sf, "documents").select("doc_id", "text")), ["doc_id"])
+    best = F.col("best")
+    lines_ = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"),
+                                                    F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    return found.withColumn("best", runs.strongest(F.col("runs"))).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), ((1000 * best["length"] - (1000 * best["length"]) % best["period"]) / best["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines_, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))

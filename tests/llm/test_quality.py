@@ -1,0 +1,132 @@
+"""Operator 11: statistics, histograms, trees and held-out accuracy."""
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+from test_queries import LONG, trap_rows, write
+
+from relevo.llm import quality as Q
+from relevo.llm.common import fold
+from relevo.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_statistics_by_hand():
+    texts = ["AB cd cd. x1", None, "", "a b\nc d\na b", LONG, "!!! ß\n\n"]
+    x = dict(zip(Q.STATISTICS, Q.statistics(pa.array(texts)).T))
+    assert np.allclose(np.expm1(x["words"]), [4, 0, 0, 6, 30_000, 2])
+    assert np.allclose(np.expm1(x["lines"]), [1, 0, 0, 3, 1, 1])
+    assert np.allclose(x["distinct_words"][:4], [1, 0, 0, 4 / 6])
+    assert np.allclose(x["distinct_lines"][:4], [1, 0, 0, 2 / 3])
+    assert np.allclose(x["cased_words"][[0, 3, 5]], [1 / 4, 0, 0.5])
+    assert np.allclose(x["wordless"][[0, 5]], [0, 0.5])
+    assert np.allclose(x["share_upper"][0], 2 / 12) and np.allclose(x["share_stop"][0], 1 / 12)
+    assert np.allclose(x["word_length"][0], 9 / 4) and np.allclose(x["top_word"][3], 2 / 6)
+    assert np.allclose(x["line_ends"][[0, 5]], [0, 0])
+    assert np.isfinite(np.stack(list(x.values()))).all()
+
+
+def test_texts_in_one_block_do_not_meet():
+    texts = ["AB cd\nef", "gh", None, "ij kl. ij"]
+    together = Q.statistics(pa.array(texts * 3))
+    assert (together == np.concatenate([Q.statistics(pa.array([t], pa.string())) for t in texts * 3])).all()
+
+
+def random_model(rng, trees=5, depth=3, features=4):
+    m = Q.Trees([np.sort(rng.random(Q.BINS - 1)) for _ in range(features)], 0.1, depth)
+    inner = (1 << depth) - 1
+    m.feature = rng.integers(0, features, (trees, inner)).astype(np.int16)
+    m.cut = rng.integers(0, Q.BINS + 1, (trees, inner)).astype(np.uint8)
+    m.leaf = rng.normal(size=(trees, 1 << depth))
+    return m
+
+
+def test_flat_traversal_equals_a_walk():
+    rng = np.random.default_rng(2)
+    m = random_model(rng)
+    bins = m.bins(rng.random((300, 4)))
+    for row, z in zip(bins, m.margin(bins, step=64)):
+        want = m.base
+        for t in range(5):
+            node = 0
+            while node < 7:
+                node = 2 * node + (2 if row[m.feature[t, node]] > m.cut[t, node] else 1)
+            want += m.leaf[t, node - 7]
+        assert abs(want - z) < 1e-9
+
+
+def test_histograms_equal_plain_sums_on_any_layout(spark):
+    rng = np.random.default_rng(4)
+    m, tree = random_model(rng), random_model(rng, trees=1)
+    bins, y = m.bins(rng.random((500, 4))), rng.integers(0, 2, 500)
+    rows = spark.createDataFrame([(bytearray(b), int(v)) for b, v in zip(bins, y)], "bins binary, y int")
+    p = 1 / (1 + np.exp(-m.margin(bins)))
+    want = np.zeros((3, 4, 4, Q.BINS), np.int64)
+    for b, v, q, node in zip(bins, y, p, tree.leaves(bins, 2)[:, 0] - 3):
+        for f in range(4):
+            want[:, node, f, b[f]] += [round((v - q) * Q._UNIT), round(q * (1 - q) * Q._UNIT), 1]
+    for parts in (1, 5):
+        assert (Q.histograms(rows.repartition(parts), m, tree, 2) == want).all()
+
+
+def test_best_cut_by_brute_force():
+    rng = np.random.default_rng(6)
+    h = rng.integers(-Q._UNIT, Q._UNIT, (3, 4, 3, Q.BINS))
+    h[1], h[2] = abs(h[1]), rng.integers(0, 4, h[2].shape)
+    h[:, 2] = 0  # a node without rows
+    h[:, :, 1:] = h[:, :, :1].sum(axis=-1, keepdims=True) // Q.BINS  # every feature has the same sums
+    h[:, :, 1:, 0] += h[:, :, 0].sum(axis=-1)[:, :, None] - h[:, :, 1:].sum(axis=-1)
+    feature, cut, sides = Q.best_cuts(h, 1.0, 10)
+    for node in range(4):
+        best = None
+        for f in range(3):
+            for c in range(Q.BINS - 1):
+                left, right = h[:, node, f, :c + 1].sum(-1), h[:, node, f, c + 1:].sum(-1)
+                if min(left[2], right[2]) >= 10:
+                    score = sum((s[0] / Q._UNIT) ** 2 / (s[1] / Q._UNIT + 1) for s in (left, right))
+                    if best is None or score > best[0] + 1e-9:
+                        best = (score, f, c)
+        g, k = h[:2, node, 0].sum(-1) / Q._UNIT
+        if best is None or best[0] <= g ** 2 / (k + 1):
+            assert cut[node] == Q.BINS
+        else:
+            assert (feature[node], cut[node]) == best[1:]
+        assert np.allclose(sides[0, :, node].sum() if cut[node] < Q.BINS else sides[0, 0, node], g)
+
+
+@pytest.fixture(scope="module")
+def given(spark):
+    return QUERIES["op11_quality"](spark, SF).toPandas().merge(spark.read.parquet(f"{SF}/labels.parquet").toPandas(), "left")
+
+
+def test_held_out_accuracy(given):
+    held = given[given.held_out & given.quality.notna()]
+    good, poor = held[held.quality == 1].score.to_numpy(), held[held.quality == 0].score.to_numpy()
+    assert (good[:, None] > poor[None, :]).mean() > 0.95
+    assert (held.predicted == held.quality).mean() > 0.93
+    assert len(given) == 1000 and given.score.between(0, 1).all() and ((given.score >= 0.3) == given.predicted).all()
+
+
+def test_layout_of_rows_does_not_matter(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    found = []
+    for parts in (1, 5):
+        x = Q.document_statistics(docs.repartition(parts))
+        m = Q.fit(x, labels.repartition(parts), fold("doc_id", 5) != 0, rounds=3, parts=parts)
+        found.append({r.doc_id: r.score for r in Q.scored(x, m).collect()})
+    assert found[0] == found[1]
+
+
+def test_traps_and_missing_labels(spark, tmp_path):
+    sf = write(spark, tmp_path, trap_rows())
+    got = QUERIES["op11_quality"](spark, sf).collect()
+    assert len(got) == len(trap_rows()) and all(0 <= r.score <= 1 for r in got)
+    assert len({r.score for r in got if r.doc_id in (4, 5, 14)}) == 1  # null and empty texts
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    x = Q.document_statistics(docs)
+    for label, want in ((1, 1.0), (0, 0.0), (None, 0.5)):
+        one = spark.createDataFrame([(1, label), (2, label)], "doc_id long, quality int")
+        assert all(abs(r.score - want) < 1e-9 for r in Q.scored(x, Q.fit(x, one, F.lit(True))).collect())
