@@ -21,6 +21,7 @@ from; without labels of both kinds every score is their share (0.5 if none).
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -178,11 +179,12 @@ def histograms(rows: DataFrame, model: Trees, tree: Trees, level: int) -> np.nda
                 at = node * BINS + x[:, k]
                 for total_of, v in zip(total, values):
                     total_of[:, k] += np.bincount(at, v, nodes * BINS).astype(np.int64).reshape(nodes, BINS)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["part"])
+        yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())], names=["part"])
 
-    # as many rows as the learning rows have partitions, each of a fixed size
+    # as many rows as the learning rows have partitions, each of a bounded size
     parts = rows.mapInArrow(add, "part binary").collect()
-    return sum((np.frombuffer(r.part, np.int64) for r in parts), np.zeros(int(np.prod(shape)), np.int64)).reshape(shape)
+    return sum((np.frombuffer(zlib.decompress(r.part), np.int64) for r in parts),
+               np.zeros(int(np.prod(shape)), np.int64)).reshape(shape)
 
 
 def best_cuts(h: np.ndarray, ridge: float, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -271,7 +273,8 @@ def fit(stats: DataFrame, labels: DataFrame, learn: Column, label_col: str = "qu
             yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), b.column(1)],
                                              names=["bins", "y"])
 
-    drawn = drawn.repartition(parts, "h").select("x", "y").mapInArrow(binned, "bins binary, y int")
+    # a bounded sample: few partitions, however many the session's shuffles have
+    drawn = drawn.select("x", "y").repartition(parts).mapInArrow(binned, "bins binary, y int")
     drawn = stage(drawn, "quality-bins").persist()
     try:
         for _ in range(rounds):
