@@ -20,12 +20,12 @@ from .models import gradient as GR
 from .models import linear as LN
 from .models import trees as TR
 from .models.assemble import assemble
-from .models.cv import cross_validate, cv_scores_frame, depth_sweep
+from .models.cv import DEPTHS, Folds, ScoreTable, Spec, cross_validate, cv_scores_frame, run_folds
 from .models.linear import ols
 from .operators.attributes import aggregate_attributes
 from .operators.columns import drop_columns, keep_columns
 from .operators.joins import left_join, union_all
-from .operators.knn import K_NEIGHBOURS, knn_join, knn_regress
+from .operators.knn import K_NEIGHBOURS, KNNRegressor, knn_join, knn_lsh, knn_regress
 from .operators.metrics import r2, rmse, scoreboard
 from .operators.order import assign_folds, best_of, peek, row_index
 from .operators.tfidf import bag_of_words, corpus_text, idf_table, tfidf_cosines, tfidf_weights
@@ -36,8 +36,8 @@ from .plans.features import (ATTR8, ATTR15, DESC6, DESC7, LR3, attr8_features, a
                              lr3_features, stemmed_inputs)
 from .plans.scoring import CLIPS, fit_and_score
 from .session import scratch_path
-from .sources.csvio import (by_key, csv_roundtrip, read_csv, read_csv_inferred, read_side_table,
-                            stage, write_csv, write_predictions)
+from .sources.csvio import (csv_roundtrip, read_csv, read_csv_inferred, read_side_table, stage,
+                            staged_by_key, write_csv, write_predictions)
 from .sources.relevance import (attr_side_tables, attributes, pairs, product_descriptions,
                                 test_pairs, train_pairs)
 from .sources.tables import read_table
@@ -387,6 +387,18 @@ def q_j6(spark, sf):
                      F.round("dist", 6).alias("dist"))
 
 
+@register("J6_lsh_recall")
+def q_j6_lsh(spark, sf):
+    """Of each vector's exact neighbours, how many the hash buckets find."""
+    e = _embeddings(spark, sf)
+    q, p = (e.select(F.col("vec_id").alias(c), "vec") for c in ("qid", "pid"))
+    exact = knn_join(q, p, k=K_NEIGHBOURS, exclude_self=True).select("qid", "pid")
+    found = knn_lsh(q, p, k=K_NEIGHBOURS, exclude_self=True).select("qid", "pid", F.lit(1).alias("hit"))
+    return exact.join(found, ["qid", "pid"], "left").groupBy(F.col("qid").alias("vec_id")).agg(
+        F.count(F.lit(1)).alias("neighbours"), F.count("hit").alias("found"),
+        F.round(F.count("hit") / F.count(F.lit(1)), 6).alias("recall"))
+
+
 @register("M20_knn_regression", f"""WITH {Q.PAIRS_CTE}, {Q.LR3_CTE},
 test AS (SELECT * FROM lr3 WHERE relevance IS NULL),
 d AS (SELECT q.id AS qid, t.id AS pid, t.relevance AS y,
@@ -474,7 +486,7 @@ def _model_query(name: str, make_estimator, clip: str, folds: bool = False):
         train = assemble(feats.where(F.col("relevance").isNotNull()), ATTR8, keep=keep)
         test = assemble(feats.where(F.col("relevance").isNull()), ATTR8, label=None,
                         keep=("id",))
-        model = make_estimator().fit(by_key(stage(train), "id"))
+        model = make_estimator().fit(staged_by_key(train, "id"))
         return model.transform(test).select("id", r6(CLIPS[clip]("prediction")).alias("relevance"))
     run.__name__ = f"q_{name}"
     return register(name)(run)
@@ -623,8 +635,8 @@ def q_a11(spark, sf):
     lr3f = assign_folds(_lr3_train(spark, sf), ["id"], 10)
     attr = _attr8_staged(spark, sf).where(F.col("relevance").isNotNull())
     attr = assign_folds(attr, ["id"], 10)
-    sets = {"without_attributes": by_key(stage(assemble(lr3f, LR3, keep=("id", "fold"))), "id"),
-            "with_attributes": by_key(stage(assemble(attr, ATTR8, keep=("id", "fold"))), "id")}
+    sets = {"without_attributes": staged_by_key(assemble(lr3f, LR3, keep=("id", "fold")), "id"),
+            "with_attributes": staged_by_key(assemble(attr, ATTR8, keep=("id", "fold")), "id")}
     rows = []
     for fs, data in sets.items():
         rows.append(_cv_frame(spark, data, ols(), "linear", fs))
@@ -633,19 +645,50 @@ def q_a11(spark, sf):
     return board.select("model", *[r6(c).alias(c) for c in board.columns if c != "model"])
 
 
+def _attr8_folds(spark, sf) -> Folds:
+    attr = assign_folds(_attr8_staged(spark, sf).where(F.col("relevance").isNotNull()), ["id"], 10)
+    return Folds(stage(assemble(attr, ATTR8, keep=("id", "fold")), "folds"))
+
+
+def _sweep(spark, sf, specs):
+    """Mean RMSE of every (model, depth) and a flag on each model's best."""
+    scores = run_folds(specs, _attr8_folds(spark, sf), ScoreTable(spark)).means()
+    best = scores.groupBy("model").agg(F.min(F.struct("rmse", "value")).alias("x")).select(
+        "model", F.col("x.value").alias("_best"))
+    return scores.join(best, "model").select("model", "param", "value", r6("rmse").alias("rmse"), "folds",
+                                             (F.col("value") == F.col("_best")).alias("best"))
+
+
+def _depths(model, make):
+    return [Spec(model, lambda d=d: make(d), "attr8", "maxDepth", d) for d in sorted(DEPTHS, reverse=True)]
+
+
 @register("M18_depth_sweep")
 def q_m18(spark, sf):
-    """M18 + M17 + L2: random-forest depth sweep (the reference's grid) with
-    10-fold CV; every depth's mean RMSE and a flag on the best one."""
-    attr = assign_folds(_attr8_staged(spark, sf).where(F.col("relevance").isNotNull()), ["id"], 10)
-    data = by_key(stage(assemble(attr, ATTR8, keep=("id", "fold"))), "id")
-    rf = TR.random_forest(seed=2018)
-    grid = depth_sweep(rf)
-    scores = _cv_frame(spark, data, rf, "random_forest", "attr8", grid, "maxDepth")
-    best = best_of(scores, "rmse", ["value"]).select(F.col("value").alias("_best"))
-    return (scores.join(best, F.col("value") == F.col("_best"), "left")
-            .select("model", "param", "value", r6("rmse").alias("rmse"),
-                    F.col("_best").isNotNull().alias("best")))
+    """M18 + M17 + L2: depth sweeps of the random forest and of extra trees over
+    the reference's grid, 10-fold CV, as one resumable pool of jobs."""
+    return _sweep(spark, sf, _depths("random_forest", lambda d: TR.random_forest(maxDepth=d, maxMemoryInMB=512))
+                  + _depths("extra_trees", lambda d: TR.extra_trees(max_depth=d)))
+
+
+@register("M18_boosting_sweep")
+def q_m18_gb(spark, sf):
+    """The sweep of gradient boosting: 8 depths x 10 folds x 500 rounds."""
+    return _sweep(spark, sf, _depths("gradient_boosting", lambda d: TR.gradient_boosting(maxDepth=d)))
+
+
+def _learners() -> list[Spec]:
+    """The learners of this package that Spark's CrossValidator doesn't take."""
+    return [Spec("adaboost", lambda: EN.AdaBoostR2()), Spec("mlp", lambda: GR.MLPRegressor()),
+            Spec("linear_svr", lambda: GR.LinearSVR()), Spec("extra_trees", lambda: TR.extra_trees()),
+            Spec("knn", lambda: KNNRegressor()), Spec("random_split_tree", lambda: TR.random_split_tree())]
+
+
+@register("M17_cv_learners")
+def q_m17_learners(spark, sf):
+    """10-fold mean RMSE of the package's own learners."""
+    means = run_folds(_learners(), _attr8_folds(spark, sf), ScoreTable(spark)).means()
+    return means.select("model", r6("rmse").alias("rmse"), "folds")
 
 
 @register("E3_M2_M3_M4_elastic_net")
@@ -656,7 +699,7 @@ def q_e3_spark(spark, sf):
     f = stage(assemble(_lr3_train(spark, sf), LR3, keep=("id",)), "split-input")
     low = F.pmod(F.xxhash64("id"), F.lit(10)) < 7
     train, test = f.where(low), f.where(~low)
-    model = LN.elastic_net().fit(by_key(train, "id"))
+    model = LN.elastic_net().fit(staged_by_key(train, "id"))
     summ = LN.summary_frame(spark, model)
     held = rmse(model.transform(test)).first()["rmse"]
     return summ.withColumn("test_rmse", F.lit(held).cast("double"))
@@ -667,7 +710,7 @@ def q_m22(spark, sf):
     """Training-set RMSE of the notebook's forest (120 trees, depth 12)."""
     tr = assemble(_attr8_staged(spark, sf).where(F.col("relevance").isNotNull()), ATTR8,
                   keep=("id",))
-    tr = by_key(stage(tr), "id")
+    tr = staged_by_key(tr, "id")
     m = TR.random_forest(numTrees=120, maxDepth=12, minInstancesPerNode=1,
                          featureSubsetStrategy="auto", seed=0).fit(tr)
     return rmse(m.transform(tr)).select(r6("rmse").alias("rmse"))

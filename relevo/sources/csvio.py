@@ -9,6 +9,7 @@ backslash, so ``escape='"'`` is set on both sides.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -67,13 +68,37 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
 
 def by_key(df: DataFrame, *keys: str) -> DataFrame:
     """Deal rows by hash of ``keys`` into ``spark.sql.shuffle.partitions``
-    partitions, each in key order.  Learners that draw rows by place (forests,
-    boosting) then give one result on any number of cores, and a step with an
-    Arrow UDF gets as many tasks as any shuffle."""
+    partitions, each in key order: a step with an Arrow UDF gets as many tasks
+    as any shuffle, whatever the bytes."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, *keys).sortWithinPartitions(*keys)
 
 
+@contextmanager
+def _merged_by_bytes(spark: SparkSession):
+    """AQE joins small shuffle partitions up to its advisory size, however many
+    cores there are (``parallelismFirst`` would keep one a core)."""
+    key = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def staged_by_key(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by hash of ``keys``, each partition in key order, staged.
+
+    Learners that draw rows by place (forests, boosting) then give one result on
+    any number of cores.  Partitions are merged by their bytes, so a small
+    table has one and an iterative learner pays one task a step; a large one
+    keeps ``spark.sql.shuffle.partitions`` of them.  All readers share the
+    files: nothing is dealt or sorted again."""
+    with _merged_by_bytes(df.sparkSession):
+        return stage(df.repartition(*keys).sortWithinPartitions(*keys), "by-key")
+
+
 def csv_roundtrip(df: DataFrame, name: str, encoding: str = "UTF-8",
                   indexed_by: Sequence[str] | None = None) -> DataFrame:
     """Write ``df`` as CSV to the scratch folder and read it back with its schema."""
@@ -89,4 +114,5 @@ def csv_roundtrip(df: DataFrame, name: str, encoding: str = "UTF-8",
 
 
 __all__ = ["read_csv", "read_csv_inferred", "read_side_table", "write_csv",
-           "write_csv_indexed", "write_predictions", "stage", "by_key", "csv_roundtrip"]
+           "write_csv_indexed", "write_predictions", "stage", "by_key",
+           "staged_by_key", "csv_roundtrip"]

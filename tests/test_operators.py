@@ -97,7 +97,8 @@ def _brute_knn(q, p, k, exclude_self):
 
 
 @pytest.mark.parametrize("exclude_self", [False, True])
-def test_knn_matches_brute_force_with_duplicates(spark, exclude_self):
+@pytest.mark.parametrize("block", [2048, 8])
+def test_knn_matches_brute_force_with_duplicates(spark, exclude_self, block):
     rnd = random.Random(3)
     pts = []
     for i in range(400):
@@ -111,7 +112,7 @@ def test_knn_matches_brute_force_with_duplicates(spark, exclude_self):
     P = spark.createDataFrame(pts, "pid long, vec array<double>")
     Q = spark.createDataFrame(qs, "qid long, vec array<double>")
     k = 9
-    got = knn_join(Q, P, k=k, exclude_self=exclude_self)
+    got = knn_join(Q, P, k=k, exclude_self=exclude_self, block=block)
     rows = got.collect()
     res = {}
     for r in sorted(rows, key=lambda r: (r["qid"], r["rank"])):
@@ -192,16 +193,65 @@ def _axis(rnd, shape, n):
 @pytest.mark.parametrize("exclude_self", [False, True])
 @pytest.mark.parametrize("shape", ["line", "collinear", "constant"])
 def test_knn_is_exact_where_buckets_prune(spark, shape, exclude_self):
-    """Enough distinct vectors for well over 8 buckets, so the band join prunes."""
+    """Blocks of 16 vectors: many cells and rings, so that most are left out."""
     rnd = random.Random(11)
     pts = list(enumerate(_axis(rnd, shape, 600)))
     qs = pts[::12] if exclude_self else [(10_000 + i, v) for i, v in enumerate(_axis(rnd, shape, 50))]
     k = 5
     got = knn_join(spark.createDataFrame(qs, "qid long, vec array<double>"),
-                   spark.createDataFrame(pts, "pid long, vec array<double>"), k=k, exclude_self=exclude_self)
+                   spark.createDataFrame(pts, "pid long, vec array<double>"), k=k, exclude_self=exclude_self, block=16)
     found = {}
     for r in got.collect():
         found.setdefault(r.qid, {})[r["rank"]] = r.pid
     for q, v in qs:
         near = sorted((math.dist(v, p), i) for i, p in pts if not (exclude_self and i == q))[:k]
         assert [found[q][j + 1] for j in range(k)] == [i for _, i in near]
+
+
+def _clusters(dim, n, seed=7):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(12, dim)) * 4
+    return (centres[rng.integers(0, 12, n)] + rng.normal(size=(n, dim))).tolist()
+
+
+def test_knn_carries_payload_and_ignores_vectors_that_are_none(spark):
+    pts = [(1, [0.0, 0.0], "a"), (2, [1.0, 0.0], "b"), (3, None, "c"), (4, [None, 1.0], "d"),
+           (5, [float("nan"), 0.0], "e"), (6, [float("inf"), 0.0], "f"), (7, [0.0, 3.0], None)]
+    P = spark.createDataFrame(pts, "pid long, vec array<double>, name string")
+    got = knn_join(P.select(P.pid.alias("qid"), "vec"), P, k=2, payload=["name"], exclude_self=True)
+    rows = {(r.qid, r["rank"]): (r.pid, r.dist, r.name) for r in got.collect()}
+    assert rows == {(1, 1): (2, 1.0, "b"), (1, 2): (7, 3.0, None), (2, 1): (1, 1.0, "a"),
+                    (2, 2): (7, math.sqrt(10), None), (7, 1): (1, 3.0, "a"), (7, 2): (2, math.sqrt(10), "b")}
+    assert knn_join(P.select(P.pid.alias("qid"), "vec"), P.where("pid > 99"), k=2).collect() == []
+
+
+def test_knn_many_dimensions_close_points_and_busy_blocks(spark, monkeypatch):
+    """Distances far below the rounding of a matrix product; more visitors than a chunk takes."""
+    from relevo.operators import knn
+    monkeypatch.setattr(knn, "QUERIES", 20)
+    rng = np.random.default_rng(5)
+    x = np.array(_clusters(20, 150)) + 1000
+    x[40:80] = x[40] + rng.normal(size=(40, 20)) * 1e-9
+    pts = list(enumerate(x.tolist()))
+    P = spark.createDataFrame(pts, "pid long, vec array<double>")
+    got = knn_join(P.withColumnRenamed("pid", "qid"), P, k=7, exclude_self=True, block=12)
+    found = {}
+    for r in got.collect():
+        found.setdefault(r.qid, {})[r["rank"]] = (r.pid, r.dist)
+    for i, v in pts:
+        near = sorted((math.dist(v, p), j) for j, p in pts if j != i)[:7]
+        assert [found[i][j][1] for j in range(1, 8)] == pytest.approx([d for d, _ in near], rel=1e-12)
+    assert len(found) == 150
+
+
+def test_lsh_candidates_find_most_neighbours(spark):
+    from relevo.operators.knn import knn_lsh
+    pts = list(enumerate(_clusters(8, 700)))
+    P = spark.createDataFrame(pts, "pid long, vec array<double>")
+    Q = P.withColumnRenamed("pid", "qid")
+    exact = {(r.qid, r.pid): r.dist for r in knn_join(Q, P, k=10, exclude_self=True).collect()}
+    got = {(r.qid, r.pid): r.dist for r in knn_lsh(Q, P, k=10, exclude_self=True).collect()}
+    assert len(got.keys() & exact.keys()) >= 0.9 * len(exact)
+    both = got.keys() & exact.keys()
+    assert all(got[p] == pytest.approx(exact[p], rel=1e-9, abs=1e-12) for p in both)
+    assert all(got[p] >= min(d for (q, _), d in exact.items() if q == p[0]) - 1e-9 for p in list(got)[:50])
