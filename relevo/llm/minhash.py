@@ -7,22 +7,28 @@ sets with a Jaccard index of at least ``percent`` share ``need(k)`` of their
 ``k`` retained values (five standard deviations below the expected number;
 all of them count where the sketch is the whole set), so a class only lists
 the rarest ``k - need + 1`` and values that no other class retains are left
-out.  Classes that are
-connected through these lists form a family.
-
-The pairs of a family are as many as the square of its size, so they are never
-emitted.  A family is cut into blocks of bounded size, every two of which meet
-in a unit with their members' full sets.  A unit counts overlaps of the
-sketches, takes the overlapping pairs from the largest overlap down, skips
-those that its links already join, filters by the union-sketch estimate and
-verifies by exact Jaccard on the full sets.  What it emits is a forest of
-verified links; a pair it skips would not have joined anything else, so the
-components are those of all links.
+out.
+
+The pairs of a list are as many as the square of its length, so they are never
+emitted.  First, every class is held against one other: of the lowest classes
+of its lists the one it shares most lists with.  These stars are verified by
+exact Jaccard on full sets, and what they link is contracted, which takes in
+most of a group of copies with one row a copy.  Pairs inside a contracted
+component need no comparison; lists that only one component is left on are
+done.  Classes of different components that meet on the other lists form a
+family, which is cut into blocks of bounded size, every two of which meet in a
+unit with their members' full sets.  A unit counts overlaps of the sketches,
+takes the overlapping pairs of different components from the largest overlap
+down, skips those that its links already join, filters by the union-sketch
+estimate and verifies by exact Jaccard.  What it emits is a forest of verified
+links; a pair it skips would not have joined anything else, so the components
+are those of all links.
 
 Defined results: a text with fewer than ``WIDTH`` words has its whole sequence
 as its one shingle; a null text, or one without words, has no shingles and is
 linked with nothing; equal texts are linked.  Rows that share an id are one
-node.  A row without an id is returned with ``component_id`` null, kept.
+node, whatever their texts.  A row without an id is returned with
+``component_id`` null, kept.
 """
 
 from __future__ import annotations
@@ -82,8 +88,8 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
         run, "doc_id long, n long, d1 long, d2 long, sketch array<long>")
 
 
-def _families(reps: DataFrame, percent: int, k: int) -> DataFrame:
-    """``id``, ``family`` of the classes that share a listed value with another."""
+def _lists(reps: DataFrame, percent: int, k: int) -> DataFrame:
+    """``rep``, ``v``: the classes' listed values that another class retains too."""
     values = reps.select("rep", F.explode("sketch").alias("v"))
     shared = values.groupBy("v").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     # a class's retained values that others retain too, rarest first
@@ -93,29 +99,78 @@ def _families(reps: DataFrame, percent: int, k: int) -> DataFrame:
     size = F.size("sketch")
     # k - need + 1 are listed; those that nobody shares are the rarest of them
     listed = size - F.element_at(table, size + 1) + 1 - (size - F.size("vs"))
-    lists = (own.join(reps.select("rep", "sketch"), "rep").withColumn("m", listed).where("m > 0")
-             .select("rep", F.explode(F.slice("vs", F.lit(1), F.col("m"))).alias("x"))
-             .select("rep", F.col("x.v").alias("v")))
-    lists = stage(lists, "lists")
-    low = lists.groupBy("v").agg(F.min("rep").alias("low"))
-    return components(lists.join(low, "v").where("rep <> low"), "rep", "low").withColumnRenamed(
-        "component_id", "family")
+    return (own.join(reps.select("rep", "sketch"), "rep").withColumn("m", listed).where("m > 0")
+            .select("rep", F.explode(F.slice("vs", F.lit(1), F.col("m"))).alias("x"))
+            .select("rep", F.col("x.v").alias("v")))
 
 
-def _links(docs: DataFrame, family: DataFrame, percent: int, width: int, k: int, block: int = 1024) -> DataFrame:
-    """A forest of verified links (``a``, ``b``) for each unit of a family
-    (``family``: ``rep``, ``bucket``, ``n``)."""
-    units = block_units(family, "bucket", "rep", block, "n").drop("n")
-    rows = docs.join(units, docs["doc_id"] == units["rep"]).select(*KEYS, "_mine", "rep", "text")
+def _full_sets(rows: DataFrame, width: int) -> DataFrame:
+    """``rows`` (the columns of a unit, then ``rep``, ``label``, ``text``) with
+    the ``shingles`` of their texts in place of these."""
+    names = [*KEYS, "_mine", "rep", "label"]
 
     def full(batches: Batches) -> Batches:
         for b in batches:
             for lo in range(0, b.num_rows, 512):
                 part = b.slice(lo, 512)
-                own = pa.array([u.tobytes() for _, u in sets(part.column(5), width)], pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns[:5], own], names=[*part.schema.names[:5], "shingles"])
+                own = pa.array([u.tobytes() for _, u in sets(part.column(6), width)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns[:6], own], names=[*names, "shingles"])
+
+    return rows.select(*names, "text").mapInArrow(
+        full, "bucket long, _i int, _j int, _mine int, rep long, label long, shingles binary")
+
+
+def _similar(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(s, t, assume_unique=True))
+    return 100 * both >= percent * (len(s) + len(t) - both)
+
+
+def _stars(docs: DataFrame, reps: DataFrame, lists: DataFrame, percent: int, width: int, block: int = 512,
+           heaviest: int = 1 << 20) -> DataFrame:
+    """Verified links ``a``, ``b`` of classes with one centre each.  A centre's
+    members meet it in chunks of bounded size."""
+    low = lists.groupBy("v").agg(F.min("rep").alias("low"))
+    sizes = reps.groupBy("rep").agg(F.max("n").alias("n"))
+    pairs = lists.join(low, "v").where("rep <> low").groupBy("rep", "low").agg(F.count(F.lit(1)).alias("c"))
+    one = pairs.groupBy("rep").agg(F.max(F.struct("c", -F.col("low"))).alias("x")).select(
+        "rep", (-F.col("x.col2")).alias("bucket"))
+    star = one.join(sizes, "rep").join(sizes.select(F.col("rep").alias("bucket"), F.col("n").alias("m")), "bucket").where(
+        100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
+    chunks = star.groupBy("bucket").agg(F.ceil(F.greatest(
+        F.count(F.lit(1)) / block, F.sum("n") / heaviest)).cast("long").alias("chunks"))
+    star = stage(star.join(chunks, "bucket").withColumn("_i", F.pmod(F.xxhash64("rep"), "chunks").cast("int")).select(
+        "bucket", "_i", F.lit(1).alias("_mine"), "rep"), "stars")
+    centres = star.select("bucket", "_i", F.lit(0).alias("_mine"), F.col("bucket").alias("rep")).distinct()
+    units = star.unionByName(centres).withColumn("_j", F.lit(0)).withColumn("label", F.lit(0).cast("long"))
+    rows = _full_sets(docs.join(units, docs["doc_id"] == units["rep"]), width)
 
-    rows = rows.mapInArrow(full, "bucket long, _i int, _j int, _mine int, rep long, shingles binary")
+    def emit(g):
+        full = [np.frombuffer(x, U) for x in g["shingles"]]
+        centres = [full[i] for i in np.flatnonzero(g["_mine"] == 0)]
+        good = [i for i in np.flatnonzero(g["_mine"] == 1) if any(_similar(full[i], c, percent) for c in centres)]
+        return [(g["rep"][good], g["bucket"][good])] if good else []
+
+    return over_units(rows, emit, ["a", "b"], "a long, b long")
+
+
+def _families(lists: DataFrame, stars: DataFrame, reps: DataFrame) -> DataFrame:
+    """``rep``, ``bucket`` (its family), ``n`` and ``label`` (its component so
+    far) of the classes that share a listed value with another component."""
+    comp = components(stars).withColumnsRenamed({"id": "rep", "component_id": "label"})
+    labelled = stage(lists.join(comp, "rep", "left").withColumn("label", F.coalesce("label", "rep")), "labelled")
+    mixed = labelled.groupBy("v").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min("rep").alias("low"))
+    rest = stage(labelled.join(mixed.where("x <> y").select("v", "low"), "v").select("rep", "label", "low").distinct(), "rest")
+    family = components(rest, "rep", "low").withColumnsRenamed({"id": "rep", "component_id": "bucket"})
+    sizes = reps.groupBy("rep").agg(F.max("n").alias("n"))
+    return family.join(rest.select("rep", "label").distinct(), "rep").join(sizes, "rep")
+
+
+def _links(docs: DataFrame, family: DataFrame, percent: int, width: int, k: int, block: int = 1024) -> DataFrame:
+    """A forest of verified links (``a``, ``b``) between the components
+    (``label``) of each unit of a family (``family``: ``rep``, ``bucket``, ``n``,
+    ``label``)."""
+    units = block_units(family, "bucket", "rep", block, "n").drop("n")
+    rows = _full_sets(docs.join(units, docs["doc_id"] == units["rep"]), width)
     least = np.array([need(s, percent, k) if s else 1 for s in range(k + 1)])
     j = percent / 100
     floor = j - 5 * math.sqrt(j * (1 - j) / k)
@@ -142,9 +197,11 @@ def _links(docs: DataFrame, family: DataFrame, percent: int, width: int, k: int,
         na, nb = n[a][:, None], n[b][None, :]
         ok = (o >= np.maximum(bar[a][:, None], bar[b][None, :])) & (
             100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
+        _, first, label = np.unique(g["label"], return_index=True, return_inverse=True)
+        ok &= label[a][:, None] != label[b][None, :]
         r, c = np.nonzero(np.triu(ok, 1) if same else ok)
         order = np.argsort(-o[r, c], kind="stable")
-        parent = list(range(len(n)))
+        parent = first[label].tolist()
 
         def root(x):
             while parent[x] != x:
@@ -159,8 +216,7 @@ def _links(docs: DataFrame, family: DataFrame, percent: int, width: int, k: int,
             s, t = full_sets[x], full_sets[y]
             if not estimated(s[:k], t[:k]):
                 continue
-            both = len(np.intersect1d(s, t, assume_unique=True))
-            if 100 * both >= percent * (len(s) + len(t) - both):
+            if _similar(s, t, percent):
                 parent[max(p, q)] = min(p, q)
                 found.append((x, y))
         if not found:
@@ -172,23 +228,25 @@ def _links(docs: DataFrame, family: DataFrame, percent: int, width: int, k: int,
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
-                    width: int = WIDTH, k: int = K) -> DataFrame:
+                    width: int = WIDTH, k: int = K, block: int = 1024) -> DataFrame:
     """One row a document: ``doc_id``, ``n_shingles``, ``component_id`` (the
-    smallest id reachable over links, its own included) and ``kept``."""
+    smallest id reachable over links, its own included) and ``kept``.  A family
+    of more than ``block`` classes is cut into blocks."""
     all_docs = stage(sketches(docs, id_col, text_col, width, k), "sketches")
     key = ["n", "d1", "d2"]
     classes = all_docs.where("n > 0 and doc_id is not null")
     reps = stage(classes.groupBy(*key).agg(F.min(F.struct("doc_id", "sketch")).alias("x"))
                  .select(*key, F.col("x.doc_id").alias("rep"), F.col("x.sketch").alias("sketch")), "classes")
-    # an id that several rows share ties their classes together
-    ties = classes.join(reps.select(*key, "rep"), key).where("doc_id <> rep").select(
-        F.col("doc_id").alias("a"), F.col("rep").alias("b")).join(
-        reps.select(F.col("rep").alias("a")).distinct(), "a", "left_semi")
+    # an id that several rows share ties all their classes together
+    of_row = classes.select("doc_id", *key).join(reps.select(*key, "rep"), key).select("doc_id", "rep")
+    split = of_row.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("x")).where("b <> x")
+    ties = of_row.join(split, "doc_id").select(F.col("rep").alias("a"), "b").where("a <> b").distinct()
 
-    family = stage(_families(reps, percent, k).withColumnsRenamed({"id": "rep", "family": "bucket"}).join(
-        reps.select("rep", "n"), "rep"), "families")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    found = components(_links(texts, family, percent, width, k).unionByName(ties))
+    lists = stage(_lists(reps, percent, k), "lists")
+    stars = stage(_stars(texts, reps, lists, percent, width).unionByName(ties), "star-links")
+    family = stage(_families(lists, stars, reps), "families")
+    found = components(_links(texts, family, percent, width, k, block).unionByName(stars))
 
     per_class = reps.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
         *key, F.coalesce("component_id", "rep").alias("component_id"))

@@ -469,3 +469,56 @@ def test_components_of_chains_and_hubs(spark):
     got = {r.id: r.component_id for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{k: 0 for k in range(41)}, **{k: 100 for k in range(100, 160)}}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def _chain(rng, n, step, words=120):
+    """Texts each of which changes a few words of the one before: a family whose
+    ends have nothing in common."""
+    text = [f"c{x}" for x in rng.integers(0, 10**6, words)]
+    out = []
+    for k in range(n):
+        for j in rng.integers(0, words, step):
+            text[j] = f"n{k}x{j}"
+        out.append(" ".join(text))
+    return out
+
+
+def _shingle_sets(docs):
+    out = []
+    for i, t in docs:
+        w = words(t)
+        out.append((i, {tuple(w[k:k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())))
+    return out
+
+
+@pytest.mark.parametrize("block", [16, 1024])
+def test_op7_families_of_many_blocks(spark, block):
+    """Chains, stars and unlinked texts that share passages, in families of over three blocks."""
+    rng = np.random.default_rng(8)
+    texts = _chain(rng, 90, 1) + _chain(rng, 60, 3)
+    base = texts[0].split()
+    for k in range(40):  # near copies of one text
+        copy = list(base)
+        copy[k] = f"z{k}"
+        texts.append(" ".join(copy))
+    shared = " ".join(f"s{x}" for x in range(40))
+    texts += [shared + " " + " ".join(f"u{x}" for x in rng.integers(0, 10**6, 30)) for _ in range(60)]
+    ids = rng.permutation(len(texts)).tolist()
+    docs = [(int(i), t) for i, t in zip(ids, texts)]
+    own = _shingle_sets(docs)
+    links = [(i, j) for a, (i, x) in enumerate(own) for j, y in own[a + 1:] if 100 * len(x & y) >= 75 * len(x | y)]
+    want = union(links, [i for i, _ in docs])
+    got = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(5), block=block)
+    assert {r.doc_id: r.component_id for r in got.collect()} == want
+    assert len(set(want.values())) > 60
+
+
+def test_op3_and_op7_tie_all_rows_of_an_id(spark):
+    a, b = BASE, " ".join(f"b{i}" for i in range(50))
+    docs = spark.createDataFrame([(1, a), (2, b), (9, a), (9, b), (9, a), (5, "q r s t u v")], "doc_id long, text string")
+    got = Counter((r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect())
+    assert got == Counter([(1, 1, True), (2, 1, False), (5, 5, True)] + [(9, 1, False)] * 3)
+    x, y = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    vectors = spark.createDataFrame([(1, x), (2, y), (9, x), (9, y), (5, [0.0, 0.0, 1.0])], "vec_id long, embedding array<float>")
+    got = Counter((r.vec_id, r.component_id, r.n_links) for r in caps.similar_vectors(vectors).collect())
+    assert got == Counter([(1, 1, 1), (2, 1, 1), (5, 5, 0), (9, 1, 1), (9, 1, 1)])
