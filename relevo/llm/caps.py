@@ -179,8 +179,10 @@ def similar_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     found = stage(over_units(units, emit, ["a", "b", "n"], "a long, b long, n long"), "caps")
     links = found.where("a = b").groupBy("a").agg(F.sum("n").alias("linked"))
     edges = found.where("a <> b").select("a", "b")
-    ties = valid.join(reps, "raw").where("vec_id <> rep").select(F.col("vec_id").alias("a"), F.col("rep").alias("b"))
-    ties = ties.join(reps.select(F.col("rep").alias("a")).distinct(), "a", "left_semi")
+    # an id that several rows share ties all their classes together
+    of_row = valid.join(reps, "raw").select("vec_id", "rep")
+    split = of_row.groupBy("vec_id").agg(F.min("rep").alias("b"), F.max("rep").alias("x")).where("b <> x")
+    ties = of_row.join(split, "vec_id").select(F.col("rep").alias("a"), "b").where("a <> b").distinct()
     comp = components(edges.unionByName(ties)).withColumnRenamed("id", "rep")
     per_class = reps.join(links.withColumnRenamed("a", "rep"), "rep", "left").join(comp, "rep", "left").select(
         "raw", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
