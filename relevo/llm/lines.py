@@ -7,16 +7,17 @@ filter).  Lines that share a prefix word are compared by length, by the place
 of the word (positional filter: what is left behind it must still suffice) and
 by 64-bit parity maps of their sets, whose Hamming distance can't exceed the
 symmetric difference.  What passes is verified exactly on the full sets, which a
-second pass over the texts sends for the lines in question.  A line is
+second pass over the texts sends for the lines in question only.  A line is
 removed if an earlier line (smaller id, then line number) has the same set or
 is similar enough, whether that line stays or not.
 
 Any fixed order of words keeps the join exact, so rarity is read from a table
 of hashed word counts of fixed size over all texts.  Prefix words travel as
 packed arrays by hash range; equal sets collapse to their earliest line.  For
-each later line at most ``CANDIDATES`` partners of a word are sent on at
-first; lines that had more and were not matched by these take part in a second
-join without that bound, so nothing is lost.
+each later line the ``CANDIDATES`` nearest earlier partners of a word are sent
+on at first; words where a line has more leave their whole list behind, and
+lines that were not matched by the first ones meet the rest of these lists, so
+nothing is lost.  Only texts with a line in question are parsed for them.
 
 Defined results: lines are parted by ``\n``; lines of fewer than ``min_words``
 different words are left alone, empty ones too; a null text has no lines; a
@@ -34,8 +35,9 @@ from pyspark.sql import functions as F
 from .common import Batches, collect_table, shuffle_partitions, stage, summed_tables
 from .words import U, Words, blocks, mix
 
-PERCENT, MIN_WORDS, CANDIDATES = 80, 5, 16
-RARITY_BITS, WANTED_BITS = 20, 22
+PERCENT, MIN_WORDS, CANDIDATES = 80, 1, 16
+RARITY_BITS = 20
+MARK_BITS = 22, 29  # least and most bits of the marks of lines in question
 POSTING = np.dtype([("word", "<u4"), ("digest", "<u8"), ("parity", "<u8"), ("doc", "<i8"), ("line", "<i4"),
                     ("n", "<i4"), ("place", "<u2")])
 
@@ -66,7 +68,16 @@ def _sets(w: Words, lines_, rank: np.ndarray | None = None):
     """The distinct words of each line, in order of ``rank`` (else of their
     hashes), and each line's first place, size, digest and parity map."""
     h, line, row, number = lines_
-    order = np.lexsort((h if rank is None else rank, line))
+    rank = h if rank is None else rank
+    if len(h) and line[-1] < 1 << 20:
+        # one key of line and rank; where its last bits are missed, by both
+        key = line.astype(U) << U(44) | rank >> U(20)
+        order = np.argsort(key)
+        key, by_key = key[order], h[order]
+        if ((key[1:] == key[:-1]) & (by_key[1:] != by_key[:-1])).any():
+            order = np.lexsort((rank, line))
+    else:
+        order = np.lexsort((rank, line))
     h, line = h[order], line[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
@@ -105,30 +116,50 @@ def _postings(w: Words, rarity: np.ndarray, ids: np.ndarray, percent: int, min_w
     return words, out, copies
 
 
+def _shared(word: np.ndarray) -> np.ndarray:
+    """Which entries may hold a word that occurs again (one that doesn't is
+    mostly seen by a count in as many buckets)."""
+    mask = (1 << max(10, len(word).bit_length() + 1)) - 1
+    at = word & np.uint32(mask & 0xFFFFFFFF)
+    return np.bincount(at)[at] > 1
+
+
 def _equal_sets(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Postings of one range in order of word, document and line, one for each
-    word and set (the earliest); and the later lines of equal sets, found at
-    their rarest word only."""
-    order = np.argsort(p["word"], kind="stable")
-    word = p["word"][order]
+    word and set (the earliest), of words that several sets have; and the later
+    lines of equal sets, found at their rarest word only."""
+    p = p[_shared(np.ascontiguousarray(p["word"]))]
+    word, digest = np.ascontiguousarray(p["word"]).astype(U), np.ascontiguousarray(p["digest"])
+    order = np.argsort(word << U(32) | digest >> U(32))
+    word, digest = word[order], digest[order]
+    if ((word[1:] == word[:-1]) & (digest[1:] >> U(32) == digest[:-1] >> U(32)) & (digest[1:] != digest[:-1])).any():
+        order = np.lexsort((p["digest"], p["word"]))
+        word, digest = p["word"][order].astype(U), p["digest"][order]
+    new = np.ones(len(p), bool)
+    new[1:] = (word[1:] != word[:-1]) | (digest[1:] != digest[:-1])
+    group = np.cumsum(new) - 1
+    # within equal sets by document and line
+    many = np.flatnonzero(np.bincount(group)[group] > 1) if len(p) else order
+    rows = p[order[many]]
+    order[many] = order[many][np.lexsort((rows["line"], rows["doc"], group[many]))]
+    lead = order[np.flatnonzero(new)][group] if len(p) else order
+    x, y = p[order[many]], p[lead[many]]
+    twin = (~new[many]) & (x["place"] == 0) & ((x["doc"] != y["doc"]) | (x["line"] != y["line"]))
+    x, y = x[twin], y[twin]
+    copies = np.stack([x["doc"], x["line"].astype(np.int64), y["doc"], y["line"].astype(np.int64)])
+    p = p[order[new]]
+    word = np.ascontiguousarray(p["word"])
     again = np.zeros(len(p), bool)
     again[1:] = word[1:] == word[:-1]
     again[:-1] |= again[1:]
-    p = p[order[again]]  # a word of one line matches nothing
-    p = p[np.lexsort((p["line"], p["doc"], p["digest"], p["word"]))]
-    same = np.zeros(len(p), bool)
-    same[1:] = (p["word"][1:] == p["word"][:-1]) & (p["digest"][1:] == p["digest"][:-1])
-    lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(p))))
-    twin = same & (p["place"] == 0) & ((p["doc"] != p["doc"][lead]) | (p["line"] != p["line"][lead]))
-    copies = np.stack([p["doc"][twin], p["line"][twin].astype(np.int64), p["doc"][lead[twin]],
-                       p["line"][lead[twin]].astype(np.int64)])
-    p = p[~same]
+    p = p[again]
     return p[np.lexsort((p["line"], p["doc"], p["word"]))], copies
 
 
-def _pairs(p: np.ndarray, percent: int, bound: int) -> np.ndarray:
+def _pairs(p: np.ndarray, percent: int, bound: int) -> tuple[np.ndarray, np.ndarray]:
     """Compatible pairs within words, as rows later/earlier document and line
-    and whether the later line has more than the ``bound`` pairs sent."""
+    and whether the later line has more than the ``bound`` pairs sent; and the
+    numbers of all postings of words that have such a line."""
     found = []
     sent = np.zeros(len(p), np.int64)
     word, parity = p["word"].copy(), p["parity"].copy()
@@ -152,11 +183,22 @@ def _pairs(p: np.ndarray, percent: int, bound: int) -> np.ndarray:
         sent[later] += 1
         found.append(np.stack([good[few], later[few]]))
     a, b = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-    return np.stack([p["doc"][b], p["line"][b].astype(np.int64), p["doc"][a], p["line"][a].astype(np.int64),
-                     1 + (sent[b] > bound), p["digest"][b].view(np.int64), p["digest"][a].view(np.int64)])
-
-
-# kind: 0 equal set, 1 candidate, 2 candidate of a line with more of them
+    # a pair often shares several words of the range
+    digests = np.stack([p["digest"][b], p["digest"][a]])
+    kind = 1 + (sent[b] > bound)
+    order = np.lexsort((-kind, *digests))
+    first = np.ones(len(order), bool)
+    first[1:] = (digests[:, order[1:]] != digests[:, order[:-1]]).any(axis=0)
+    once = order[first]
+    a, b = a[once], b[once]
+    rows = np.stack([p["doc"][b], p["line"][b].astype(np.int64), p["doc"][a], p["line"][a].astype(np.int64),
+                     kind[once], p["digest"][b].view(np.int64), p["digest"][a].view(np.int64)])
+    return rows, np.flatnonzero(np.isin(word, word[sent > bound]))
+
+
+# kind: 0 equal set, 1 candidate, 2 candidate of a line with more of them;
+# 3 a posting of a word where a line has more of them: by_doc is the word,
+# by_line its place and the set's size, by_digest the parity map
 COLUMNS = ["doc", "line", "by_doc", "by_line", "kind", "digest", "by_digest"]
 OUT = ", ".join(f"{c} long" for c in COLUMNS)
 
@@ -209,56 +251,93 @@ def candidates(docs: DataFrame, percent: int, min_words: int, rarity) -> DataFra
                     yield _batch(rows)
                     continue
                 if s != now and held:
-                    yield from matched(held)
+                    yield from matched(held, now)
                 now = s
                 held.append(np.frombuffer(part, POSTING))
         if held:
-            yield from matched(held)
+            yield from matched(held, now)
 
-    def matched(held):
+    def matched(held, segment):
         p, copies = _equal_sets(np.concatenate(held))
         held.clear()
         yield _batch(copies)
-        yield _batch(_pairs(p, percent, CANDIDATES))
+        pairs, more = _pairs(p, percent, CANDIDATES)
+        yield _batch(pairs)
+        p = p[more]
+        word = p["word"].astype(np.int64) | np.int64(segment) << 32
+        yield _batch(np.stack([p["doc"], p["line"].astype(np.int64), word, p["n"].astype(np.int64) << 16 | p["place"],
+                               np.full(len(p), 3), p["digest"].view(np.int64), p["parity"].view(np.int64)]))
 
     packed = docs.mapInArrow(local, "seg int, open boolean, part binary")
     return packed.repartition("seg").sortWithinPartitions("seg").mapInArrow(join, OUT)
 
 
-def _marks(hashes: DataFrame):
-    """A broadcast table of fixed size: which buckets hold one of the hashes."""
-    shape = (1 << WANTED_BITS,)
+def _line_hash(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+    return mix(mix(doc.astype(np.int64).view(U)) + line.astype(np.int64).view(U))
 
-    def mark(b: pa.RecordBatch, table: np.ndarray) -> None:
-        table[b.column(0).to_numpy().view(U) >> U(64 - WANTED_BITS)] = 1
 
-    marked = collect_table(summed_tables(hashes, mark, shape), shape) > 0
-    return hashes.sparkSession.sparkContext.broadcast(np.packbits(marked))
+def _marks(wanted: DataFrame):
+    """A broadcast bitmap with the hashes of the lines ``doc``, ``line``: 16 to 32
+    bits a line, as far as ``MARK_BITS`` go (64 MB; beyond that more lines are
+    sent in vain, and the joins on digests still decide)."""
+    bits = int(np.clip((16 * wanted.count()).bit_length(), *MARK_BITS))
+    parts = 64
 
+    def segment(batches: Batches) -> Batches:
+        maps: dict[int, np.ndarray] = {}
+        for b in batches:
+            h = _line_hash(*(c.to_numpy() for c in b.columns[:2])) >> U(64 - bits)
+            part = (h >> U(bits - 6)).astype(np.int64)
+            for k in np.unique(part).tolist():
+                own = maps.setdefault(k, np.zeros(1 << (bits - 6), bool))
+                own[(h[part == k] & U((1 << (bits - 6)) - 1)).astype(np.int64)] = True
+        for k, own in maps.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([np.packbits(own).tobytes()], pa.binary())],
+                                             names=["part", "map"])
+
+    def key(batches: Batches) -> Batches:
+        for b in batches:
+            h = _line_hash(*(c.to_numpy() for c in b.columns))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array((h >> U(58)).astype(np.int32))], names=["doc", "line", "part"])
+
+    maps = wanted.mapInArrow(key, "doc long, line long, part int").repartition(parts, "part").mapInArrow(
+        segment, "part int, map binary")
+    size = 1 << (bits - 9)
+    table = np.zeros(parts * size, np.uint8)
+    for r in maps.toLocalIterator():
+        table[r.part * size:(r.part + 1) * size] = np.frombuffer(r.map, np.uint8)
+    return bits, wanted.sparkSession.sparkContext.broadcast(table)
 
-def _verified(pairs: DataFrame, docs: DataFrame, percent: int, min_words: int) -> DataFrame:
+
+def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The pairs (with digests) whose sets are similar enough.  The sets of the
     lines in question are read off the texts once more: a line is sent if its
-    digest falls in a bucket of one in question (a table of fixed size that
-    only spares work; the joins on digests decide)."""
-    shared = _marks(pairs.select(F.explode(F.array("digest", "by_digest"))))
+    place is marked (which only spares work; the joins on digests decide)."""
+    wanted = stage(pairs.select("doc", "line").unionByName(pairs.select(F.col("by_doc").alias("doc"), F.col("by_line").alias("line")))
+                   .distinct(), "wanted")
+    bits, shared = _marks(wanted)
 
     def sets(batches: Batches) -> Batches:
-        marked = np.unpackbits(shared.value).astype(bool)
+        table = shared.value
         for b in batches:
+            ids = b.column(0).to_numpy(zero_copy_only=False)
             for w in blocks(b.column(1)):
                 if not len(w):
                     continue
-                h, first, n, digest, _, _, _ = _sets(w, line_sets(w))
-                _, use = np.unique(digest, return_index=True)
-                use = use[marked[(digest[use] >> U(64 - WANTED_BITS)).astype(np.int64)] & (n[use] >= min_words)]
+                h, line, row, number = line_sets(w)
+                at = (_line_hash(ids[w.lo + row], number) >> U(64 - bits)).astype(np.int64)
+                use = (table[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+                word = use[line]
+                h, first, n, digest, _, _, _ = _sets(w, (h[word], (np.cumsum(use) - 1)[line[word]], row[use], number[use]))
+                _, once = np.unique(digest, return_index=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(digest[use].view(np.int64)),
-                     pa.array([h[first[k]:first[k] + n[k]].tobytes() for k in use.tolist()], pa.binary())],
+                    [pa.array(digest[once].view(np.int64)),
+                     pa.array([h[first[k]:first[k] + n[k]].tobytes() for k in once.tolist()], pa.binary())],
                     names=["digest", "words"])
 
-    found = docs.mapInArrow(sets, "digest long, words binary").groupBy("digest").agg(F.min("words").alias("words"))
-    found = stage(found, "line-sets")
+    found = docs.mapInArrow(sets, "digest long, words binary")
+    found = stage(found.join(pairs.select(F.explode(F.array("digest", "by_digest")).alias("digest")).distinct(), "digest")
+                  .groupBy("digest").agg(F.min("words").alias("words")), "line-sets")
     t = pairs.join(found.withColumnRenamed("words", "x"), "digest").join(
         found.withColumnsRenamed({"digest": "by_digest", "words": "y"}), "by_digest").select(
         "doc", "line", "by_doc", "by_line", "x", "y")
@@ -277,37 +356,15 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int, min_words: int) -
     return t.mapInArrow(run, OUT)
 
 
-def _unbounded(open_lines: DataFrame, docs: DataFrame, percent: int, min_words: int, rarity) -> DataFrame:
-    """All compatible earlier lines of ``open_lines`` (``doc``, ``line``,
-    ``digest``), as a join of postings in rows: first those of the open lines,
-    then all postings of their prefix words."""
-    cols = ["digest", "parity", "n", "place", "doc", "line"]
-
-    def postings(shared, by_word: bool) -> DataFrame:
-        def rows(batches: Batches) -> Batches:
-            marked = np.unpackbits(shared.value).astype(bool)
-            for b in batches:
-                ids = b.column(0).to_numpy(zero_copy_only=False)
-                for w in blocks(b.column(1)):
-                    if not len(w):
-                        continue
-                    words, p, _ = _postings(w, rarity.value, ids, percent, min_words)
-                    key = words if by_word else p["digest"]
-                    use = marked[(key >> U(64 - WANTED_BITS)).astype(np.int64)]
-                    p = p[use]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(words[use].view(np.int64)),
-                         *(pa.array(p[c].copy().view(np.int64) if p[c].dtype == U else p[c].astype(np.int64))
-                           for c in cols)], names=["word", *cols])
-
-        return docs.mapInArrow(rows, "word long, " + ", ".join(f"{c} long" for c in cols))
-
-    probe = stage(postings(_marks(open_lines.select("digest")), False).join(
-        open_lines.select("doc", "line"), ["doc", "line"], "left_semi"), "open-postings")
-    p = postings(_marks(probe.select("word")), True)
-    x = p.select("word", *[F.col(c).alias(f"by_{c}") for c in cols])
+def _rest(open_lines: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
+    """All compatible earlier lines of ``open_lines`` (``digest``) on the lists
+    of words where a line has more candidates than were sent."""
+    p = lists.select("doc", "line", "digest", F.col("by_doc").alias("word"), F.shiftright("by_line", 16).alias("n"),
+                     F.col("by_line").bitwiseAND(65535).alias("place"), F.col("by_digest").alias("parity"))
+    own = p.join(open_lines.select("digest").distinct(), "digest", "left_semi")
+    by = p.select("word", *[F.col(c).alias(f"by_{c}") for c in p.columns if c != "word"])
     alpha = F.floor((F.lit(percent) * (F.col("n") + F.col("by_n")) + 99 + percent) / (100 + percent))
-    return (probe.join(x, "word")
+    return (own.join(by, "word")
             .where("by_doc < doc or (by_doc = doc and by_line < line)").where("digest <> by_digest")
             .where(F.least(F.col("n") - F.col("place"), F.col("by_n") - F.col("by_place")) >= alpha)
             .where(100 * F.least("n", "by_n") >= percent * F.greatest("n", "by_n"))
@@ -324,21 +381,26 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def count(b: pa.RecordBatch, table: np.ndarray) -> None:
         for w in blocks(b.column(0)):
-            np.add.at(table, (w.hashes() >> U(64 - RARITY_BITS)).astype(np.int64), 1)
+            table += np.bincount((w.hashes() >> U(64 - RARITY_BITS)).astype(np.int64), minlength=len(table))
 
     shape = (1 << RARITY_BITS,)
     counts = collect_table(summed_tables(d.select("text"), count, shape), shape)
     rarity = docs.sparkSession.sparkContext.broadcast(
         np.minimum(np.log2(counts + 1) * 7, 255).astype(np.uint8))
     found = stage(candidates(d, percent, min_words, rarity), "line-pairs")
-    pairs = found.where("kind > 0").drop("kind").distinct()
-    near = stage(_verified(pairs, d, percent, min_words), "lines")
-    open_lines = found.where("kind = 2").select("doc", "line", "digest").distinct().join(
-        near.select("doc", "line"), ["doc", "line"], "left_anti")
-    open_lines = stage(open_lines, "open-lines")
+    columns = ["doc", "line", "by_doc", "by_line", "digest", "by_digest"]
+    pairs = stage(found.where("kind in (1, 2)").groupBy("digest", "by_digest").agg(
+        F.max("kind").alias("kind"), *[F.min(c).alias(c) for c in columns[:4]]), "line-pairs")
+    near = stage(_verified(pairs, d, percent), "lines")
+    open_lines = stage(pairs.where("kind = 2").select("doc", "line", "digest").distinct().join(
+        near.select("doc", "line"), ["doc", "line"], "left_anti"), "open-lines")
     if not open_lines.isEmpty():
-        rest = _unbounded(open_lines, d, percent, min_words, rarity)
-        near = near.unionByName(_verified(stage(rest, "line-pairs"), d, percent, min_words))
+        rest = _rest(open_lines, found.where("kind = 3"), percent).join(
+            pairs.select("digest", "by_digest"), ["digest", "by_digest"], "left_anti")
+        rest = stage(rest, "line-pairs")
+        texts = rest.select("doc").unionByName(rest.select(F.col("by_doc").alias("doc"))).distinct()
+        few = d.join(texts, d["doc_id"] == texts["doc"], "left_semi")
+        near = near.unionByName(_verified(rest, few, percent))
     return found.where("kind = 0").unionByName(near).groupBy("doc", "line").agg(
         F.min(F.struct("by_doc", "by_line")).alias("by")).select(
         F.col("doc").alias("doc_id"), "line", F.col("by.by_doc").alias("by_doc_id"), F.col("by.by_line").alias("by_line"))

@@ -371,7 +371,7 @@ def test_op8_lines_of_few_words(spark):
     """The query leaves no repeated line out, however few words it has."""
     docs = [(1, "menu\nlog in\na b c d\nq"), (2, "Menu\nlog out\nin log\nd c b a\na b c d e\n\nz"), (3, "menu")]
     d = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
-    got = {(r.doc_id, r.line) for r in lines.repeated_lines(d, min_words=1).collect()}
+    got = {(r.doc_id, r.line) for r in lines.repeated_lines(d).collect()}
     assert got == _lines(docs, least=1) == {(2, 0), (2, 2), (2, 3), (2, 4), (3, 0)}
 
 
@@ -389,9 +389,38 @@ def _lines(docs, percent=lines.PERCENT, least=lines.MIN_WORDS):
         a[:2] != b[:2] and 100 * len(a[2] & b[2]) >= percent * len(a[2] | b[2]) for a in rows[:k])}
 
 
+def test_op8_marks_tell_lines_apart(spark):
+    rows = [(k * 7, k % 50) for k in range(3000)]
+    bits, table = lines._marks(spark.createDataFrame(rows, "doc long, line long"))
+
+    def marked(rows):
+        h = (lines._line_hash(*np.array(rows).T) >> np.uint64(64 - bits)).astype(np.int64)
+        return table.value[h >> 3] >> (7 - (h & 7)) & 1
+    assert marked(rows).all()
+    assert marked([(k * 7 + 1, k % 50) for k in range(3000)]).mean() < 0.1
+
+
+def test_op8_hot_words_and_long_lines(spark, monkeypatch):
+    """One word in all lines, variants of one template, long lines and rows with one id."""
+    monkeypatch.setattr(lines, "CANDIDATES", 2)
+    rng = np.random.default_rng(18)
+    docs = []
+    for i in range(70):
+        template = [f"k{x}" for x in range(12)]
+        template[i % 12] = f"x{i}"
+        other = [f"k{x}" for x in rng.permutation(12)[:6]] + [f"y{i}x{k}" for k in range(3)]
+        long = [f"L{x}" for x in range(400)]
+        long[i % 7::9] = [f"m{i}x{k}" for k in range(len(long[i % 7::9]))]
+        docs.append((i // 2 * 2, "\n".join([" ".join(template), " ".join(["hot", f"z{i % 30}"]), " ".join(other),
+                                            " ".join(long) if i % 5 == 0 else "", "hot"])))
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    got = {(r.doc_id, r.line) for r in lines.repeated_lines(d).collect()}
+    assert got == _lines(docs)
+
+
 @pytest.mark.parametrize("bound", [4, 1])
 def test_op8_against_brute_force(spark, trap_dir, monkeypatch, bound):
-    """With a bound of one candidate the join without a bound does the rest."""
+    """With a bound of one candidate the lists left behind do the rest."""
     monkeypatch.setattr(lines, "CANDIDATES", bound)
     rng = np.random.default_rng(8)
     pool = [[f"v{x}" for x in rng.integers(0, 300, rng.integers(3, 40))] for _ in range(40)]
@@ -414,8 +443,10 @@ def test_op8_against_brute_force(spark, trap_dir, monkeypatch, bound):
 
 def test_op8_text_without_its_repeated_lines(spark):
     d = spark.createDataFrame([(1, "a b c d e\nx"), (2, "x\nA b c d e\n\nz"), (3, None)], "doc_id long, text string")
-    got = {r.doc_id: r.text for r in lines.without_lines(d, lines.repeated_lines(d)).collect()}
+    got = {r.doc_id: r.text for r in lines.without_lines(d, lines.repeated_lines(d, min_words=2)).collect()}
     assert got == {1: "a b c d e\nx", 2: "x\n\nz", 3: None}
+    got = {r.doc_id: r.text for r in lines.without_lines(d, lines.repeated_lines(d)).collect()}
+    assert got == {1: "a b c d e\nx", 2: "\nz", 3: None}
 
 
 def test_op9_held_out(spark, trap_dir):
