@@ -6,8 +6,8 @@ return the columns of ``documents``.
 
 1. Language ID: learns from the documents that name their language, drops the
    ones it rejects (no letter, or too far from every language).
-2. Line dedup: takes out repeated lines; a document that loses all its words
-   to this goes.
+2. Line dedup: takes out repeated lines, however few words they have; a document
+   that loses all its words to this goes.
 3. MinHash near-dedup: one document of each group stays.
 4. Mixture: cuts and repeats documents so that every source comes to its
    target, and shuffles them within their shards.
