@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 
 from . import sqltext as Q
 from .functions.clip import clip_both, clip_upper
-from .functions.text import (contains_text, fill_text, first_words, nan_text, normalise, pack,
-                             unpack)
+from .functions.text import contains_text, fill_text, nan_text, normalise, pack, unpack, words
 from .functions.vecmath import cosine, to_double_array
 from .models import ensemble as EN
 from .models import gradient as GR
@@ -170,23 +169,21 @@ def q_f4a(spark, sf):
 
 
 @register("F5_edit_ratio", f"""WITH RECURSIVE {Q.PAIRS_CTE}, {Q.ATTR_BASE_CTE},
-{Q.lcs_ratio_cte('rt', 'base', 'search_term', 'product_title')},
 {Q.lcs_ratio_cte('rb', 'base', 'search_term', 'brand')},
 {Q.lcs_ratio_cte('rm', 'base', 'search_term', 'material')}
-SELECT b.id, round(rt.ratio, 6) AS dist_in_title, round(rb.ratio, 6) AS dist_in_brand,
-       round(rm.ratio, 6) AS dist_in_material
-FROM base b JOIN rt USING (id) JOIN rb USING (id) JOIN rm USING (id)""")
+SELECT b.id, round(rb.ratio, 6) AS dist_in_brand, round(rm.ratio, 6) AS dist_in_material
+FROM base b JOIN rb USING (id) JOIN rm USING (id)""")
 def q_f5(spark, sf):
-    out = attr_edit_ratios(_attr_base(spark, sf), ("title", "brand", "material"))
-    return out.select("id", *[r6(f"dist_in_{f}").alias(f"dist_in_{f}")
-                              for f in ("title", "brand", "material")])
+    out = attr_edit_ratios(_attr_base(spark, sf), ("brand", "material"))
+    return out.select("id", *[r6(f"dist_in_{f}").alias(f"dist_in_{f}") for f in ("brand", "material")])
 
 
 @register("F5_edit_ratio_desc")
 def q_f5_desc(spark, sf):
-    """Edit ratio against whole descriptions (checked against a DP on a fixture)."""
-    out = attr_edit_ratios(_attr_base(spark, sf), ("desc",))
-    return out.select("id", r6("dist_in_desc").alias("dist_in_desc"))
+    """Edit ratio against whole titles and descriptions, too long for the SQL
+    table method (checked against a DP on a fixture)."""
+    out = attr_edit_ratios(_attr_base(spark, sf), ("title", "desc"))
+    return out.select("id", r6("dist_in_title").alias("dist_in_title"), r6("dist_in_desc").alias("dist_in_desc"))
 
 
 @register("E2_attr8_features")
@@ -300,7 +297,7 @@ def q_s2(spark, sf):
 
 @register("S3_side_table_dropna", """
 SELECT doc_id AS product_uid, source AS brand FROM documents
-WHERE doc_id IS NOT NULL AND source IS NOT NULL""")
+WHERE doc_id IS NOT NULL AND source <> 'src0'""")
 def q_s3(spark, sf):
     brand = attr_side_tables(spark, sf)["brand"]
     path = write_csv(brand, scratch_path(spark, "s3"), encoding="ISO-8859-1")
@@ -520,15 +517,18 @@ def q_f1(spark, sf):
                                    normalise("product_title").alias("product_title"))
 
 
-@register("F3_contains", f"""WITH {Q.PAIRS_CTE}
-SELECT p.id, instr(p.product_title, p.search_term) > 0 AS term_in_title,
-       instr(d.product_description, {Q.first_words('p.search_term', 1)}) > 0 AS first_word_in_desc
-FROM pairs p LEFT JOIN descs d USING (product_uid)""")
+@register("F3_contains", f"""WITH {Q.PAIRS_CTE}, {Q.ATTR_BASE_CTE}
+SELECT id, instr(product_title, search_term) > 0 AS term_in_title,
+       instr(product_description, product_title) > 0 AS title_in_desc,
+       instr(product_title, material) > 0 AS material_in_title,
+       len(list_filter({Q.words('search_term')}, lambda w: instr(product_title, w) > 0)) > 0 AS a_word_in_title
+FROM base""")
 def q_f3(spark, sf):
-    j = left_join(pairs(spark, sf), product_descriptions(spark, sf))
+    j = _attr_base(spark, sf)
     return j.select("id", contains_text("product_title", "search_term").alias("term_in_title"),
-                    contains_text("product_description", first_words("search_term", 1))
-                    .alias("first_word_in_desc"))
+                    contains_text("product_description", "product_title").alias("title_in_desc"),
+                    contains_text("product_title", "material").alias("material_in_title"),
+                    F.exists(words("search_term"), lambda w: contains_text("product_title", w)).alias("a_word_in_title"))
 
 
 @register("F8_F9_U2_sentence_tokens", f"""WITH {Q.PAIRS_CTE},
@@ -727,14 +727,14 @@ def _w2v_inputs(spark, sf):
 @register("M23_word_vectors")
 def q_m23(spark, sf):
     _, vecs = _w2v_inputs(spark, sf)
-    return vecs.select("word", F.size("vec").alias("dim"))
+    return vecs.select("word", F.transform("vec", r6).alias("vec"))
 
 
 @register("J5_A6_text_mean_vectors")
 def q_j5(spark, sf):
     j, vecs = _w2v_inputs(spark, sf)
     tv = text_vectors(j, "id", {"q": "search_term", "title": "product_title"}, vecs, VECTOR_SIZE)
-    return tv.select("id", "field", "n", "n_unknown", F.size("mean").alias("dim"))
+    return tv.select("id", "field", "n", "n_unknown", F.transform("mean", r6).alias("mean"))
 
 
 # ---- column roles (P1, P2, M1) ---------------------------------------------

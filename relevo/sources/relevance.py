@@ -3,12 +3,13 @@
 Mapping (fixed by the blueprint): one search--product pair per document,
 ``id = doc_id``, and three documents in a row share the first one's product
 (``product_uid = doc_id - doc_id % 3``); the search term is the whole text of the
-benchmark item ``doc_id % count(benchmark)``; the product title is the name of
-part ``product_uid`` (empty where there is none); the grade is
+benchmark item ``doc_id % count(benchmark)``; the product title is the first line
+of the product's document (empty where there is none); the grade is
 ``1 + quality + (1 - toxic)`` from ``labels`` and unlabelled documents form the
 test side.  Product
-description = document text, brand = ``source``, material = ``lang``;
-the long-form attribute table unpivots ``part`` (brand, type, size).
+description = document text, brand = ``source`` (``src0`` names no brand: null),
+material = ``lang``; the long-form attribute table unpivots ``part`` (brand,
+type, size).
 
 All of these are lazy plans over the scans: nothing is materialised here.
 """
@@ -28,8 +29,8 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     bench = read_table(spark, sf_dir, "benchmark")
     n_items = bench.select(F.count(F.lit(1))).scalar()
     terms = bench.select("item_id", F.col("text").alias("search_term"))
-    titles = read_table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("product_uid"), F.col("p_name").alias("product_title"))
+    titles = read_table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("product_uid"), F.substring_index("text", "\n", 1).alias("product_title"))
     labels = read_table(spark, sf_dir, "labels").select(
         "doc_id",
         (F.lit(1.0) + F.col("quality").cast("double")
@@ -84,7 +85,7 @@ def attr_side_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
     docs = read_table(spark, sf_dir, "documents")
     return {
-        "brand": docs.select(F.col("doc_id").alias("product_uid"), F.col("source").alias("brand")),
+        "brand": docs.select(F.col("doc_id").alias("product_uid"), F.nullif("source", F.lit("src0")).alias("brand")),
         "material": docs.select(F.col("doc_id").alias("product_uid"), F.col("lang").alias("material")),
         "bullets": aggregate_attributes(attributes(spark, sf_dir), out="bullets"),
     }

@@ -46,13 +46,13 @@ terms AS (
   SELECT item_id, text AS search_term FROM benchmark),
 pairs AS (
   SELECT d.doc_id AS id, d.doc_id - d.doc_id % 3 AS product_uid,
-         coalesce(pt.p_name, '') AS product_title,
+         coalesce(string_split(pt.text, chr(10))[1], '') AS product_title,
          t.search_term,
          CAST(1.0 AS DOUBLE) + CAST(l.quality AS DOUBLE)
            + (CAST(1.0 AS DOUBLE) - CAST(l.toxic AS DOUBLE)) AS relevance
   FROM documents d
   LEFT JOIN terms t ON t.item_id = d.doc_id % (SELECT count(*) FROM benchmark)
-  LEFT JOIN part pt ON pt.p_partkey = d.doc_id - d.doc_id % 3
+  LEFT JOIN documents pt ON pt.doc_id = d.doc_id - d.doc_id % 3
   LEFT JOIN labels l ON l.doc_id = d.doc_id),
 descs AS (SELECT doc_id AS product_uid, text AS product_description FROM documents),
 attrs AS (
@@ -100,7 +100,7 @@ ATTR_BASE_CTE = """
 base AS (
   SELECT p.id, p.product_uid, p.product_title, p.search_term, p.relevance,
          coalesce(d.product_description || ' ' || a.product_attributes, ' ') AS product_description,
-         coalesce(doc.source, ' ') AS brand, coalesce(doc.lang, ' ') AS material
+         coalesce(nullif(doc.source, 'src0'), ' ') AS brand, coalesce(doc.lang, ' ') AS material
   FROM pairs p LEFT JOIN descs d USING (product_uid)
   LEFT JOIN attr_text a USING (product_uid)
   LEFT JOIN documents doc ON doc.doc_id = p.product_uid)

@@ -10,7 +10,7 @@ from conftest import SF_SMALL
 
 HEAVY = {"M8_random_forest", "M9_extra_trees", "M10_gradient_boosting", "M11_boosting_preset",
          "M13_adaboost_r2", "M14_bagging_boosted", "M18_depth_sweep", "M12_grade_classifier",
-         "A11_scoreboard"}
+         "A11_scoreboard", "M17_cv_learners", "M18_boosting_sweep"}
 
 
 def _norm(pdf):
