@@ -104,8 +104,9 @@ class RidgeCV:
     """
 
     def __init__(self, alphas=(0.1, 1.0, 10.0), label: str = "relevance",
-                 fold_col: str = "fold", num_folds: int = 10):
+                 fold_col: str = "fold", num_folds: int = 10, inner_folds: bool = False, key: str = "id"):
         self.alphas, self.label, self.fold_col, self.num_folds = alphas, label, fold_col, num_folds
+        self.inner_folds, self.key = inner_folds, key  # folds of the rows at hand, where none are given
 
     def _fit_alpha(self, df, alpha):
         st = df.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(self.label).alias("s")).first()
@@ -114,6 +115,9 @@ class RidgeCV:
 
     def fit(self, df: DataFrame):
         from pyspark.ml.functions import vector_to_array
+        if self.inner_folds:
+            from ..operators.order import assign_folds
+            df = assign_folds(df.drop(self.fold_col), [self.key], self.num_folds, self.fold_col)
         dim = len(df.select(vector_to_array("features").alias("x")).first()["x"])
         x = vector_to_array("features")
         wide = df.select(self.fold_col, F.col(self.label).cast("double").alias("_y"),

@@ -19,7 +19,7 @@ from .models import gradient as GR
 from .models import linear as LN
 from .models import trees as TR
 from .models.assemble import assemble
-from .models.cv import DEPTHS, Folds, ScoreTable, Spec, cross_validate, cv_scores_frame, run_folds
+from .models.cv import DEPTHS, Folds, ScoreTable, Spec, run_folds
 from .models.linear import ols
 from .operators.attributes import aggregate_attributes
 from .operators.columns import drop_columns, keep_columns
@@ -33,6 +33,7 @@ from .operators.vectors import (VECTOR_SIZE, mean_vectors, sentence_tokens, text
 from .plans.features import (ATTR8, ATTR15, DESC6, DESC7, LR3, attr8_features, attr15_features,
                              attr_base, attr_edit_ratios, attr_overlap, desc7_features,
                              lr3_features, stemmed_inputs)
+from .plans.runner import read_predictions, run_models, specs
 from .plans.scoring import CLIPS, fit_and_score
 from .session import scratch_path
 from .sources.csvio import (csv_roundtrip, read_csv, read_csv_inferred, read_side_table, stage,
@@ -234,6 +235,42 @@ def q_m5(spark, sf):
         r6("intercept").alias("intercept"), r6("slope").alias("slope"))
 
 
+@register("E3_raw_ols_predictions", f"""WITH {Q.PAIRS_CTE}, {Q.LR3_CTE}, {Q.linear3_cte()}
+SELECT id, round(b0 + b1 * query_len + b2 * common_title + b3 * common_descriptoin, 6) AS relevance
+FROM lr3, fit WHERE lr3.relevance IS NULL""")
+def q_e3_raw(spark, sf):
+    """E3 on raw texts: least squares on all three overlap features."""
+    f = lr3_features(pairs(spark, sf), product_descriptions(spark, sf))
+    _, pred = fit_and_score(ols(), f, LR3, clip="none")
+    return pred.select("id", r6("relevance").alias("relevance"))
+
+
+_SUMMARY_SQL = """SELECT round(b0, 6) AS intercept, [round(b1, 6), round(b2, 6), round(b3, 6)] AS coefficients,
+  (SELECT round(sqrt(avg(power(relevance - (b0 + b1 * query_len + b2 * common_title + b3 * common_descriptoin), 2))), 6)
+   FROM train) AS rmse FROM fit"""
+
+
+def _linear_summary(spark, sf, make):
+    f = _lr3_train(spark, sf)
+    tr = staged_by_key(assemble(assign_folds(f, ["id"], 10), LR3, keep=("id", "fold")), "id")
+    m = make().fit(tr)
+    return rmse(m.transform(tr)).select(
+        F.round(F.lit(float(m.intercept)), 6).alias("intercept"),
+        F.array(*[F.round(F.lit(float(c)), 6) for c in m.coefficients]).alias("coefficients"), r6("rmse").alias("rmse"))
+
+
+@register("M4_M22_linear_summary", f"""WITH {Q.PAIRS_CTE}, {Q.LR3_CTE}, {Q.linear3_cte()} {_SUMMARY_SQL}""")
+def q_m4_linear(spark, sf):
+    """Coefficients and training RMSE of least squares on three features."""
+    return _linear_summary(spark, sf, ols)
+
+
+@register("M6_ridge_fixed_alpha", f"""WITH {Q.PAIRS_CTE}, {Q.LR3_CTE}, {Q.linear3_cte(10.0)} {_SUMMARY_SQL}""")
+def q_m6_fixed(spark, sf):
+    """Ridge with penalty 10, the intercept free."""
+    return _linear_summary(spark, sf, lambda: LN.RidgeCV(alphas=(10.0,)))
+
+
 @register("A8_training_rmse", f"""WITH {Q.PAIRS_CTE}, {Q.LR3_CTE},
 fit AS (SELECT regr_intercept(relevance, common_descriptoin) AS a,
                regr_slope(relevance, common_descriptoin) AS b FROM train)
@@ -456,6 +493,23 @@ def q_attr15_model(spark, sf):
     return read_csv(spark, write_predictions(pred, scratch_path(spark, "e2")), pred.schema, encoding="UTF-8")
 
 
+@register("E1_model_files")
+def q_e1_models(spark, sf):
+    """Pass A: its models of few rounds, each one's clipped prediction file, read back."""
+    f = desc7_features(pairs(spark, sf), product_descriptions(spark, sf))
+    files = run_models(f, DESC6, specs("description", sequential=False))
+    return read_predictions(spark, files).select("model", "id", r6("relevance").alias("relevance"))
+
+
+@register("E2_notebook_model_files")
+def q_e2_models(spark, sf):
+    """The notebook's pass: its models of few rounds on the 15 features, read back from files."""
+    f = attr15_features(pairs(spark, sf), product_descriptions(spark, sf),
+                        attributes(spark, sf), attr_side_tables(spark, sf))
+    files = run_models(f, ATTR15, specs("notebook", sequential=False))
+    return read_predictions(spark, files).select("model", "id", r6("relevance").alias("relevance"))
+
+
 @register("E2_attr15_features")
 def q_e2_nb(spark, sf):
     f = attr15_features(pairs(spark, sf), product_descriptions(spark, sf),
@@ -621,28 +675,26 @@ def q_p13(spark, sf):
 # ---- model flows with rows-only checks (A11, M2-M4, M18, M22, M23, J5) -----
 
 
-def _cv_frame(spark, data, est, model_name, feature_set, grid=None, param=None):
-    from pyspark.ml.tuning import ParamGridBuilder
-    cvm = cross_validate(est, data, grid=grid, num_folds=10, parallelism=8)
-    g = grid if grid is not None else ParamGridBuilder().build()
-    return cv_scores_frame(spark, model_name, cvm, g, param, feature_set)
+def _board_specs(feature_set: str) -> list[Spec]:
+    """The scoreboard's models of few rounds (the boosted ones are thousands of
+    jobs a fold: run them through ``run_folds`` into a kept ``ScoreTable``)."""
+    make = {"random_forest": lambda: TR.random_forest(maxMemoryInMB=512), "knn": lambda: KNNRegressor(),
+            "decision_tree": lambda: TR.random_split_tree(), "linear": ols, "ridge": lambda: LN.RidgeCV(inner_folds=True),
+            "extra_trees": lambda: TR.extra_trees(), "linear_svr": lambda: GR.LinearSVR()}
+    return [Spec(name, m, feature_set) for name, m in make.items()]
 
 
 @register("A11_scoreboard")
 def q_a11(spark, sf):
-    """10-fold CV RMSE of linear and tree models, without / with attribute
-    features (overlap-only vs the attribute set), as one pivoted table."""
-    lr3f = assign_folds(_lr3_train(spark, sf), ["id"], 10)
-    attr = _attr8_staged(spark, sf).where(F.col("relevance").isNotNull())
-    attr = assign_folds(attr, ["id"], 10)
-    sets = {"without_attributes": staged_by_key(assemble(lr3f, LR3, keep=("id", "fold")), "id"),
-            "with_attributes": staged_by_key(assemble(attr, ATTR8, keep=("id", "fold")), "id")}
-    rows = []
-    for fs, data in sets.items():
-        rows.append(_cv_frame(spark, data, ols(), "linear", fs))
-        rows.append(_cv_frame(spark, data, TR.decision_tree(), "decision_tree", fs))
-    board = scoreboard(rows)
-    return board.select("model", *[r6(c).alias(c) for c in board.columns if c != "model"])
+    """10-fold CV RMSE of the models, without / with attribute features: all
+    scores go to one table, which is pivoted."""
+    scores = ScoreTable(spark)
+    without = assign_folds(_lr3_train(spark, sf), ["id"], 10)
+    attr = assign_folds(_attr8_staged(spark, sf).where(F.col("relevance").isNotNull()), ["id"], 10)
+    for name, data, cols in (("without_attributes", without, LR3), ("with_attributes", attr, ATTR8)):
+        run_folds(_board_specs(name), Folds(stage(assemble(data, cols, keep=("id", "fold")), "folds")), scores)
+    board = scoreboard([scores.means()])
+    return board.select("model", *[r6(c).alias(c) for c in ("without_attributes", "with_attributes")])
 
 
 def _attr8_folds(spark, sf) -> Folds:

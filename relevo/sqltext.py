@@ -155,6 +155,26 @@ fr AS (
 cvm AS (SELECT feature, avg(rmse) AS mean_rmse FROM fr GROUP BY feature)
 """
 
+def linear3_cte(alpha: float = 0.0) -> str:
+    """``fit(b0, b1, b2, b3)`` on the three overlap features of ``train``: the
+    centred normal equations (with ``alpha`` on their diagonal) by cofactors."""
+    xs = ("query_len", "common_title", "common_descriptoin")
+    sums = ", ".join(f"count(*) * covar_pop({xs[i]}, {xs[j]}) + {alpha if i == j else 0} AS a{i + 1}{j + 1}"
+                     for i in range(3) for j in range(i, 3))
+    rhs = ", ".join(f"count(*) * covar_pop({x}, relevance) AS t{i + 1}, avg({x}) AS m{i + 1}" for i, x in enumerate(xs))
+    return f"""
+moments AS (SELECT {sums}, {rhs}, avg(relevance) AS my FROM train),
+cofactors AS (
+  SELECT *, a22 * a33 - a23 * a23 AS c11, a13 * a23 - a12 * a33 AS c12, a12 * a23 - a13 * a22 AS c13,
+         a11 * a33 - a13 * a13 AS c22, a12 * a13 - a11 * a23 AS c23, a11 * a22 - a12 * a12 AS c33 FROM moments),
+solved AS (
+  SELECT *, (c11 * t1 + c12 * t2 + c13 * t3) / (a11 * c11 + a12 * c12 + a13 * c13) AS b1,
+         (c12 * t1 + c22 * t2 + c23 * t3) / (a11 * c11 + a12 * c12 + a13 * c13) AS b2,
+         (c13 * t1 + c23 * t2 + c33 * t3) / (a11 * c11 + a12 * c12 + a13 * c13) AS b3 FROM cofactors),
+fit AS (SELECT my - b1 * m1 - b2 * m2 - b3 * m3 AS b0, b1, b2, b3 FROM solved)
+"""
+
+
 WORD_OR_PUNCT = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
 
 
