@@ -138,8 +138,8 @@ def w2v_features(pairs: DataFrame, products: DataFrame, fields: dict[str, str],
     docs = j.select("id", corpus_text(F.col("product_title"),
                                       F.col("product_description")).alias("all_texts"))
     corpus = sentence_tokens(docs, "id", "all_texts")
-    model = (train_word2vec(corpus, seed=seed) if max_iter is None
-             else train_word2vec(corpus, seed=seed, max_iter=max_iter))
+    passes = {} if max_iter is None else {"max_iter": max_iter}
+    model = train_word2vec(corpus, seed=seed, order=("id", "s_idx"), **passes)
     vectors = vector_table(model)
     # pair-owned texts per pair, product-owned texts once per product
     return w2v_cosines(pairs, vectors, fields, VECTOR_SIZE, products=products)

@@ -772,7 +772,7 @@ def _w2v_inputs(spark, sf):
     j = left_join(pairs(spark, sf), product_descriptions(spark, sf))
     docs = j.select("id", corpus_text(F.col("product_title"),
                                       F.col("product_description")).alias("all_texts"))
-    model = train_word2vec(sentence_tokens(docs, "id", "all_texts"))
+    model = train_word2vec(sentence_tokens(docs, "id", "all_texts"), order=("id", "s_idx"))
     return j, vector_table(model)
 
 

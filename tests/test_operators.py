@@ -255,3 +255,26 @@ def test_lsh_candidates_find_most_neighbours(spark):
     both = got.keys() & exact.keys()
     assert all(got[p] == pytest.approx(exact[p], rel=1e-9, abs=1e-12) for p in both)
     assert all(got[p] >= min(d for (q, _), d in exact.items() if q == p[0]) - 1e-9 for p in list(got)[:50])
+
+
+def test_text_vectors_are_weighted_means_of_known_words(spark):
+    from relevo.operators.vectors import text_vectors
+    vecs = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 1.0])], "word string, vec array<double>")
+    texts = spark.createDataFrame([(1, "a a b", "b"), (2, "a zz zz", ""), (3, None, "a b")], "id long, x string, y string")
+    got = {(r.id, r.field): (r.n, r.n_unknown, r["mean"]) for r in text_vectors(texts, "id", {"x": "x", "y": "y"}, vecs, 2).collect()}
+    assert got[1, "x"][:2] == (3, 0) and got[1, "x"][2] == pytest.approx([2 / 3, 1 / 3])
+    assert got[1, "y"] == (1, 0, [0.0, 1.0]) and got[3, "y"] == (2, 0, [0.5, 0.5])
+    assert got[2, "x"] == (3, 2, None) and got[2, "y"] == (0, 0, None) and got[3, "x"] == (0, 0, None)
+
+
+def test_word_vectors_do_not_depend_on_the_layout(spark):
+    from relevo.operators.vectors import train_word2vec, vector_table
+    rnd = random.Random(4)
+    rows = [(i, [f"w{rnd.randrange(30)}" for _ in range(8)]) for i in range(200)]
+    found = []
+    for parts in (2, 5):
+        d = spark.createDataFrame(rows, "id long, tokens array<string>").repartition(parts)
+        model = train_word2vec(d, vector_size=8, min_count=1, partitions=1, max_iter=2, order=("id",))
+        found.append({r.word: r.vec for r in vector_table(model).collect()})
+    assert found[0].keys() == found[1].keys()
+    assert found[0] == found[1]
