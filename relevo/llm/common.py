@@ -88,6 +88,43 @@ def collect_table(parts: DataFrame, shape: tuple[int, ...], segments: int = 32)
     return out.reshape(shape)
 
 
+MARK_BITS = 22, 29  # least and most bits of a bitmap of marks
+
+
+def marks(hashes: DataFrame):
+    """A broadcast bitmap of well-spread 64-bit hashes (one long column) and its
+    number of bits: 16 to 32 a hash, up to 64 MB.  It only spares sending what no
+    join will want; where it is full, more is sent in vain."""
+    bits = int(np.clip((16 * hashes.count()).bit_length(), *MARK_BITS))
+    parts, low = 64, bits - 6
+    name = hashes.columns[0]
+
+    def segment(batches: Batches) -> Batches:
+        maps: dict[int, np.ndarray] = {}
+        for b in batches:
+            at = b.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - bits)
+            part = (at >> np.uint64(low)).astype(np.int64)
+            for k in np.unique(part).tolist():
+                own = maps.setdefault(k, np.zeros(1 << low, bool))
+                own[(at[part == k] & np.uint64((1 << low) - 1)).astype(np.int64)] = True
+        for k, own in maps.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([np.packbits(own).tobytes()], pa.binary())],
+                                             names=["part", "map"])
+
+    maps = hashes.repartition(parts, F.shiftrightunsigned(name, 58)).mapInArrow(segment, "part int, map binary")
+    size = 1 << (low - 3)
+    table = np.zeros(parts * size, np.uint8)
+    for r in maps.toLocalIterator():
+        table[r.part * size:(r.part + 1) * size] = np.frombuffer(r.map, np.uint8)
+    return bits, hashes.sparkSession.sparkContext.broadcast(table)
+
+
+def marked(h: np.ndarray, bits: int, table: np.ndarray) -> np.ndarray:
+    """Which hashes are marked (or share a bit with one that is)."""
+    at = (h.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+    return (table[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
 def block_units(members: DataFrame, key: str, order: str, block: int, weight: str | None = None,
                 heaviest: int = 1 << 21) -> DataFrame:
     """Spread the pairs of each bucket over units of bounded size.

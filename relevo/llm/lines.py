@@ -32,12 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, collect_table, shuffle_partitions, stage, summed_tables
+from .common import Batches, collect_table, marked, marks, shuffle_partitions, stage, summed_tables
 from .words import U, Words, blocks, mix
 
 PERCENT, MIN_WORDS, CANDIDATES = 80, 1, 16
 RARITY_BITS = 20
-MARK_BITS = 22, 29  # least and most bits of the marks of lines in question
 POSTING = np.dtype([("word", "<u4"), ("digest", "<u8"), ("parity", "<u8"), ("doc", "<i8"), ("line", "<i4"),
                     ("n", "<i4"), ("place", "<u2")])
 
@@ -277,36 +276,14 @@ def _line_hash(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
 
 
 def _marks(wanted: DataFrame):
-    """A broadcast bitmap with the hashes of the lines ``doc``, ``line``: 16 to 32
-    bits a line, as far as ``MARK_BITS`` go (64 MB; beyond that more lines are
-    sent in vain, and the joins on digests still decide)."""
-    bits = int(np.clip((16 * wanted.count()).bit_length(), *MARK_BITS))
-    parts = 64
-
-    def segment(batches: Batches) -> Batches:
-        maps: dict[int, np.ndarray] = {}
-        for b in batches:
-            h = _line_hash(*(c.to_numpy() for c in b.columns[:2])) >> U(64 - bits)
-            part = (h >> U(bits - 6)).astype(np.int64)
-            for k in np.unique(part).tolist():
-                own = maps.setdefault(k, np.zeros(1 << (bits - 6), bool))
-                own[(h[part == k] & U((1 << (bits - 6)) - 1)).astype(np.int64)] = True
-        for k, own in maps.items():
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([np.packbits(own).tobytes()], pa.binary())],
-                                             names=["part", "map"])
+    """Marks of the lines ``doc``, ``line``."""
 
     def key(batches: Batches) -> Batches:
         for b in batches:
             h = _line_hash(*(c.to_numpy() for c in b.columns))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array((h >> U(58)).astype(np.int32))], names=["doc", "line", "part"])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
 
-    maps = wanted.mapInArrow(key, "doc long, line long, part int").repartition(parts, "part").mapInArrow(
-        segment, "part int, map binary")
-    size = 1 << (bits - 9)
-    table = np.zeros(parts * size, np.uint8)
-    for r in maps.toLocalIterator():
-        table[r.part * size:(r.part + 1) * size] = np.frombuffer(r.map, np.uint8)
-    return bits, wanted.sparkSession.sparkContext.broadcast(table)
+    return marks(wanted.mapInArrow(key, "h long"))
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -325,8 +302,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
                 if not len(w):
                     continue
                 h, line, row, number = line_sets(w)
-                at = (_line_hash(ids[w.lo + row], number) >> U(64 - bits)).astype(np.int64)
-                use = (table[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+                use = marked(_line_hash(ids[w.lo + row], number), bits, table)
                 word = use[line]
                 h, first, n, digest, _, _, _ = _sets(w, (h[word], (np.cumsum(use) - 1)[line[word]], row[use], number[use]))
                 _, once = np.unique(digest, return_index=True)

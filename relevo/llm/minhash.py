@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, block_units, stage
+from .common import Batches, block_units, marked, marks, stage
 from .graph import components
 from .units import KEYS, over_units, overlaps, sides
 from .words import U, blocks, mix, shingles
@@ -104,20 +104,31 @@ def _lists(reps: DataFrame, percent: int, k: int) -> DataFrame:
             .select("rep", F.col("x.v").alias("v")))
 
 
-def _full_sets(rows: DataFrame, width: int) -> DataFrame:
-    """``rows`` (the columns of a unit, then ``rep``, ``label``, ``text``) with
-    the ``shingles`` of their texts in place of these."""
-    names = [*KEYS, "_mine", "rep", "label"]
+def _listed_sets(docs: DataFrame, lists: DataFrame, width: int) -> DataFrame:
+    """``doc_id``, ``shingles`` of the documents that stand for a listed class
+    (marked ids only; a few others share a mark with one of them)."""
+
+    def key(batches: Batches) -> Batches:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(mix(b.column(0).to_numpy().view(U)).view(np.int64))], names=["h"])
+
+    bits, shared = marks(stage(lists.select("rep").distinct(), "listed").mapInArrow(key, "h long"))
 
     def full(batches: Batches) -> Batches:
         for b in batches:
-            for lo in range(0, b.num_rows, 512):
-                part = b.slice(lo, 512)
-                own = pa.array([u.tobytes() for _, u in sets(part.column(6), width)], pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns[:6], own], names=[*names, "shingles"])
+            known = b.filter(b.column(0).is_valid())
+            part = known.filter(pa.array(marked(mix(known.column(0).to_numpy().view(U)), bits, shared.value)))
+            for lo in range(0, part.num_rows, 512):
+                some = part.slice(lo, 512)
+                own = pa.array([u.tobytes() for _, u in sets(some.column(1), width)], pa.binary())
+                yield pa.RecordBatch.from_arrays([some.column(0), own], names=["doc_id", "shingles"])
 
-    return rows.select(*names, "text").mapInArrow(
-        full, "bucket long, _i int, _j int, _mine int, rep long, label long, shingles binary")
+    return docs.mapInArrow(full, "doc_id long, shingles binary")
+
+
+def _rows(full: DataFrame, units: DataFrame) -> DataFrame:
+    """The columns of a unit, then ``rep``, ``label`` and its ``shingles``."""
+    return full.join(units, full["doc_id"] == units["rep"]).select(*KEYS, "_mine", "rep", "label", "shingles")
 
 
 def _similar(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
@@ -125,7 +136,7 @@ def _similar(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(s) + len(t) - both)
 
 
-def _stars(docs: DataFrame, reps: DataFrame, lists: DataFrame, percent: int, width: int, block: int = 512,
+def _stars(full_sets: DataFrame, reps: DataFrame, lists: DataFrame, percent: int, block: int = 512,
            heaviest: int = 1 << 20) -> DataFrame:
     """Verified links ``a``, ``b`` of classes with one centre each.  A centre's
     members meet it in chunks of bounded size."""
@@ -142,7 +153,7 @@ def _stars(docs: DataFrame, reps: DataFrame, lists: DataFrame, percent: int, wid
         "bucket", "_i", F.lit(1).alias("_mine"), "rep"), "stars")
     centres = star.select("bucket", "_i", F.lit(0).alias("_mine"), F.col("bucket").alias("rep")).distinct()
     units = star.unionByName(centres).withColumn("_j", F.lit(0)).withColumn("label", F.lit(0).cast("long"))
-    rows = _full_sets(docs.join(units, docs["doc_id"] == units["rep"]), width)
+    rows = _rows(full_sets, units)
 
     def emit(g):
         full = [np.frombuffer(x, U) for x in g["shingles"]]
@@ -165,12 +176,12 @@ def _families(lists: DataFrame, stars: DataFrame, reps: DataFrame) -> DataFrame:
     return family.join(rest.select("rep", "label").distinct(), "rep").join(sizes, "rep")
 
 
-def _links(docs: DataFrame, family: DataFrame, percent: int, width: int, k: int, block: int = 1024) -> DataFrame:
+def _links(full_sets: DataFrame, family: DataFrame, percent: int, k: int, block: int = 1024) -> DataFrame:
     """A forest of verified links (``a``, ``b``) between the components
     (``label``) of each unit of a family (``family``: ``rep``, ``bucket``, ``n``,
     ``label``)."""
     units = block_units(family, "bucket", "rep", block, "n").drop("n")
-    rows = _full_sets(docs.join(units, docs["doc_id"] == units["rep"]), width)
+    rows = _rows(full_sets, units)
     least = np.array([need(s, percent, k) if s else 1 for s in range(k + 1)])
     j = percent / 100
     floor = j - 5 * math.sqrt(j * (1 - j) / k)
@@ -187,11 +198,11 @@ def _links(docs: DataFrame, family: DataFrame, percent: int, width: int, k: int,
     def emit(g):
         a, b = sides(g)
         same = g["_i"][0] == g["_j"][0]
-        full_sets = [np.frombuffer(x, U) for x in g["shingles"]]
-        sketch = np.full((len(full_sets), k), -1, np.int64)
-        for i, x in enumerate(full_sets):
+        full = [np.frombuffer(x, U) for x in g["shingles"]]
+        sketch = np.full((len(full), k), -1, np.int64)
+        for i, x in enumerate(full):
             sketch[i, :min(k, len(x))] = (x[:k] >> U(1)).view(np.int64)
-        n = np.array([len(x) for x in full_sets])
+        n = np.array([len(x) for x in full])
         o = overlaps(sketch[a], sketch[b])
         bar = least[np.minimum(n, k)]
         na, nb = n[a][:, None], n[b][None, :]
@@ -213,7 +224,7 @@ def _links(docs: DataFrame, family: DataFrame, percent: int, width: int, k: int,
             p, q = root(x), root(y)
             if p == q:
                 continue
-            s, t = full_sets[x], full_sets[y]
+            s, t = full[x], full[y]
             if not estimated(s[:k], t[:k]):
                 continue
             if _similar(s, t, percent):
@@ -244,9 +255,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     lists = stage(_lists(reps, percent, k), "lists")
-    stars = stage(_stars(texts, reps, lists, percent, width).unionByName(ties), "star-links")
+    full = stage(_listed_sets(texts, lists, width), "full-sets")
+    stars = stage(_stars(full, reps, lists, percent).unionByName(ties), "star-links")
     family = stage(_families(lists, stars, reps), "families")
-    found = components(_links(texts, family, percent, width, k, block).unionByName(stars))
+    found = components(_links(full, family, percent, k, block).unionByName(stars))
 
     per_class = reps.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
         *key, F.coalesce("component_id", "rep").alias("component_id"))

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from relevo.llm import caps, lines, lm, minhash, mixture, repeats, simhash
+from relevo.llm import caps, common, lines, lm, minhash, mixture, repeats, simhash
 from relevo.llm.graph import components
 from relevo.llm.queries import QUERIES
 
@@ -394,8 +394,7 @@ def test_op8_marks_tell_lines_apart(spark):
     bits, table = lines._marks(spark.createDataFrame(rows, "doc long, line long"))
 
     def marked(rows):
-        h = (lines._line_hash(*np.array(rows).T) >> np.uint64(64 - bits)).astype(np.int64)
-        return table.value[h >> 3] >> (7 - (h & 7)) & 1
+        return common.marked(lines._line_hash(*np.array(rows).T), bits, table.value)
     assert marked(rows).all()
     assert marked([(k * 7 + 1, k % 50) for k in range(3000)]).mean() < 0.1
 
