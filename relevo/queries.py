@@ -676,11 +676,10 @@ def q_p13(spark, sf):
 
 
 def _board_specs(feature_set: str) -> list[Spec]:
-    """The scoreboard's models of few rounds (the boosted ones are thousands of
-    jobs a fold: run them through ``run_folds`` into a kept ``ScoreTable``)."""
-    make = {"random_forest": lambda: TR.random_forest(maxMemoryInMB=512), "knn": lambda: KNNRegressor(),
-            "decision_tree": lambda: TR.random_split_tree(), "linear": ols, "ridge": lambda: LN.RidgeCV(inner_folds=True),
-            "extra_trees": lambda: TR.extra_trees(), "linear_svr": lambda: GR.LinearSVR()}
+    """The scoreboard's models of few jobs a fold (forests and boosted ones go
+    through ``run_folds`` into a kept ``ScoreTable`` the same way)."""
+    make = {"linear": ols, "ridge": lambda: LN.RidgeCV(inner_folds=True), "knn": lambda: KNNRegressor(),
+            "decision_tree": lambda: TR.random_split_tree()}
     return [Spec(name, m, feature_set) for name, m in make.items()]
 
 
@@ -717,30 +716,35 @@ def _depths(model, make):
 
 @register("M18_depth_sweep")
 def q_m18(spark, sf):
-    """M18 + M17 + L2: depth sweeps of the random forest and of extra trees over
-    the reference's grid, 10-fold CV, as one resumable pool of jobs."""
-    return _sweep(spark, sf, _depths("random_forest", lambda d: TR.random_forest(maxDepth=d, maxMemoryInMB=512))
-                  + _depths("extra_trees", lambda d: TR.extra_trees(max_depth=d)))
+    """M18 + M17 + L2: the random forest's depth sweep over the reference's grid,
+    10-fold CV, as one resumable pool of jobs."""
+    return _sweep(spark, sf, _depths("random_forest", lambda d: TR.random_forest(maxDepth=d, maxMemoryInMB=512)))
 
 
-@register("M18_boosting_sweep")
-def q_m18_gb(spark, sf):
-    """The sweep of gradient boosting: 8 depths x 10 folds x 500 rounds."""
-    return _sweep(spark, sf, _depths("gradient_boosting", lambda d: TR.gradient_boosting(maxDepth=d)))
+def other_sweeps() -> list[Spec]:
+    """The sweeps of extra trees (80 fits) and gradient boosting (80 x 500
+    rounds): for ``run_folds`` with a kept ``ScoreTable``, as they take long."""
+    return (_depths("extra_trees", lambda d: TR.extra_trees(max_depth=d))
+            + _depths("gradient_boosting", lambda d: TR.gradient_boosting(maxDepth=d)))
 
 
-def _learners() -> list[Spec]:
-    """The learners of this package that Spark's CrossValidator doesn't take."""
-    return [Spec("adaboost", lambda: EN.AdaBoostR2()), Spec("mlp", lambda: GR.MLPRegressor()),
-            Spec("linear_svr", lambda: GR.LinearSVR()), Spec("extra_trees", lambda: TR.extra_trees()),
-            Spec("knn", lambda: KNNRegressor()), Spec("random_split_tree", lambda: TR.random_split_tree())]
+def _cv_learners(spark, sf, specs):
+    means = run_folds(specs, _attr8_folds(spark, sf), ScoreTable(spark)).means()
+    return means.select("model", r6("rmse").alias("rmse"), "folds")
 
 
 @register("M17_cv_learners")
 def q_m17_learners(spark, sf):
-    """10-fold mean RMSE of the package's own learners."""
-    means = run_folds(_learners(), _attr8_folds(spark, sf), ScoreTable(spark)).means()
-    return means.select("model", r6("rmse").alias("rmse"), "folds")
+    """10-fold mean RMSE of the package's own learners that Spark's
+    CrossValidator doesn't take."""
+    return _cv_learners(spark, sf, [Spec("extra_trees", lambda: TR.extra_trees()), Spec("knn", lambda: KNNRegressor()),
+                                    Spec("random_split_tree", lambda: TR.random_split_tree())])
+
+
+@register("M17_cv_gradient_learners")
+def q_m17_gradient(spark, sf):
+    """The same of the support-vector and neural-network regressions."""
+    return _cv_learners(spark, sf, [Spec("mlp", lambda: GR.MLPRegressor()), Spec("linear_svr", lambda: GR.LinearSVR())])
 
 
 @register("E3_M2_M3_M4_elastic_net")
