@@ -1,7 +1,7 @@
 """The published Snowball English (Porter2) stemming algorithm for one word.
 
-A small per-word helper: the Spark job in ``functions.stem`` calls it once
-per *distinct* word of a corpus, never once per token.
+A small per-word helper of ``functions.stem``: called once per distinct word
+of a Python worker (inline plan) or of the corpus (vocabulary plan).
 """
 
 from __future__ import annotations

@@ -30,6 +30,18 @@ def test_porter2_vocabulary(word, want):
     assert stem(word) == want
 
 
+def test_vocabulary_job_equals_inline_on_all_documents(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from relevo.functions import stem as stem_module
+    monkeypatch.setattr(stem_module, "CHUNK", 50)
+    d = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text", "source")
+    extra = spark.createDataFrame([(-1, None, "Runs"), (-2, " ", None), (-2, " ", None)], d.schema)
+    d = d.unionByName(extra)
+    one, two = (sorted(map(tuple, stem_columns(d, ["text", "source"], method=m).collect()), key=repr)
+                for m in ("inline", "vocabulary"))
+    assert one == two and len(one) == d.count()
+
+
 def test_stem_job_equals_per_word(spark):
     rows = [(1, "Lighting  Installations for KNIGHTLY consoles"), (2, " "), (3, None),
             (4, "running running runs")]
