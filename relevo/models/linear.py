@@ -55,13 +55,6 @@ def summary_frame(spark: SparkSession, model: LinearRegressionModel) -> DataFram
     return spark.createDataFrame([row], schema)
 
 
-def coefficients_frame(spark: SparkSession, model, names: Sequence[str]) -> DataFrame:
-    """Fitted linear coefficients as ``(term, value)`` rows (intercept first)."""
-    rows = [("intercept", float(model.intercept))]
-    rows += [(n, float(v)) for n, v in zip(names, model.coefficients)]
-    return spark.createDataFrame(rows, "term string, value double")
-
-
 def closed_form_ols(df: DataFrame, x: str, y: str) -> DataFrame:
     """One-feature OLS in closed form (``regr_slope``/``regr_intercept``); the
     oracle M5 is compared against."""
