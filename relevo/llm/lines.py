@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import Batches, collect_table, marked, marks, shuffle_partitions, stage, summed_tables
 from .words import U, Words, blocks, mix
 
-PERCENT, MIN_WORDS, CANDIDATES = 80, 1, 16
+PERCENT, MIN_WORDS, CANDIDATES = 80, 1, 4
 RARITY_BITS = 20
 POSTING = np.dtype([("word", "<u4"), ("digest", "<u8"), ("parity", "<u8"), ("doc", "<i8"), ("line", "<i4"),
                     ("n", "<i4"), ("place", "<u2")])
@@ -311,9 +311,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
                      pa.array([h[first[k]:first[k] + n[k]].tobytes() for k in once.tolist()], pa.binary())],
                     names=["digest", "words"])
 
-    found = docs.mapInArrow(sets, "digest long, words binary")
-    found = stage(found.join(pairs.select(F.explode(F.array("digest", "by_digest")).alias("digest")).distinct(), "digest")
-                  .groupBy("digest").agg(F.min("words").alias("words")), "line-sets")
+    # a set has one place in question; rows that share an id send theirs again
+    found = stage(docs.mapInArrow(sets, "digest long, words binary").distinct(), "line-sets")
     t = pairs.join(found.withColumnRenamed("words", "x"), "digest").join(
         found.withColumnsRenamed({"digest": "by_digest", "words": "y"}), "by_digest").select(
         "doc", "line", "by_doc", "by_line", "x", "y")
