@@ -26,6 +26,8 @@ texts of their own.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -151,10 +153,12 @@ def collapsed(words: list[bytes], runs: list[tuple[int, int, int]]) -> bytes:
 RUNS = "array<struct<start:bigint,length:bigint,period:bigint>>"
 
 
-def periodic_runs(docs: DataFrame, keep: list[str], text_col: str = "text", most_bytes: int = 1 << 23) -> DataFrame:
+def periodic_runs(docs: DataFrame, keep: list[str], text_col: str = "text", digest: bool = False,
+                  most_bytes: int = 1 << 22) -> DataFrame:
     """Columns ``keep`` of ``docs``, then ``runs`` (by start and period: first
     word, words, period), ``n_words`` and ``collapsed``, the text's words without
-    the repeats of each run, joined by one space."""
+    the repeats of each run, joined by one space; with ``digest`` only the hex
+    SHA-256 of that text comes back, and not the text."""
     m = len(keep)
     kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())]))
 
@@ -168,7 +172,8 @@ def periodic_runs(docs: DataFrame, keep: list[str], text_col: str = "text", most
                 got = periodic_parts(s)
                 runs.append([{"start": a, "length": n, "period": q} for a, n, q in got])
                 sizes.append(len(words))
-                texts.append(collapsed(words, got).decode())
+                rest = collapsed(words, got)
+                texts.append(hashlib.sha256(rest).hexdigest() if digest else rest.decode())
                 held += len(texts[-1])
                 if held > most_bytes or k + 1 == b.num_rows:
                     yield pa.RecordBatch.from_arrays(
