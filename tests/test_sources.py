@@ -1,8 +1,10 @@
 """The pairs view against a plain-Python reading of the mapping rules."""
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 
 from conftest import SF_SMALL
+from __spark_entry__ import queries
 from relevo.sources.relevance import attributes, pairs
 
 
@@ -31,3 +33,26 @@ def test_attributes_unpivot_in_row_order(spark):
     for p in part:
         assert sorted(got[p["p_partkey"]]) == [(0, "brand", p["p_brand"]), (1, "type", p["p_type"]),
                                                (2, "size", str(p["p_size"]))]
+
+
+def _documents(tmp_path, rows):
+    """Tables of a few documents ``(doc_id, text, lang, source)``, each with a label, and of one item."""
+    ids, texts, langs, sources = zip(*rows)
+    whole = pa.int64()
+    for name, columns in {
+            "documents": {"doc_id": pa.array(ids, whole), "text": list(texts), "lang": list(langs), "source": list(sources),
+                          "n_chars": pa.array([len(t or "") for t in texts], whole)},
+            "benchmark": {"item_id": pa.array([0], whole), "text": ["src0 one"]},
+            "labels": {"doc_id": pa.array(ids, whole), "quality": pa.array([1] * len(ids), pa.int32()),
+                       "toxic": pa.array([0] * len(ids), pa.int32())},
+            "part": {"p_partkey": pa.array(ids, whole), "p_name": ["n"] * len(ids), "p_brand": ["b"] * len(ids),
+                     "p_type": ["t"] * len(ids), "p_size": pa.array([1] * len(ids), pa.int32()),
+                     "p_retailprice": [1.0] * len(ids)}}.items():
+        pq.write_table(pa.table(columns), tmp_path / f"{name}.parquet")
+    return str(tmp_path)
+
+
+def test_side_table_keeps_every_named_source(spark, tmp_path):
+    sf = _documents(tmp_path, [(0, "a", "en", "src0"), (3, "b", "en", "src1"), (6, "c", "en", None)])
+    got = {(r["product_uid"], r["brand"]) for r in queries()["S3_side_table_dropna"](spark, sf).collect()}
+    assert got == {(0, "src0"), (3, "src1")}
