@@ -56,3 +56,10 @@ def test_side_table_keeps_every_named_source(spark, tmp_path):
     sf = _documents(tmp_path, [(0, "a", "en", "src0"), (3, "b", "en", "src1"), (6, "c", "en", None)])
     got = {(r["product_uid"], r["brand"]) for r in queries()["S3_side_table_dropna"](spark, sf).collect()}
     assert got == {(0, "src0"), (3, "src1")}
+
+
+def test_edit_ratios_of_titles_and_of_every_named_source(spark, tmp_path):
+    sf = _documents(tmp_path, [(0, "src0 one\nmore", "en", "src0"), (3, "xyz", None, None)])
+    got = {r["id"]: r for r in queries()["F5_edit_ratio"](spark, sf).collect()}
+    assert got[0]["dist_in_title"] == 1.0 and got[0]["dist_in_brand"] == round(8 / 12, 6)
+    assert got[3]["dist_in_title"] == 0.0 and got[3]["dist_in_brand"] == round(2 / 9, 6)
