@@ -244,6 +244,47 @@ def test_knn_many_dimensions_close_points_and_busy_blocks(spark, monkeypatch):
     assert len(found) == 150
 
 
+def _clustered_points(spark, n):
+    P = spark.createDataFrame(list(enumerate(_clusters(6, n))), "pid long, vec array<double>")
+    return P.withColumnRenamed("pid", "qid"), P
+
+
+def test_knn_found_points_are_one_row_a_query_and_unit(spark, monkeypatch):
+    """What is shuffled: before, a row a point and block, and blocks of one size however many vectors there are."""
+    from relevo.operators import knn
+    units, blocks_met = [], []
+    plain = knn._nearest_in_units
+
+    def counted(visits, blocks, *rest):
+        units.append((visits, plain(visits, blocks, *rest)))
+        blocks_met.append(blocks.count())
+        return units[-1][1]
+
+    monkeypatch.setattr(knn, "_nearest_in_units", counted)
+    monkeypatch.setattr(knn, "BLOCK", 16)
+    monkeypatch.setattr(knn, "QUERIES", 16)
+    Q, P = _clustered_points(spark, 1600)
+    for join in (knn.knn_join, knn.knn_lsh):
+        assert join(Q, P, k=5, exclude_self=True).count() == 1600 * 5
+        for visits, found in units:
+            assert found.count() <= visits.count()
+    # every block meets 16 chunks of 100 queries; in LSH each of 8 tables has all vectors
+    assert blocks_met == [1600 * 16, 1600 * 16, 8 * 1600 * 16]
+
+
+def test_knn_cuts_of_large_blocks_lose_nothing(spark, monkeypatch):
+    from relevo.operators import knn
+    monkeypatch.setattr(knn, "LARGE", 30)
+    monkeypatch.setattr(knn, "TILE", 100)
+    monkeypatch.setattr(knn, "MERGE", 7)
+    Q, P = _clustered_points(spark, 200)
+    pts = [(r.pid, r.vec) for r in P.collect()]
+    found = {}
+    for r in knn_join(Q, P, k=4, exclude_self=True).collect():
+        found.setdefault(r.qid, {})[r["rank"]] = r.pid
+    assert {q: [f[j] for j in range(1, 5)] for q, f in found.items()} == _brute_knn(pts, pts, 4, True)
+
+
 def test_lsh_candidates_find_most_neighbours(spark):
     from relevo.operators.knn import knn_lsh
     pts = list(enumerate(_clusters(8, 700)))
