@@ -72,3 +72,20 @@ def test_edit_ratio_whole_texts_vs_dp(spark):
     got = {r["id"]: r["r"] for r in df.select("id", edit_ratio("q", "t").alias("r")).collect()}
     for i, q, t in rows:
         assert got[i] == pytest.approx(2 * _lcs(q, t) / (len(q) + len(t)))
+
+
+def test_stemming_holds_a_slice_of_a_batch_as_objects():
+    """Before, all words of a batch were Python objects at once: some 25 times the texts."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from relevo.functions.stem import _stem_texts
+    texts = pa.array([" ".join(f"running{(i * j) % 97}" for j in range(400)) for i in range(4000)] + [None, ""])
+    _stem_texts(texts.slice(0, 100))
+    tracemalloc.start()
+    got = _stem_texts(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.slice(4000).to_pylist() == [None, ""] and len(got) == 4002
+    assert peak < texts.nbytes / 4
