@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -65,6 +66,49 @@ def test_tfidf_token_in_every_document_and_no_common_token(spark):
     assert cos[2]["tfidf_cos_sim_in_title"] == 0.0            # 'b' unknown to the dictionary
 
 
+def _shuffled_by(df) -> list[str]:
+    """Columns of the plan's shuffles by hash."""
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    return [re.sub(r"#\d+L?", "", x) for x in re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", plan)]
+
+
+def _pairs_of_few_texts(spark):
+    pairs = spark.createDataFrame(
+        [(1, 1, "a a", "t x"), (2, 1, "b", "t x"), (3, 2, "c", None), (3, 2, "a", "u"), (None, 1, "t", "z")],
+        "id long, product_uid long, search_term string, product_title string")
+    products = spark.createDataFrame([(1, "d d a"), (1, "e"), (2, "a"), (9, "w"), (None, "v")],
+                                     "product_uid long, product_description string")
+    return pairs, products
+
+
+def test_bag_of_words_shuffles_texts_not_tokens(spark):
+    from relevo.operators.tfidf import bag_of_words
+    pairs, products = _pairs_of_few_texts(spark)
+    bow = bag_of_words(products, "product_uid", "product_description", "desc")
+    assert sorted((r.key or 0, r.field, r.token, r.tf) for r in bow.collect()) == [
+        (0, "desc", "v", 1), (1, "desc", "a", 1), (1, "desc", "d", 2), (1, "desc", "e", 1), (2, "desc", "a", 1), (9, "desc", "w", 1)]
+    assert "key" in _shuffled_by(bow)
+    assert sorted((r.key or 0, r.token, r.tf) for r in bag_of_words(pairs, "id", "search_term").collect()) == [
+        (0, "t", 1), (1, "a", 2), (2, "b", 1), (3, "a", 1), (3, "c", 1)]
+
+
+def test_dictionary_shuffles_no_tokens_of_products(spark):
+    pairs, products = _pairs_of_few_texts(spark)
+    idf = idf_table(pairs, products)
+    assert {r.token: r.df for r in idf.collect()} == {"t": 2, "x": 2, "z": 1, "d": 3, "a": 4, "e": 3, "u": 1}
+    assert not [x for x in _shuffled_by(idf) if "token" in x and "product_uid" in x]
+
+
+def test_weights_are_shuffled_once_by_text(spark):
+    from relevo.operators.tfidf import tfidf_weights
+    bow = spark.createDataFrame([(1, "q", "a", 3), (1, "q", "b", 4), (1, "q", "zero", 1), (2, "q", "a", 1), (None, "q", "a", 1)],
+                                "key long, field string, token string, tf long")
+    idf = spark.createDataFrame([("a", 1.0), ("b", 1.0), ("zero", 0.0)], "token string, idf double")
+    got = tfidf_weights(bow, idf)
+    assert sorted((r.key, r.token, r.w, r.nw) for r in got.collect()) == [(1, "a", 3.0, 0.6), (1, "b", 4.0, 0.8), (2, "a", 1.0, 1.0)]
+    assert sum("key" in x for x in _shuffled_by(got)) == 1
+
+
 def test_document_frequency_counts_pairs_not_products(spark):
     # product 1 appears in two pairs: its description tokens count twice
     pairs = spark.createDataFrame(
