@@ -363,3 +363,26 @@ def test_word_vectors_do_not_depend_on_the_layout(spark):
         found.append({r.word: r.vec for r in vector_table(model).collect()})
     assert found[0].keys() == found[1].keys()
     assert found[0] == found[1]
+
+
+def test_knn_regression_asks_once_a_distinct_vector(spark, monkeypatch):
+    from relevo.operators import knn
+    train = spark.createDataFrame([(i, [float(i % 40), float(i // 40)], float(i % 7)) for i in range(200)],
+                                  "id long, vec array<double>, relevance double")
+    rows = [(1000 + i, [float(i % 5), -0.0 if i % 2 else 0.0]) for i in range(60)]
+    odd = [(1, [1.0, 1.0]), (1, [30.0, 2.0]), (None, [2.0, 2.0]), (2, None), (3, [float("nan"), 0.0])]
+    test = spark.createDataFrame(rows + odd, "id long, vec array<double>")
+    asked = []
+
+    def join(queries, points, **kw):
+        asked.append(queries.count())
+        return plain(queries, points, **kw)
+
+    plain = knn.knn_join
+    want = {r["qid"]: r["p"] for r in plain(test.withColumnRenamed("id", "qid"), train.withColumnRenamed("id", "pid"),
+                                            k=9, payload=["relevance"]).groupBy("qid").agg(F.avg("relevance").alias("p")).collect()}
+    monkeypatch.setattr(knn, "knn_join", join)
+    found = knn.knn_regress(train, test, k=9).collect()
+    got = {r["id"]: r["prediction"] for r in found}
+    assert len(found) == len(got) == 62 and got == pytest.approx(want)
+    assert asked == [5, 3]  # the distinct vectors; the rows with a shared id and without one
