@@ -6,8 +6,9 @@ share one of the first ``n - ceil(t * n) + 1`` words of that order (prefix
 filter).  Lines that share a prefix word are compared by length, by the place
 of the word (positional filter: what is left behind it must still suffice) and
 by 64-bit parity maps of their sets, whose Hamming distance can't exceed the
-symmetric difference.  What passes is verified exactly on the full sets, which a
-second pass over the texts sends for the lines in question only.  A line is
+symmetric difference.  A second pass over the texts reads the lines in question
+once more: pairs whose 256-bit parity maps differ too much go, what is left is
+verified exactly on the full sets.  A line is
 removed if an earlier line (smaller id, then line number) has the same set or
 is similar enough, whether that line stays or not.
 
@@ -29,7 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Batches, collect_table, marked, marks, shuffle_partitions, stage, summed_tables
@@ -37,6 +38,7 @@ from .words import U, Words, blocks, mix
 
 PERCENT, MIN_WORDS, CANDIDATES = 80, 1, 4
 RARITY_BITS = 20
+MAPS = 4  # words of the wide parity maps, a power of two
 POSTING = np.dtype([("word", "<u4"), ("digest", "<u8"), ("parity", "<u8"), ("doc", "<i8"), ("line", "<i4"),
                     ("n", "<i4"), ("place", "<u2")])
 
@@ -275,47 +277,81 @@ def _line_hash(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
     return mix(mix(doc.astype(np.int64).view(U)) + line.astype(np.int64).view(U))
 
 
+def _doc_hash(doc: np.ndarray) -> np.ndarray:
+    return mix(doc.astype(np.int64).view(U) + U(3))
+
+
 def _marks(wanted: DataFrame):
-    """Marks of the lines ``doc``, ``line``."""
+    """Marks of the lines ``doc``, ``line``, two for each, and of their documents."""
 
     def key(batches: Batches) -> Batches:
         for b in batches:
-            h = _line_hash(*(c.to_numpy() for c in b.columns))
+            doc, line = (c.to_numpy() for c in b.columns)
+            h = _line_hash(doc, line)
+            h = np.concatenate([h, mix(h), np.unique(_doc_hash(doc))])
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
 
     return marks(wanted.mapInArrow(key, "h long"))
 
 
+def _parity_maps(h: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """Parity maps of ``64 * MAPS`` bits of the sets that begin at ``first``."""
+    x = mix(h + U(11))
+    bit, lane = U(1) << (x & U(63)), x >> U(64 - MAPS.bit_length() + 1)
+    return [np.bitwise_xor.reduceat(np.where(lane == U(k), bit, U(0)), first) if len(h) else h for k in range(MAPS)]
+
+
+def _close(percent: int) -> Column:
+    """Do the wide parity maps of two sets (``n``, ``p0``, ... and ``by_n``,
+    ``by_p0``, ...) differ in no more bits than similar sets can?"""
+    alpha = F.floor((F.lit(percent) * (F.col("n") + F.col("by_n")) + 99 + percent) / (100 + percent))
+    apart = sum((F.bit_count(F.col(f"p{k}").bitwiseXOR(F.col(f"by_p{k}"))) for k in range(MAPS)), F.lit(0))
+    return apart <= F.col("n") + F.col("by_n") - 2 * alpha
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The pairs (with digests) whose sets are similar enough.  The sets of the
     lines in question are read off the texts once more: a line is sent if its
-    place is marked (which only spares work; the joins on digests decide)."""
+    place is marked (which only spares work; the joins on digests decide).
+    Pairs meet wide parity maps first, and only what these leave meets sets."""
     wanted = stage(pairs.select("doc", "line").unionByName(pairs.select(F.col("by_doc").alias("doc"), F.col("by_line").alias("line")))
                    .distinct(), "wanted")
     bits, shared = _marks(wanted)
+    maps = [f"p{k}" for k in range(MAPS)]
 
     def sets(batches: Batches) -> Batches:
         table = shared.value
         for b in batches:
+            b = b.filter(pa.array(marked(_doc_hash(b.column(0).to_numpy(zero_copy_only=False)), bits, table)))
             ids = b.column(0).to_numpy(zero_copy_only=False)
             for w in blocks(b.column(1)):
                 if not len(w):
                     continue
                 h, line, row, number = line_sets(w)
-                use = marked(_line_hash(ids[w.lo + row], number), bits, table)
+                place = _line_hash(ids[w.lo + row], number)
+                use = marked(place, bits, table) & marked(mix(place), bits, table)
                 word = use[line]
                 h, first, n, digest, _, _, _ = _sets(w, (h[word], (np.cumsum(use) - 1)[line[word]], row[use], number[use]))
                 _, once = np.unique(digest, return_index=True)
+                wide = [x[once].view(np.int64) for x in _parity_maps(h, first)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(digest[once].view(np.int64)),
-                     pa.array([h[first[k]:first[k] + n[k]].tobytes() for k in once.tolist()], pa.binary())],
-                    names=["digest", "words"])
+                    [pa.array(x) for x in (digest[once].view(np.int64), n[once].astype(np.int64), *wide)]
+                    + [pa.array([h[first[k]:first[k] + n[k]].tobytes() for k in once.tolist()], pa.binary())],
+                    names=["digest", "n", *maps, "words"])
+
+    found = stage(docs.mapInArrow(sets, ", ".join(f"{c} long" for c in ("digest", "n", *maps)) + ", words binary"), "line-sets")
+
+    def once(*columns: str) -> DataFrame:
+        """These columns of each set; rows that share an id send theirs again."""
+        return found.groupBy("digest").agg(*[F.first(c).alias(c) for c in columns])
+
+    def earlier(df: DataFrame) -> DataFrame:
+        return df.select([F.col(c).alias(f"by_{c}") for c in df.columns])
 
-    # a set has one place in question; rows that share an id send theirs again
-    found = stage(docs.mapInArrow(sets, "digest long, words binary").distinct(), "line-sets")
-    t = pairs.join(found.withColumnRenamed("words", "x"), "digest").join(
-        found.withColumnsRenamed({"digest": "by_digest", "words": "y"}), "by_digest").select(
-        "doc", "line", "by_doc", "by_line", "x", "y")
+    places = ["doc", "line", "by_doc", "by_line"]
+    t = (pairs.join(once("n", *maps), "digest").join(earlier(once("n", *maps)), "by_digest").where(_close(percent))
+         .select(*places, "digest", "by_digest")
+         .join(earlier(once("words")), "by_digest").join(once("words"), "digest").select(*places, "words", "by_words"))
 
     def run(batches: Batches) -> Batches:
         for b in batches:
@@ -373,9 +409,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         rest = _rest(open_lines, found.where("kind = 3"), percent).join(
             pairs.select("digest", "by_digest"), ["digest", "by_digest"], "left_anti")
         rest = stage(rest, "line-pairs")
-        texts = rest.select("doc").unionByName(rest.select(F.col("by_doc").alias("doc"))).distinct()
-        few = d.join(texts, d["doc_id"] == texts["doc"], "left_semi")
-        near = near.unionByName(_verified(rest, few, percent))
+        near = near.unionByName(_verified(rest, d, percent))
     return found.where("kind = 0").unionByName(near).groupBy("doc", "line").agg(
         F.min(F.struct("by_doc", "by_line")).alias("by")).select(
         F.col("doc").alias("doc_id"), "line", F.col("by.by_doc").alias("by_doc_id"), F.col("by.by_line").alias("by_line"))

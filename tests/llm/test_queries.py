@@ -399,6 +399,34 @@ def test_op8_marks_tell_lines_apart(spark):
     assert marked([(k * 7 + 1, k % 50) for k in range(3000)]).mean() < 0.1
 
 
+def test_op8_only_close_pairs_meet_their_sets(spark, monkeypatch):
+    """Unlike pairs end at the wide parity maps, and no pass over the texts shuffles them."""
+    plans, staged = [], lines.stage
+
+    def stage(df, name):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return staged(df, name)
+
+    monkeypatch.setattr(lines, "stage", stage)
+    monkeypatch.setattr(lines, "CANDIDATES", 1)
+    # two thirds in common: too little, however many pairs share words
+    docs = [(i, " ".join([f"k{x}" for x in range(80)] + [f"y{i}x{k}" for k in range(40)])) for i in range(12)]
+    docs += [(50 + i, " ".join(f"h{x}" for x in range(12) if x != i % 12)) for i in range(24)]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.line) for r in lines.repeated_lines(d).collect()}
+    assert got == _lines(docs)
+    sets = [plan for name, plan in plans if name == "line-sets"]
+    assert sets and not any("Join" in plan or "Aggregate" in plan for plan in sets)
+
+    h = np.unique(np.random.default_rng(5).integers(1, 1 << 62, 4000).astype(np.uint64))
+    first = np.arange(0, len(h), 100)
+    rows = [(100, *(int(x) for x in m.view(np.int64))) for m in np.array(lines._parity_maps(h, first)).T.copy()]
+    maps = [f"p{k}" for k in range(lines.MAPS)]
+    a = spark.createDataFrame(rows, ["n", *maps])
+    meet = a.crossJoin(a.toDF(*[f"by_{c}" for c in a.columns]))
+    assert meet.where(lines._close(80)).count() == a.count()
+
+
 def test_op8_hot_words_and_long_lines(spark, monkeypatch):
     """One word in all lines, variants of one template, long lines and rows with one id."""
     monkeypatch.setattr(lines, "CANDIDATES", 2)
